@@ -80,18 +80,28 @@ def impute_hierarchical(df: DataFrame, value: str, observed: str, out: str,
 
     Medians are exact and distributed (`order_stats.quantiles`); each tier
     table has one row per key and is joined back on that key."""
-    obs = df.where(F.col(observed))
+    tiers = [list(t) for t in tiers]
+    keys = sorted({k for t in tiers for k in t}, key=lambda k: [k in t for t in tiers].index(True))
+    obs = df.where(F.col(observed) & F.col(value).isNotNull())
+    # one aggregate counts every tier's (key, value) pairs; partial
+    # aggregation before the shuffle, whatever the skew of a key
+    counts = obs.groupingSets([[*t, value] for t in tiers], *keys, value).agg(
+        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_tier"))
+    med = quantiles(counts, value, {"_med": 0.5}, by=["_tier", *keys], counted=True)
+    gid = {}
+    for t in tiers:  # grouping_id bit i (from the left) is 1 when keys[i] is aggregated away
+        bits = [0 if k in t else 1 for k in keys] + [0]
+        gid[tuple(t)] = int("".join(map(str, bits)), 2)
     result = df
     fills: list[Column] = [F.when(F.col(observed), F.col(value))]
-    for i, keys in enumerate(tiers):
-        name = f"_tier{i}"
-        med = quantiles(obs, value, {name: 0.5}, by=list(keys))
-        if keys:
-            result = result.join(med, list(keys), "left")
-            fills.append(F.col(name))
+    for i, t in enumerate(tiers):
+        m = med.where(F.col("_tier") == gid[tuple(t)])
+        if t:
+            result = result.join(m.select(*t, F.col("_med").alias(f"_tier{i}")), t, "left")
+            fills.append(F.col(f"_tier{i}"))
         else:
-            fills.append(med.select(name).scalar())  # overall median: scalar subquery
-    drop = [f"_tier{i}" for i, keys in enumerate(tiers) if keys]
+            fills.append(m.select("_med").scalar())  # overall median: scalar subquery
+    drop = [f"_tier{i}" for i, t in enumerate(tiers) if t]
     return result.withColumn(out, F.coalesce(*fills)).drop(*drop)
 
 
@@ -101,7 +111,9 @@ def load_vehicles(population: DataFrame, entities: DataFrame | Sequence[str] | N
     order, lenient range, observed flag, imputed range, BEV flag, WKT point."""
     rows = filter_in(population, "entity", entities)
     rows = dedupe_first(rows, "vehicle_id")
-    rows = rows.withColumn("rng", to_number("rng")).withColumn("range_observed", is_positive("rng"))
+    numeric = dict(rows.dtypes)["rng"] != "string"
+    rng = F.col("rng").cast("double") if numeric else to_number("rng")
+    rows = rows.withColumn("rng", rng).withColumn("range_observed", is_positive("rng"))
     rows = impute_hierarchical(rows, "rng", "range_observed", "estimated_range", tiers)
     lon, lat = wkt_point("location")
     return (rows.withColumn("is_bev", F.coalesce(F.col("ev_type").contains(bev_marker), F.lit(False)))
@@ -117,9 +129,10 @@ def entity_stock(vehicles: DataFrame) -> DataFrame:
         F.avg(F.col("range_observed").cast("double")).alias("observed_range_share"),
         F.avg(F.col("is_bev").cast("double")).alias("bev_share"),
     )
-    lat = quantiles(vehicles, "latitude", {"latitude": 0.5}, by=["entity"])
-    lon = quantiles(vehicles, "longitude", {"longitude": 0.5}, by=["entity"])
-    return base.join(lat, "entity", "left").join(lon, "entity", "left")
+    coords = vehicles.unpivot(["entity"], ["latitude", "longitude"], "_coord", "_v")
+    med = quantiles(coords, "_v", {"_med": 0.5}, by=["entity", "_coord"])
+    med = med.groupBy("entity").pivot("_coord", ["latitude", "longitude"]).agg(F.first("_med"))
+    return base.join(med, "entity", "left")
 
 
 def stock_audit(population: DataFrame, vehicles: DataFrame) -> DataFrame:
@@ -131,3 +144,50 @@ def stock_audit(population: DataFrame, vehicles: DataFrame) -> DataFrame:
         F.countDistinct("entity").alias("entities"),
     )
     return v.select(population.select(F.count(F.lit(1))).scalar().alias("population_rows_raw"), "*")
+
+
+def range_histogram(vehicles: DataFrame) -> DataFrame:
+    """Observed vehicles per (entity, range)."""
+    return (vehicles.where(F.col("range_observed")).groupBy("entity", F.col("rng").alias("electric_range"))
+            .agg(F.count(F.lit(1)).alias("vehicles")))
+
+
+def low_range_share(vehicles: DataFrame, threshold: float = 200) -> DataFrame:
+    """Share of observed ranges below `threshold` per entity."""
+    return (vehicles.where(F.col("range_observed")).groupBy("entity")
+            .agg(F.avg((F.col("rng") < threshold).cast("double")).alias("observed_low_range_share")))
+
+
+def range_coverage(vehicles: DataFrame, dims=(("model_year", "model_year"), ("ev_type", "ev_type"),
+                                              ("make", "make"), ("entity", "entity"))) -> DataFrame:
+    """Observed-range coverage by each of several dimensions, NULL kept as
+    its own group (A20): one `GROUPING SETS` aggregate over one scan."""
+    cols = [c for _, c in dims]
+    src = vehicles.select(*[F.col(c).cast("string").alias(c) for c in cols], "range_observed")
+    g = src.groupingSets([[c] for c in cols], *cols).agg(
+        F.count(F.lit(1)).alias("records"),
+        F.sum(F.col("range_observed").cast("bigint")).alias("positive_observed_range"),
+        *[F.grouping(c).alias(f"_g_{c}") for c in cols])
+    label = value = None
+    for name, c in dims:
+        hit = F.col(f"_g_{c}") == 0
+        label = F.when(hit, F.lit(name)) if label is None else label.when(hit, F.lit(name))
+        value = F.when(hit, F.col(c)) if value is None else value.when(hit, F.col(c))
+    return g.select(label.alias("group"), value.alias("value"), "records", "positive_observed_range",
+                    F.round(F.col("positive_observed_range") * 100.0 / F.col("records"), 2).alias("coverage_pct"))
+
+
+def threshold_sensitivity(vehicles: DataFrame, thresholds=(150, 200, 250, 300)) -> DataFrame:
+    """Share of observed ranges below each threshold for all / BEV / PHEV
+    (A21). The thresholds become an array exploded per row (bounded by its
+    length), and three kinds come from one aggregate with GROUPING SETS."""
+    obs = vehicles.where(F.col("range_observed")).select("rng", "is_bev")
+    obs = obs.withColumn("threshold_miles", F.explode(F.array(*[F.lit(int(t)) for t in thresholds])))
+    g = obs.cube("threshold_miles", "is_bev").agg(
+        F.count(F.lit(1)).alias("observed_vehicles"),
+        F.sum((F.col("rng") < F.col("threshold_miles")).cast("bigint")).alias("below_threshold"),
+        F.grouping("is_bev").alias("_gb"), F.grouping("threshold_miles").alias("_gt"))
+    g = g.where(F.col("_gt") == 0)
+    kind = F.when(F.col("_gb") == 1, "all").when(F.col("is_bev"), "BEV").otherwise("PHEV")
+    return g.select(kind.alias("vehicle_type"), "threshold_miles", "observed_vehicles", "below_threshold",
+                    F.round(F.col("below_threshold") * 100.0 / F.col("observed_vehicles"), 2).alias("share_below_pct"))

@@ -64,8 +64,11 @@ def running_total(df: DataFrame, by: Sequence[str] | None, order: Sequence[str |
     if total:
         whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
         blocks = blocks.withColumn(total, F.sum("_bsum").over(whole))
-    keep = [*by, _BLOCK, "_offset"] + ([total] if total else [])
-    joined = local.join(blocks.select(*keep), [*by, _BLOCK])
+    keep = [F.col(b).alias(f"_k_{b}") for b in by] + [F.col(_BLOCK).alias("_k_blk"), "_offset"] + ([total] if total else [])
+    right = blocks.select(*keep)
+    # null-safe on the group keys: grouping-set tables carry NULL keys
+    cond = [local[b].eqNullSafe(right[f"_k_{b}"]) for b in by] + [local[_BLOCK] == right["_k_blk"]]
+    joined = local.join(right, cond).drop(*[f"_k_{b}" for b in by], "_k_blk")
     return joined.withColumn(out, F.col("_offset") + F.col("_local")).drop("_w", "_local", "_offset", _BLOCK)
 
 
@@ -75,11 +78,13 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] | None = None) ->
     return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def value_positions(df: DataFrame, value: str, by: Sequence[str] | None = None, descending: bool = False) -> DataFrame:
+def value_positions(df: DataFrame, value: str, by: Sequence[str] | None = None, descending: bool = False,
+                    counted: bool = False) -> DataFrame:
     """Distinct values with their 1-based first/last positions in the sorted
-    group: columns (by..., value, _n, _first, _last, _size)."""
+    group: columns (by..., value, _n, _first, _last, _size). With `counted`,
+    `df` already holds one row per (by, value) with its count in `_n`."""
     by = _names(by)
-    counts = value_counts(df, value, by)
+    counts = df if counted else value_counts(df, value, by)
     order = [F.col(value).desc()] if descending else [F.col(value).asc()]
     ranked = running_total(counts, by, order, weight="_n", out="_last", total="_size")
     return ranked.withColumn("_first", F.col("_last") - F.col("_n") + 1)
@@ -118,11 +123,13 @@ def ntile_of(rn: Column, n: Column, k: int) -> Column:
     return F.when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1).otherwise(r + F.floor((rn - big - 1) / q) + 1).cast("bigint")
 
 
-def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] | None = None) -> DataFrame:
+def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] | None = None,
+              counted: bool = False) -> DataFrame:
     """Exact quantiles with linear interpolation (same as `median` /
-    `percentile` / pandas `quantile`), one row per group, NULLs ignored."""
+    `percentile` / pandas `quantile`), one row per group, NULLs ignored.
+    `counted`: `df` is already (by..., value, _n)."""
     by = _names(by)
-    pos = value_positions(df, value, by)
+    pos = value_positions(df, value, by, counted=counted)
     aggs = []
     for name, p in probs.items():
         h = (F.col("_size") - 1) * F.lit(float(p))
@@ -136,7 +143,7 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[s
         pos = pos.withColumn(f"_fr_{name}", frac)
         aggs += [F.max(f"_lo_{name}").alias(f"_lo_{name}"), F.max(f"_hi_{name}").alias(f"_hi_{name}"),
                  F.max(f"_fr_{name}").alias(f"_fr_{name}")]
-    g = pos.groupBy(*by).agg(*aggs)
+    g = pos.groupBy(*by).agg(*aggs)  # NULL group keys stay their own group
     out = [*by]
     for name in probs:
         lo, hi, fr = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_fr_{name}")

@@ -69,3 +69,34 @@ def splits_sql(body: str, *extra: str) -> str:
 FEATURE_ROUND = ", ".join(f"round({c}, 6) AS {c}" for c in (
     "lag_1", "lag_2", "lag_3_mean", "lag_12", "lag_13", "lag_12_mean", "yoy_gap", "recent_vs_year",
     "month_sin", "month_cos", "entity_scale")) + ", month_index"
+
+
+VEHICLES = """dedup AS (
+    SELECT * EXCLUDE (rn) FROM (
+        SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY entity, make, model, model_year, rng, ev_type,
+                                     location, l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax) AS rn
+        FROM population WHERE entity IN (SELECT n_name FROM nation)) WHERE rn = 1),
+veh AS (SELECT *, COALESCE(rng > 0, false) AS range_observed FROM dedup),
+med_mmy AS (SELECT make, model, model_year, quantile_cont(rng, 0.5) AS m FROM veh WHERE range_observed GROUP BY ALL),
+med_mm AS (SELECT make, model, quantile_cont(rng, 0.5) AS m FROM veh WHERE range_observed GROUP BY ALL),
+med_t AS (SELECT ev_type, quantile_cont(rng, 0.5) AS m FROM veh WHERE range_observed GROUP BY ALL),
+med_all AS (SELECT quantile_cont(rng, 0.5) AS m FROM veh WHERE range_observed),
+vehicles AS (
+    SELECT v.*, COALESCE(CASE WHEN v.range_observed THEN v.rng END, a.m, b.m, c.m, (SELECT m FROM med_all)) AS estimated_range,
+           COALESCE(contains(v.ev_type, 'BEV'), false) AS is_bev,
+           TRY_CAST(NULLIF(regexp_extract(v.location, 'POINT \\((-?\\d+\\.?\\d*) (-?\\d+\\.?\\d*)\\)', 1), '') AS DOUBLE) AS longitude,
+           TRY_CAST(NULLIF(regexp_extract(v.location, 'POINT \\((-?\\d+\\.?\\d*) (-?\\d+\\.?\\d*)\\)', 2), '') AS DOUBLE) AS latitude
+    FROM veh v
+    LEFT JOIN med_mmy a ON a.make = v.make AND a.model = v.model AND a.model_year = v.model_year
+    LEFT JOIN med_mm b ON b.make = v.make AND b.model = v.model
+    LEFT JOIN med_t c ON c.ev_type = v.ev_type)"""
+
+STOCK = """stock AS (
+    SELECT entity, count(*) AS total_evs, avg(estimated_range) AS avg_range_miles,
+           avg(CAST(range_observed AS DOUBLE)) AS observed_range_share, avg(CAST(is_bev AS DOUBLE)) AS bev_share,
+           quantile_cont(latitude, 0.5) AS latitude, quantile_cont(longitude, 0.5) AS longitude
+    FROM vehicles GROUP BY entity)"""
+
+
+def vehicles_sql(body: str, *extra: str) -> str:
+    return with_bindings("WITH " + ",\n".join([VEHICLES, *extra]) + "\n" + body, "population")
