@@ -36,4 +36,4 @@ def load_all() -> None:
         importlib.import_module(f"panelspark.plans.{name}")
 
 
-MODULES = ("q_flow", "q_clean")
+MODULES = ("q_flow", "q_clean", "q_quality")
