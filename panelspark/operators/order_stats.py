@@ -99,6 +99,18 @@ def rank_pct(df: DataFrame, value: str, out: str, by: Sequence[str] | None = Non
     return df.join(pos, [*by, value], "left")
 
 
+def rank_pct_many(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+    """Several `rank_pct` columns in ONE ranking pass: unpivot the inputs to
+    (key, metric, value), rank within metric, pivot back on the unique `key`."""
+    srcs = list(columns)
+    long = df.select(key, *[F.col(c).cast("double").alias(c) for c in srcs]).unpivot(key, srcs, "_metric", "_value")
+    pos = value_positions(long, "_value", ["_metric"]).select(
+        "_metric", "_value", ((F.col("_first") + F.col("_last")) / 2.0 / F.col("_size")).alias("_pct"))
+    ranked = long.join(pos, ["_metric", "_value"], "left")
+    wide = ranked.groupBy(key).pivot("_metric", srcs).agg(F.first("_pct"))
+    return df.join(wide.select(key, *[F.col(c).alias(columns[c]) for c in srcs]), key, "left")
+
+
 def rank_min(df: DataFrame, value: str, out: str, by: Sequence[str] | None = None, descending: bool = True) -> DataFrame:
     """Competition rank (min of ties), descending by default."""
     by = _names(by)
