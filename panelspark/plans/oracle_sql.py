@@ -100,3 +100,42 @@ STOCK = """stock AS (
 
 def vehicles_sql(body: str, *extra: str) -> str:
     return with_bindings("WITH " + ",\n".join([VEHICLES, *extra]) + "\n" + body, "population")
+
+
+# closed-form predictions on the test split
+PREDS = """preds AS (
+    SELECT entity, month, split, ev_transactions AS actual, lag_12 AS lag_12_baseline,
+           lag_12_mean AS trailing_mean_12, lag_1 AS last_value FROM splits)"""
+
+CONFORMAL = """cbounds AS (SELECT max(month) AS last FROM features),
+periods AS (
+    SELECT f.*, CASE WHEN month >= CAST(last - INTERVAL 11 MONTH AS DATE) THEN 'test'
+                     WHEN month >= CAST(last - INTERVAL 23 MONTH AS DATE) THEN 'calibration'
+                     WHEN month >= CAST(last - INTERVAL 35 MONTH AS DATE) THEN 'selection' ELSE 'train' END AS period
+    FROM features f, cbounds),
+strata AS (
+    SELECT entity, mean_volume, position, entities,
+           ['low', 'medium', 'high'][ntile(3) OVER (ORDER BY mean_volume, entity)] AS volume_group,
+           position = floor(entities / 2) + 1 AS representative
+    FROM (SELECT entity, mean_volume, row_number() OVER (ORDER BY mean_volume, entity) AS position,
+                 count(*) OVER () AS entities
+          FROM (SELECT entity, avg(ev_transactions) AS mean_volume FROM periods
+                WHERE period IN ('train', 'selection') GROUP BY entity))),
+cal AS (
+    SELECT p.entity, s.volume_group, abs(p.ev_transactions - p.lag_12) AS absolute_error
+    FROM periods p JOIN strata s USING (entity) WHERE period = 'calibration'),
+cq AS (
+    SELECT volume_group, level, absolute_error AS q, n FROM (
+        SELECT volume_group, lv.level, absolute_error,
+               row_number() OVER (PARTITION BY volume_group, lv.level ORDER BY absolute_error) AS k,
+               count(*) OVER (PARTITION BY volume_group, lv.level) AS n
+        FROM cal, (VALUES (80), (95)) lv(level))
+    WHERE k = least(n, CAST(ceil((n + 1) * (level / 100.0)) AS BIGINT))),
+intervals AS (
+    SELECT p.entity, p.month, p.ev_transactions AS actual, p.lag_12 AS prediction, s.volume_group,
+           greatest(0.0, p.lag_12 - a.q) AS lower_80, p.lag_12 + a.q AS upper_80,
+           greatest(0.0, p.lag_12 - b.q) AS lower_95, p.lag_12 + b.q AS upper_95
+    FROM periods p JOIN strata s USING (entity)
+    LEFT JOIN cq a ON a.volume_group = s.volume_group AND a.level = 80
+    LEFT JOIN cq b ON b.volume_group = s.volume_group AND b.level = 95
+    WHERE p.period = 'test')"""
