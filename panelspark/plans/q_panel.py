@@ -210,8 +210,8 @@ SCORES_SQL = """val_scores AS (
 
 
 @register("k04_best_by", splits_sql("""
-    SELECT arg_min(model, rmse * 10 + CASE model WHEN 'lag_12_baseline' THEN 1 WHEN 'trailing_mean_12' THEN 2 ELSE 3 END)
-           AS best_model FROM val_scores""", PREDS, SCORES_SQL))
+    SELECT model AS best_model FROM val_scores
+    QUALIFY row_number() OVER (ORDER BY rmse, CASE model WHEN 'lag_12_baseline' THEN 1 WHEN 'trailing_mean_12' THEN 2 ELSE 3 END) = 1""", PREDS, SCORES_SQL))
 def k04_best_by(spark, sf):
     """Model selected on the validation split (ties: earlier candidate)."""
     scores = metrics.score_models(preds_of(spark, sf, "validation"), "actual", PREDICTORS)
