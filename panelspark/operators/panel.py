@@ -18,7 +18,8 @@ from panelspark.functions import month_index
 FEATURES = ("lag_1", "lag_2", "lag_3_mean", "lag_12", "lag_13", "lag_12_mean", "yoy_gap", "recent_vs_year",
             "month_sin", "month_cos", "entity_scale", "month_index")
 
-ONE_MONTH = F.expr("INTERVAL 1 MONTH")
+def one_month():
+    return F.expr("INTERVAL 1 MONTH")
 
 
 def densify_panel(flow: DataFrame, value: str = "ev_transactions", entity: str = "entity", month: str = "month",
@@ -32,11 +33,11 @@ def densify_panel(flow: DataFrame, value: str = "ev_transactions", entity: str =
     obs = flow.select(F.col(entity).alias("entity"), F.col(month).alias("month"), F.col(value).alias(value))
     if per_entity_bounds:
         spans = obs.groupBy("entity").agg(F.min("month").alias("_lo"), F.max("month").alias("_hi"))
-        grid = spans.select("entity", F.explode(F.sequence("_lo", "_hi", ONE_MONTH)).alias("month"))
+        grid = spans.select("entity", F.explode(F.sequence("_lo", "_hi", one_month())).alias("month"))
     else:
         lo = obs.select(F.min("month")).scalar()
         hi = obs.select(F.max("month")).scalar()
-        grid = obs.select("entity").distinct().select("entity", F.explode(F.sequence(lo, hi, ONE_MONTH)).alias("month"))
+        grid = obs.select("entity").distinct().select("entity", F.explode(F.sequence(lo, hi, one_month())).alias("month"))
     dense = grid.join(obs, ["entity", "month"], "left")
     return dense.withColumn(value, F.coalesce(F.col(value).cast("double"), F.lit(float(fill))))
 
@@ -147,8 +148,8 @@ def annual_windows(features: DataFrame, min_train_rows: int = 800, first_start:
     last_start = F.add_months(last, -11)
     # window starts going back from the last one, 12 months apart
     n_back = F.floor(F.months_between(last_start, lo) / 12).cast("int")
-    starts = F.transform(F.sequence(F.lit(0), n_back), lambda k: F.add_months(last_start, -12 * k))
-    rows = features.withColumn("window_start", F.explode(starts))
+    rows = features.withColumn("_k", F.explode(F.sequence(F.lit(0), n_back)))
+    rows = rows.withColumn("window_start", F.add_months(last_start, -12 * F.col("_k"))).drop("_k")
     rows = rows.withColumn("role", F.when(F.col(month) < F.col("window_start"), "train")
                            .when(F.col(month) <= F.add_months("window_start", 11), "evaluation"))
     rows = rows.where(F.col("role").isNotNull())
