@@ -54,13 +54,19 @@ def predict_all(train: DataFrame, target: DataFrame, names=MODEL_NAMES) -> tuple
     return out, alpha
 
 
+def splits_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Feature panel with split labels and `actual`, materialised once per session."""
+    def build():
+        s = panel.time_splits(features_of(spark, sf)).withColumn("actual", F.col("ev_transactions"))
+        return cut_lineage(s)
+    return _memo(spark, sf, "splits", build)
+
+
 def panel_evaluation(spark: SparkSession, sf: str) -> dict:
     """Fit on train, score on validation, select; refit on development,
     score on test. Prediction tables are checkpointed once per session."""
     def build():
-        s = panel.time_splits(features_of(spark, sf)).withColumnRenamed("ev_transactions", "actual") \
-            .withColumn("ev_transactions", F.col("actual"))
-        s = cut_lineage(s)
+        s = splits_of(spark, sf)
         train, val = s.where(F.col("split") == "train"), s.where(F.col("split") == "validation")
         dev, test = s.where(F.col("development")), s.where(F.col("split") == "test")
         vp, a_train = predict_all(train, val)
@@ -144,7 +150,7 @@ def m16_ablation(spark, sf):
     """Random forest on cumulative feature sets: validation scores and the
     RMSE drop relative to the calendar-only set."""
     def build():
-        s = panel_evaluation(spark, sf)["splits"]
+        s = splits_of(spark, sf)
         train, val = s.where(F.col("split") == "train"), s.where(F.col("split") == "validation")
         parts = []
         for name, cols in FEATURE_SETS.items():
