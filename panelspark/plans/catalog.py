@@ -36,4 +36,4 @@ def load_all() -> None:
         importlib.import_module(f"panelspark.plans.{name}")
 
 
-MODULES = ("q_flow", "q_clean", "q_quality", "q_score", "q_panel", "q_series", "q_models", "q_segments", "q_store")
+MODULES = ("q_flow", "q_clean", "q_quality", "q_score", "q_panel", "q_series", "q_models", "q_segments", "q_store", "q_views")
