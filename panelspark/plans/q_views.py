@@ -156,7 +156,7 @@ def p09_safe_ratio(spark, sf):
                     .alias("ev_to_other"))
 
 
-@register("p10_clip", features_sql("SELECT entity, month, least(greatest(lag_1 - lag_13, -2.0), 2.0) AS yoy_gap_clipped FROM feat_all"))
+@register("p10_clip", features_sql("SELECT entity, month, CASE WHEN lag_1 - lag_13 IS NOT NULL THEN least(greatest(lag_1 - lag_13, -2.0), 2.0) END AS yoy_gap_clipped FROM feat_all"))
 def p10_clip(spark, sf):
     f = features_of(spark, sf, drop_incomplete=False)
     return f.select("entity", "month", clip("yoy_gap", -2.0, 2.0).alias("yoy_gap_clipped"))
