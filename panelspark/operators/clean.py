@@ -106,10 +106,14 @@ def impute_hierarchical(df: DataFrame, value: str, observed: str, out: str,
 
 
 def load_vehicles(population: DataFrame, entities: DataFrame | Sequence[str] | None = None, *,
-                  tiers: Sequence[Sequence[str]] = DEFAULT_TIERS, bev_marker: str = "BEV") -> DataFrame:
+                  tiers: Sequence[Sequence[str]] = DEFAULT_TIERS, bev_marker: str = "BEV",
+                  states: Sequence[str] | None = None) -> DataFrame:
     """Clean vehicle rows (C01 first half): filter, dedupe by id under a total
-    order, lenient range, observed flag, imputed range, BEV flag, WKT point."""
+    order, lenient range, observed flag, imputed range, BEV flag, WKT point.
+    `states` keeps rows of those states (needs a `state` column)."""
     rows = filter_in(population, "entity", entities)
+    if states is not None:
+        rows = filter_in(rows, "state", states)
     rows = dedupe_first(rows, "vehicle_id")
     numeric = dict(rows.dtypes)["rng"] != "string"
     rng = F.col("rng").cast("double") if numeric else to_number("rng")

@@ -102,7 +102,7 @@ def opportunity_score(population: DataFrame, monthly: DataFrame, stations: DataF
     """Entity metrics and the weighted percentile score.
 
     growth % is winsorised to its 5th-95th percentiles and NULL growth takes
-    the median; EVs-per-port NULL takes the stock; low-fast = 100 - share
+    the median (if every growth is NULL, all tie); EVs-per-port NULL takes the stock; low-fast = 100 - share
     (NULL share = 0). demand = mean of the stock and recent-flow percentile
     ranks; score = 100 * weighted sum, rounded to 1 digit; rank = min rank
     of the rounded score, descending. Counts missing after the joins are 0.
@@ -124,7 +124,8 @@ def opportunity_score(population: DataFrame, monthly: DataFrame, stations: DataF
     med = quantiles(m, "_growth", {"med": 0.5}).select("med").scalar()
     m = m.withColumns({
         "_gap_in": F.coalesce(F.col("evs_per_port"), F.col("ev_stock").cast("double")),
-        "_mom_in": F.coalesce(F.col("_growth"), med),
+        # all-NULL growth (no prior activity anywhere): every entity ties
+        "_mom_in": F.coalesce(F.col("_growth"), med, F.lit(0.0)),
         "_low_in": F.lit(100.0) - F.coalesce(F.col("dc_fast_share_pct"), F.lit(0.0)),
     })
     m = rank_pct_many(m, "entity", {"ev_stock": "_r_stock", "recent_ev_transactions": "_r_recent", "_gap_in": "_gap",

@@ -95,7 +95,7 @@ gq AS (SELECT quantile_cont(registration_growth_pct, 0.05) AS p05, quantile_cont
 m2 AS (SELECT m1.*, CASE WHEN registration_growth_pct IS NULL THEN NULL
                          ELSE least(greatest(registration_growth_pct, p05), p95) END AS growth_c FROM m1, gq),
 gm AS (SELECT quantile_cont(growth_c, 0.5) AS med FROM m2),
-m3 AS (SELECT m2.*, COALESCE(evs_per_port, CAST(ev_stock AS DOUBLE)) AS gap_in, COALESCE(growth_c, med) AS mom_in,
+m3 AS (SELECT m2.*, COALESCE(evs_per_port, CAST(ev_stock AS DOUBLE)) AS gap_in, COALESCE(growth_c, med, 0.0) AS mom_in,
               100.0 - COALESCE(dc_fast_share_pct, 0.0) AS low_in FROM m2, gm),
 m4 AS (
     SELECT *,
