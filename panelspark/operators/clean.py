@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions import is_positive, to_month, to_number, wkt_point
 from panelspark.operators.order_stats import quantiles
+from panelspark.session import cut_lineage
 
 
 def filter_in(df: DataFrame, column: str, allowed: DataFrame | Sequence[str] | None) -> DataFrame:
@@ -114,7 +115,9 @@ def load_vehicles(population: DataFrame, entities: DataFrame | Sequence[str] | N
     rows = filter_in(population, "entity", entities)
     if states is not None:
         rows = filter_in(rows, "state", states)
-    rows = dedupe_first(rows, "vehicle_id")
+    # the de-duplicated rows feed several median passes and aggregates:
+    # write them once (reliable checkpoint) instead of re-running the joins
+    rows = cut_lineage(dedupe_first(rows, "vehicle_id"))
     numeric = dict(rows.dtypes)["rng"] != "string"
     rng = F.col("rng").cast("double") if numeric else to_number("rng")
     rows = rows.withColumn("rng", rng).withColumn("range_observed", is_positive("rng"))

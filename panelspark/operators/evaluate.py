@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.operators import metrics
-from panelspark.operators.order_stats import (conformal_rank, kth_smallest, ntile_of, quantiles, rank_pct_many,
-                                              row_number)
+from panelspark.operators.order_stats import (conformal_rank, ntile_of, quantiles, rank_pct_many, row_number,
+                                              value_positions)
 
 
 # --- dispersion (A14 / M21) -------------------------------------------------------
@@ -202,11 +202,15 @@ def volume_strata(fitting: DataFrame, value: str = "ev_transactions", entity: st
 def conformal_quantiles(calibration: DataFrame, residual: str = "absolute_error", by: Sequence[str] = ("volume_group",),
                         levels: Sequence[float] = LEVELS) -> DataFrame:
     """Finite-sample split-conformal quantile per group and level: the k-th
-    smallest residual with k = min(n, ceil((n+1) p)) (W10)."""
+    smallest residual with k = min(n, ceil((n+1) p)) (W10). All levels come
+    from one distributed order-statistics pass."""
+    pos = value_positions(calibration, residual, list(by))
     parts = []
     for p in levels:
-        q = kth_smallest(calibration, residual, conformal_rank(p), by=list(by), out="q")
-        parts.append(q.withColumn("level", F.lit(int(round(p * 100))).cast("bigint")))
+        k = conformal_rank(p)
+        hit = pos.where((F.col("_first") <= k) & (k <= F.col("_last")))
+        parts.append(hit.select(*by, F.col(residual).cast("double").alias("q"), F.col("_size").alias("n"),
+                                F.lit(int(round(p * 100))).cast("bigint").alias("level")))
     out = parts[0]
     for q in parts[1:]:
         out = out.unionByName(q)
