@@ -250,3 +250,70 @@ def m17_conformal_selected(spark, sf):
 def a22_coverage_selected(spark, sf):
     m17_conformal_selected(spark, sf)
     return _MEMO[(spark.sparkContext.applicationId, sf, "conformal")]["coverage"]
+
+
+@register("m19_entity_error_analysis_models")
+def m19_entity_error_analysis_models(spark, sf):
+    """Entity error table of the baseline and the statistical / ML models
+    selected on validation (A16 with fitted models)."""
+    ev = panel_evaluation(spark, sf)
+    sel = ev["selection"].first()
+    return evaluate.entity_errors(ev["test"], "lag_12_baseline", sel["selected_statistical"], sel["selected_ml"])
+
+
+@register("m19_spearman_models")
+def m19_spearman_models(spark, sf):
+    """Spearman(entity size, ML gain over the baseline) with its p-value."""
+    return evaluate.spearman(m19_entity_error_analysis_models(spark, sf), "mean_monthly_transactions",
+                             "ml_improvement_vs_baseline_pct", "entity")
+
+
+@register("a17_macro_summary_models")
+def a17_macro_summary_models(spark, sf):
+    ev = panel_evaluation(spark, sf)
+    sel = ev["selection"].first()
+    names = ["lag_12_baseline", sel["selected_statistical"], sel["selected_ml"]]
+    return evaluate.macro_summary(m19_entity_error_analysis_models(spark, sf), names)
+
+
+@register("m20_error_drivers_models")
+def m20_error_drivers_models(spark, sf):
+    """Row-level drivers of the selected ML model's gain, with K-Means segments;
+    mean reduction by month and segment (A19)."""
+    from panelspark.plans.q_segments import segmented
+    ev = panel_evaluation(spark, sf)
+    ml = ev["selection"].first()["selected_ml"]
+    seg = segmented(spark, sf)[0].select("entity", "market_segment")
+    return evaluate.mean_reduction(evaluate.error_drivers(ev["test"], seg, "lag_12_baseline", ml))
+
+
+@register("a26_headline_insights")
+def a26_headline_insights(spark, sf):
+    """One row: best test model, ablation RMSE drop from adding the prior
+    year, the latest two robustness windows' winners, 80 % coverage."""
+    ev = panel_evaluation(spark, sf)
+    ab = m16_ablation(spark, sf)
+    rob = m18_temporal_robustness(spark, sf)
+    cov = a22_coverage_selected(spark, sf)
+    winners = evaluate.best_by(rob, "rmse", ROBUST, by=["evaluation_start"])
+    last_two = winners.orderBy(F.desc("evaluation_start")).limit(2)  # the report shows the latest two windows
+    return spark.range(1).select(
+        ev["selection"].select("best_on_test").scalar().alias("best_model_on_test"),
+        ev["scores"].where("period = 'historical_final'").select(F.min("rmse")).scalar().alias("best_test_rmse"),
+        ab.where(F.col("feature_set").startswith("B")).select("improvement_vs_calendar_rmse").scalar()
+          .alias("prior_year_rmse_drop"),
+        last_two.select(F.sort_array(F.collect_list(F.concat_ws(":", F.col("evaluation_start").cast("string"),
+                                                                 "best_model")))).scalar().alias("latest_window_winners"),
+        cov.where("interval = '80%' AND volume_group = 'all'").select("observed_coverage").scalar().alias("coverage_80"))
+
+
+@register("q03_evaluation_summary")
+def q03_evaluation_summary(spark, sf):
+    """The evaluation report without row-level predictions: score rows,
+    the selection row and interval coverage as one long table."""
+    ev = panel_evaluation(spark, sf)
+    scores = ev["scores"].select(F.lit("scores").alias("section"), F.to_json(F.struct("*")).alias("record"))
+    sel = ev["selection"].select(F.lit("selection").alias("section"), F.to_json(F.struct("*")).alias("record"))
+    cov = a22_coverage_selected(spark, sf).select(F.lit("interval_coverage").alias("section"),
+                                                  F.to_json(F.struct("*")).alias("record"))
+    return scores.unionByName(sel).unionByName(cov)
