@@ -126,3 +126,57 @@ def future_rows(series: DataFrame, keys: Sequence[str], horizon: int = 12, value
     fut = fut.withColumn(value, F.lit(None).cast("double")).withColumn("role", F.lit("future"))
     return series.select(*keys, "month", F.col(value).cast("double").alias(value)).withColumn("role", F.lit("train")) \
         .unionByName(fut)
+
+
+# The per-series tree models' hyper-parameters.
+SERIES_RF = dict(numTrees=100, minInstancesPerNode=3, featureSubsetStrategy="0.9", seed=42, maxDepth=12)
+SERIES_GBT = dict(maxIter=80, maxDepth=3, minInstancesPerNode=8, stepSize=0.1, seed=42)
+SERIES_ALL = ("seasonal_naive", "linear", "polynomial_2", "seasonal_ridge", "random_forest", "gradient_boosting")
+
+
+def pooled_trees(df: DataFrame, keys: Sequence[str], kind: str, value: str = "value", series: str = "series",
+                 fold: str | None = None) -> DataFrame:
+    """Tree forecasts from ONE model per fold pooled over all series
+    (features: t, month sin/cos, the value 12 months earlier, series index)
+    instead of one tiny fit per series. Fits loop over the folds (bounded)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+    import math
+
+    d = _with_index(df, keys)
+    w = Window.partitionBy(*keys).orderBy("month")
+    angle = F.lit(2 * math.pi) * F.month("month") / F.lit(12.0)
+    d = d.withColumns({"_lag12": F.lag(F.col(value).cast("double"), 12).over(w), "_sin": F.sin(angle), "_cos": F.cos(angle)})
+    params = SERIES_RF if kind == "random_forest" else SERIES_GBT
+    est_cls = RandomForestRegressor if kind == "random_forest" else GBTRegressor
+    folds = [None] if fold is None else [r[0] for r in d.select(fold).distinct().orderBy(fold).collect()]  # <= n_folds
+    out = None
+    for f in folds:
+        part = d if f is None else d.where(F.col(fold) == f)
+        train = part.where((F.col("role") == "train") & (F.col("t") >= 12) & F.col("_lag12").isNotNull())
+        pipe = Pipeline(stages=[
+            StringIndexer(inputCol=series, outputCol="_sid", handleInvalid="keep"),
+            VectorAssembler(inputCols=["t", "_sin", "_cos", "_lag12", "_sid"], outputCol="_x", handleInvalid="keep"),
+            est_cls(featuresCol="_x", labelCol=value, predictionCol="_p", **params)])
+        model = pipe.fit(train.withColumn(value, F.col(value).cast("double")))
+        pred = model.transform(part.where(F.col("role") != "train"))
+        pred = pred.withColumn("prediction", F.greatest(F.lit(0.0), F.col("_p")))
+        pred = pred.drop("_p", "_x", "_sid", "_lag12", "_sin", "_cos", "t")
+        out = pred if out is None else out.unionByName(pred)
+    return out
+
+
+def holdout_rows(series: DataFrame, keys: Sequence[str], holdout: int = 12) -> DataFrame:
+    """All but the last `holdout` months as train, the rest as 'test'."""
+    last = Window.partitionBy(*keys)
+    s = series.withColumn("_back", F.months_between(F.max("month").over(last), "month").cast("int"))
+    return s.withColumn("role", F.when(F.col("_back") >= holdout, "train").otherwise("test")).drop("_back")
+
+
+def fit_any(df: DataFrame, keys: Sequence[str], model: str, value: str = "value") -> DataFrame:
+    """Predictions of one of the six series models for the non-train rows."""
+    if model in ("random_forest", "gradient_boosting"):
+        fold = "fold" if "fold" in keys else None
+        return pooled_trees(df, keys, model, value, fold=fold)
+    return SERIES_FITTERS[model](df, keys, value)
