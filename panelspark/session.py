@@ -24,6 +24,7 @@ LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Broadcast only what the optimizer has measured to be small; larger
     # sides fall back to a shuffle join on their own.
     "spark.sql.autoBroadcastJoinThreshold": str(16 * 1024 * 1024),
