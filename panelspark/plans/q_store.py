@@ -281,3 +281,24 @@ def s16_save_models(spark, sf):
     root = files.shared_dir(spark, "models")
     saved = warehouse.save_models({"kmeans": km}, root)
     return spark.createDataFrame(saved, "model string, path string")
+
+
+@register("c17_live_refresh")
+def c17_live_refresh(spark, sf):
+    """Refresh twice: a normal run, then one where the station feed fails
+    and the last good snapshot's stations are served as 'stale'."""
+    from panelspark.plans.jobs import live_refresh
+    root = files.shared_dir(spark, "live_refresh")
+    pop, mon = live_population(spark, sf), live_monthly(spark, sf)
+    first = live_refresh(spark, root, pop, mon, attached_stations(spark, sf))
+    published = spark.read.parquet(f"{root}/_published")
+    second = live_refresh(spark, root, pop, mon, None, published=published)
+    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
+
+
+@register("c18_build_products")
+def c18_build_products(spark, sf):
+    from panelspark.plans.jobs import build_products
+    out = files.shared_dir(spark, "build")
+    return build_products(spark, out, B.population(spark, sf), B.registrations(spark, sf), B.entities(spark, sf),
+                          B.ELECTRIC_FUEL, 20.0)
