@@ -1,20 +1,30 @@
-"""Pooled panel models (M05-M09, M15-M16) on Spark ML.
-
-Count models use log1p(lag_1), log1p(lag_12), log1p(lag_3_mean), the month
-index and one-hot month-of-year and entity effects:
-
-* Poisson GLM: `GeneralizedLinearRegression(family="poisson", link="log")`.
-* NB2 alpha: moment estimate clip(mean(((y - mu)^2 - y) / mu^2), .01, 5).
-* Negative binomial with that fixed alpha: Spark has no NB family, so it is
-  fitted by IRLS -- each round one weighted least-squares fit
-  (`LinearRegression(weightCol, solver="normal")`) on the working response
-  z = eta + (y - mu) / mu with weights mu / (1 + alpha mu), starting from the
-  Poisson fit; lineage is cut with a reliable checkpoint every round.
+"""Pooled panel models (M05-M09, M15-M16) on Spark.
+
+Count models regress on log1p(lag_1), log1p(lag_12), log1p(lag_3_mean), the
+month index, month-of-year effects and one effect per entity, log link:
+
+* Poisson GLM and negative binomial (NB2, alpha fixed by the moment estimate
+  clip(mean(((y - mu)^2 - y) / mu^2), .01, 5) on the Poisson fit) share one
+  IRLS loop. The entity effects are never one-hot encoded: each weighted
+  least-squares round absorbs them by the weighted within-transformation
+  (Frisch-Waugh-Lovell), i.e. the design columns and the working response are
+  centred on their per-entity weighted means, and only the ~15 slopes are
+  solved (`LinearRegression(weightCol, solver="normal", fitIntercept=False)`:
+  one tree-aggregate of X'WX, X'Wz). The entity
+  effect is recovered as mean(z) - mean(x) . beta per entity. Each round is
+  the exact IRLS step of the full dummy-variable model, so the fit equals the
+  one-hot GLM, but its cost and memory do not depend on the entity count.
+* Per-entity means are window sums over `partitionBy(entity)`; each round
+  shuffles the narrow stored rows (entity, y, 4 numerics, month, eta) once by
+  entity -- panel rows, never raw rows: after the monthly flow aggregate an
+  entity has at most one row per month, so a window never holds more than
+  one series. The p x p system (p = 15) is the only thing on the driver.
+* Lineage is cut with a reliable checkpoint every round; converged when no
+  slope moves by more than tol * (1 + max |slope|).
 
 Entities whose training counts are all zero have no finite effect: they are
-left out of the fit and predicted 0 (deliberate difference, documented).
-The entity one-hot goes through Spark's normal-equation solver, which caps
-the design at 4096 columns; above that, entity effects need another design.
+left out of the fit and predicted 0 (deliberate difference, documented), as
+are entities never seen in training.
 
 Trees: `RandomForestRegressor` / `GBTRegressor` on log1p(target), expm1,
 clipped at 0. They are not bit-equal to other libraries' forests.
@@ -24,17 +34,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import (GBTRegressor, GeneralizedLinearRegression, LinearRegression,
-                                   LinearRegressionModel, RandomForestRegressor)
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.operators.panel import FEATURES
 from panelspark.session import cut_lineage
 
 COUNT_NUMERIC = ("log_lag_1", "log_lag_12", "log_lag_3_mean", "month_index")
+# Month-of-year effects; January is the reference level (entity effects
+# carry the intercept).
+MONTH_DUMMIES = tuple(f"moy_{m}" for m in range(2, 13))
+DESIGN = (*COUNT_NUMERIC, *MONTH_DUMMIES)
 ETA_CAP = 30.0
 
 # Tree hyper-parameters of the pooled panel models.
@@ -43,28 +57,74 @@ GBT_PARAMS = dict(maxIter=160, maxDepth=5, minInstancesPerNode=12, stepSize=0.1,
 
 
 def count_design(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        "log_lag_1": F.log1p("lag_1"), "log_lag_12": F.log1p("lag_12"), "log_lag_3_mean": F.log1p("lag_3_mean"),
-        "month_of_year": F.month("month").cast("string"), "month_index": F.col("month_index").cast("double"),
-    })
+    cols = {"log_lag_1": F.log1p("lag_1"), "log_lag_12": F.log1p("lag_12"), "log_lag_3_mean": F.log1p("lag_3_mean"),
+            "month_index": F.col("month_index").cast("double"), "moy": F.month("month")}
+    return df.withColumns(cols).withColumns(_dummies())
+
+
+def _dummies() -> dict[str, Column]:
+    return {f"moy_{m}": (F.col("moy") == m).cast("double") for m in range(2, 13)}
+
+
+@dataclass
+class GlmFit:
+    """Slopes over `DESIGN` plus a table (entity, effect) of fitted entities."""
+    beta: list[float]
+    effects: DataFrame
+    rounds: int
 
 
 @dataclass
 class CountModels:
-    prep: PipelineModel
-    poisson: object
-    nb: LinearRegressionModel | None
+    poisson: GlmFit
+    nb: GlmFit
     alpha: float
     zero_entities: DataFrame
     nb_rounds: int
 
 
-def _prep(train: DataFrame) -> PipelineModel:
-    idx = StringIndexer(inputCols=["entity", "month_of_year"], outputCols=["_ent_i", "_moy_i"],
-                        handleInvalid="keep", stringOrderType="alphabetAsc")
-    ohe = OneHotEncoder(inputCols=["_ent_i", "_moy_i"], outputCols=["_ent_v", "_moy_v"], dropLast=True, handleInvalid="keep")
-    asm = VectorAssembler(inputCols=[*COUNT_NUMERIC, "_moy_v", "_ent_v"], outputCol="features")
-    return Pipeline(stages=[idx, ohe, asm]).fit(train)
+def _linear(beta, cols=DESIGN) -> Column:
+    return sum((F.col(c) * F.lit(float(b)) for c, b in zip(cols, beta)), F.lit(0.0))
+
+
+def fit_glm_absorbed(rows: DataFrame, alpha: float = 0.0, max_iter: int = 100, tol: float = 1e-8) -> tuple[GlmFit, DataFrame]:
+    """Log-link count GLM over `DESIGN` with one absorbed effect per entity, by IRLS.
+
+    `rows` holds (entity, y, *COUNT_NUMERIC, moy, eta) with a starting linear
+    predictor. alpha = 0 is Poisson, alpha > 0 NB2. Converged when no slope
+    moves by more than tol * (1 + max |slope|). Returns the fit and the rows
+    with the final `eta` (same columns)."""
+    cols = list(DESIGN)
+    keep = ["entity", "y", *COUNT_NUMERIC, "moy"]
+    by_entity = Window.partitionBy("entity")
+    wls = LinearRegression(featuresCol="_x", labelCol="_zt", weightCol="_w", fitIntercept=False, solver="normal",
+                           regParam=0.0, elasticNetParam=0.0, standardization=False)
+    asm = VectorAssembler(inputCols=[f"_t_{c}" for c in cols], outputCol="_x")
+    cur, beta, rounds = rows, np.zeros(len(cols)), 0
+    for rounds in range(1, max_iter + 1):
+        # The one shuffle of the round, on the narrow stored columns; the
+        # month dummies and IRLS terms are derived after it.
+        eta = F.least(F.greatest(F.col("eta"), F.lit(-ETA_CAP)), F.lit(ETA_CAP))
+        mu = F.exp(eta)
+        d = cur.repartition("entity").select(
+            *keep, *[e.alias(k) for k, e in _dummies().items()],
+            (mu / (1.0 + F.lit(alpha) * mu)).alias("_w"), (eta + (F.col("y") - mu) / mu).alias("_z"))
+        sw = F.sum("_w").over(by_entity)
+        means = [(F.sum(F.col("_w") * F.col(c)).over(by_entity) / sw).alias(f"_m_{c}") for c in [*cols, "_z"]]
+        # read twice (weighted least squares, then the update): keep the windowed rows
+        d = d.select(*keep, *cols, "_w", "_z", *means).persist()
+        centred = asm.transform(d.select("_w", (F.col("_z") - F.col("_m__z")).alias("_zt"),
+                                         *[(F.col(c) - F.col(f"_m_{c}")).alias(f"_t_{c}") for c in cols]))
+        new = np.asarray(wls.fit(centred).coefficients.toArray())
+        effect = F.col("_m__z") - _linear(new, [f"_m_{c}" for c in cols])
+        cur = cut_lineage(d.select(*keep, (effect + _linear(new, cols)).alias("eta"), effect.alias("_effect")))
+        d.unpersist()
+        moved = float(np.max(np.abs(new - beta)))
+        beta = new
+        if rounds > 1 and moved < tol * (1.0 + float(np.max(np.abs(beta)))):
+            break
+    effects = cut_lineage(cur.groupBy("entity").agg(F.max("_effect").alias("_effect")))
+    return GlmFit([float(b) for b in beta], effects, rounds), cur.select(*keep, "eta")
 
 
 def fit_count_models(train: DataFrame, value: str = "ev_transactions", max_iter: int = 100,
@@ -73,46 +133,24 @@ def fit_count_models(train: DataFrame, value: str = "ev_transactions", max_iter:
     activity = d.groupBy("entity").agg(F.max(value).alias("_mx"))
     zero = activity.where(F.col("_mx") <= 0).select("entity")
     d = d.join(zero, "entity", "left_anti")
-    prep = _prep(d)
-    x = cut_lineage(prep.transform(d).select("features", F.col(value).cast("double").alias("y")))
-    glm = GeneralizedLinearRegression(family="poisson", link="log", maxIter=max_iter, regParam=0.0, labelCol="y",
-                                      featuresCol="features", linkPredictionCol="eta")
-    pois = glm.fit(x)
-    cur = pois.transform(x).select("features", "y", "eta")
+    y = F.col(value).cast("double")
+    rows = cut_lineage(d.select("entity", y.alias("y"), *COUNT_NUMERIC, "moy", F.log(y + 0.1).alias("eta")))
+    pois, fitted = fit_glm_absorbed(rows, 0.0, max_iter, tol)
     mu = F.greatest(F.exp(F.least(F.col("eta"), F.lit(ETA_CAP))), F.lit(1e-6))
-    raw_alpha = cur.select(F.avg(((F.col("y") - mu) ** 2 - F.col("y")) / (mu * mu))).first()[0]
+    raw_alpha = fitted.select(F.avg(((F.col("y") - mu) ** 2 - F.col("y")) / (mu * mu))).first()[0]
     alpha = float(min(max(raw_alpha if raw_alpha is not None else 0.01, 0.01), 5.0))
-    nb, rounds, prev = None, 0, None
-    for rounds in range(1, nb_rounds + 1):
-        eta = F.least(F.greatest(F.col("eta"), F.lit(-ETA_CAP)), F.lit(ETA_CAP))
-        m = F.exp(eta)
-        work = cur.select("features", "y", (m / (F.lit(1.0) + F.lit(alpha) * m)).alias("w"),
-                          (eta + (F.col("y") - m) / m).alias("z"))
-        nb = LinearRegression(featuresCol="features", labelCol="z", weightCol="w", solver="normal", regParam=0.0,
-                              elasticNetParam=0.0, standardization=False, fitIntercept=True,
-                              predictionCol="eta").fit(work)
-        coef = list(nb.coefficients.toArray()) + [nb.intercept]
-        cur = cut_lineage(nb.transform(work.select("features", "y")).select("features", "y", "eta"))
-        if prev is not None and max(abs(a - b) for a, b in zip(coef, prev)) < tol * (1 + max(abs(c) for c in coef)):
-            break
-        prev = coef
-    return CountModels(prep, pois, nb, alpha, zero, rounds)
+    nb, _ = fit_glm_absorbed(fitted, alpha, nb_rounds, tol)  # starts from the Poisson fit
+    return CountModels(pois, nb, alpha, zero, nb.rounds)
 
 
 def predict_count(models: CountModels, df: DataFrame, which: str, out: str = "prediction") -> DataFrame:
-    """Predictions >= 0 for `df` rows (keeps its columns); entities left out
-    of the fit get 0."""
-    d = models.prep.transform(count_design(df))
-    if which == "poisson_glm":
-        p = models.poisson.transform(d).withColumnRenamed("prediction", "_p")
-        pred = F.col("_p")
-    else:
-        p = models.nb.transform(d).withColumnRenamed("eta", "_eta")
-        pred = F.exp(F.least(F.col("_eta"), F.lit(ETA_CAP)))
-    zero = models.zero_entities.withColumn("_zero", F.lit(True))
-    p = p.join(zero, "entity", "left")
-    p = p.withColumn(out, F.when(F.col("_zero"), F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), pred)))
-    return p.select(*df.columns, out)
+    """Predictions >= 0 for `df` rows (keeps its columns); entities without a
+    fitted effect (all-zero or unseen in training) get 0."""
+    fit = models.poisson if which == "poisson_glm" else models.nb
+    d = count_design(df).join(fit.effects, "entity", "left")
+    eta = F.least(F.col("_effect") + _linear(fit.beta), F.lit(ETA_CAP))
+    pred = F.when(F.col("_effect").isNull(), F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.exp(eta)))
+    return d.select(*df.columns, pred.alias(out))
 
 
 def fit_tree(train: DataFrame, kind: str, features=FEATURES, value: str = "ev_transactions", **overrides) -> PipelineModel:
