@@ -226,11 +226,11 @@ def conformal_intervals(features: DataFrame, predictor: str, value: str = "ev_tr
     strata = volume_strata(fitting, value).select("entity", "volume_group")
     cal = data.where(F.col("period") == "calibration").join(strata, "entity", "left") \
         .withColumn("absolute_error", F.abs(F.col(value) - F.col(predictor)))
-    q = conformal_quantiles(cal)
-    q80 = q.where(F.col("level") == 80).select("volume_group", F.col("q").alias("q80"))
-    q95 = q.where(F.col("level") == 95).select("volume_group", F.col("q").alias("q95"))
+    # both levels side by side in one aggregate: one join to the test block
+    q = conformal_quantiles(cal).groupBy("volume_group").agg(
+        F.max(F.when(F.col("level") == 80, F.col("q"))).alias("q80"), F.max(F.when(F.col("level") == 95, F.col("q"))).alias("q95"))
     test = data.where(F.col("period") == "test").join(strata, "entity", "left")
-    out = test.join(q80, "volume_group", "left").join(q95, "volume_group", "left").select(
+    out = test.join(q, "volume_group", "left").select(
         "entity", "month", F.col(value).alias("actual"), F.col(predictor).alias("prediction"), "volume_group",
         F.greatest(F.lit(0.0), F.col(predictor) - F.col("q80")).alias("lower_80"), (F.col(predictor) + F.col("q80")).alias("upper_80"),
         F.greatest(F.lit(0.0), F.col(predictor) - F.col("q95")).alias("lower_95"), (F.col(predictor) + F.col("q95")).alias("upper_95"))

@@ -136,10 +136,13 @@ def ntile_of(rn: Column, n: Column, k: int) -> Column:
 
 
 def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] | None = None,
-              counted: bool = False) -> DataFrame:
+              counted: bool = False, parts: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation (same as `median` /
     `percentile` / pandas `quantile`), one row per group, NULLs ignored.
-    `counted`: `df` is already (by..., value, _n)."""
+    `counted`: `df` is already (by..., value, _n). For names in `parts`,
+    the two order statistics and the fraction are kept as `<name>_lo`,
+    `<name>_hi`, `<name>_fr`: the same quantile of f(value) for a
+    non-decreasing f is then f(lo) + (f(hi) - f(lo)) * fr, with no new pass."""
     by = _names(by)
     pos = value_positions(df, value, by, counted=counted)
     aggs = []
@@ -160,6 +163,8 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[s
     for name in probs:
         lo, hi, fr = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_fr_{name}")
         out.append((lo + (hi - lo) * fr).cast("double").alias(name))
+        if name in parts:
+            out += [lo.cast("double").alias(f"{name}_lo"), hi.cast("double").alias(f"{name}_hi"), fr.alias(f"{name}_fr")]
     return g.select(*out)
 
 

@@ -64,12 +64,14 @@ def zip_majority(zip_rows: DataFrame) -> DataFrame:
 def attach_entities(stations: DataFrame, lookup: DataFrame, check_unique: bool = True) -> DataFrame:
     """Many-to-one left join of stations to the ZIP lookup on the padded ZIP
     (C14, J06). With `check_unique` the right side is asserted unique per
-    ZIP (raises on the driver if not; a one-row aggregate)."""
+    ZIP inside the same plan: one aggregate per padded ZIP counts its rows
+    and `raise_error` fails the query if any ZIP has two -- no separate pass
+    over the lookup on the driver."""
     right = lookup.select(norm_zip("zip").alias("zip"), "entity")
     if check_unique:
-        worst = right.groupBy("zip").count().agg(F.max("count")).first()[0]
-        if worst is not None and worst > 1:
-            raise ValueError("ZIP lookup is not unique per ZIP")
+        right = right.groupBy("zip").agg(F.count(F.lit(1)).alias("_n"), F.min("entity").alias("entity")).select(
+            "zip", F.when(F.col("_n") > 1, F.raise_error(F.lit("ZIP lookup is not unique per ZIP")))
+            .otherwise(F.col("entity")).alias("entity"))
     return stations.withColumn("zip", norm_zip("zip")).join(right, "zip", "left")
 
 
@@ -119,9 +121,13 @@ def opportunity_score(population: DataFrame, monthly: DataFrame, stations: DataF
     })
     # one row per entity from here on: materialise it once for the ranking passes
     m = cut_lineage(m)
-    q = quantiles(m, "registration_growth_pct", {"p05": 0.05, "p95": 0.95})
-    m = m.withColumn("_growth", clip("registration_growth_pct", q.select("p05").scalar(), q.select("p95").scalar()))
-    med = quantiles(m, "_growth", {"med": 0.5}).select("med").scalar()
+    # p5, p95 and the median in one ranking pass: clipping is non-decreasing,
+    # so the median of the clipped growth comes from the raw order statistics
+    q = cut_lineage(quantiles(m, "registration_growth_pct", {"p05": 0.05, "p95": 0.95, "med": 0.5}, parts=("med",)))
+    p05, p95 = q.select("p05").scalar(), q.select("p95").scalar()
+    m = m.withColumn("_growth", clip("registration_growth_pct", p05, p95))
+    lo, hi = clip(q.med_lo, q.p05, q.p95), clip(q.med_hi, q.p05, q.p95)
+    med = q.select(lo + (hi - lo) * q.med_fr).scalar()
     m = m.withColumns({
         "_gap_in": F.coalesce(F.col("evs_per_port"), F.col("ev_stock").cast("double")),
         # all-NULL growth (no prior activity anywhere): every entity ties

@@ -33,13 +33,9 @@ def forecast_for(long_forecasts: DataFrame, name: str) -> DataFrame:
 def stations_for(stations: DataFrame, entity: str | None = None) -> DataFrame:
     """Stations, optionally of one entity (case-insensitive), with the count (Q05)."""
     s = stations if entity is None else lookup(stations, "entity", entity)
-    return s.withColumn("count", F.count(F.lit(1)).over(_whole()))
-
-
-def _whole():
-    from pyspark.sql import Window
-    # one served entity's stations: a small, already-filtered frame
-    return Window.partitionBy(F.lit(1))
+    # the count is a scalar subquery (partial counts, one value broadcast back),
+    # not a window over one partition holding every station
+    return s.withColumn("count", s.select(F.count(F.lit(1))).scalar())
 
 
 def history_and_forecast(history: DataFrame, forecast: DataFrame, value: str = "value") -> DataFrame:

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from panelspark.operators import score
@@ -84,3 +86,13 @@ def test_incremental_gate_decisions(spark, tmp_path):
     src.write_text("value\n2\n")
     fp2 = files.fingerprint_sources(spark, str(src))
     assert files.incremental_gate(fp2, manifest, True).first().run
+
+
+def test_attach_entities_rejects_a_non_unique_zip_lookup(spark):
+    # The right side must be unique per padded ZIP ("8101" and "08101" collide)
+    stations = spark.createDataFrame([("10", "08101", 2)], "station_id string, zip string, ports bigint")
+    lookup = spark.createDataFrame([("8101", "King"), ("08101", "Pierce")], "zip string, entity string")
+    with pytest.raises(Exception, match="not unique per ZIP"):
+        score.attach_entities(stations, lookup).collect()
+    ok = spark.createDataFrame([("8101", "King")], "zip string, entity string")
+    assert [r.entity for r in score.attach_entities(stations, ok).collect()] == ["King"]
