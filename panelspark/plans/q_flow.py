@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 from panelspark.operators import clean, metrics, panel
 from panelspark.plans.catalog import register
 from panelspark.plans.oracle_sql import FEATURE_ROUND, dense_sql, features_sql, flow_sql, splits_sql
+from panelspark.session import cut_lineage
 from panelspark.sources import bindings as B
 
 
 def flow_of(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.load_flow(B.registrations(spark, sf), B.entities(spark, sf), electric=B.ELECTRIC_FUEL)
+    """The monthly flow, written once (reliable checkpoint). Every panel query
+    reads it several times -- grid bounds, entity list, grid join, statewide
+    totals -- and each read of an unmaterialised flow would be another scan
+    and join of the raw transaction tables. It holds one row per
+    (entity, month), so it is tiny next to the raw rows."""
+    return cut_lineage(clean.load_flow(B.registrations(spark, sf), B.entities(spark, sf), electric=B.ELECTRIC_FUEL))
 
 
 def features_of(spark: SparkSession, sf: str, drop_incomplete: bool = True) -> DataFrame:

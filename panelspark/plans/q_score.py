@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelspark.operators import score
 from panelspark.operators.order_stats import rank_min, rank_pct
 from panelspark.plans.catalog import register
+from panelspark.session import cut_lineage
 from panelspark.sources import bindings as B
 
 
@@ -18,10 +19,12 @@ def live_population(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def live_monthly(spark: SparkSession, sf: str) -> DataFrame:
-    """Electric sum per (entity, month), out-of-state rows excluded."""
+    """Electric sum per (entity, month), out-of-state rows excluded.
+    Written once: the window bounds (a scalar over it) and the window sums
+    both read it, and it is one row per (entity, month)."""
     r = B.live_registrations(spark, sf)
-    return r.where((F.col("fuel") == "Electric") & (F.col("entity") != "Out Of State")) \
-        .groupBy("entity", F.col("txn_month").alias("month")).agg(F.sum("cnt").alias("ev_transactions"))
+    return cut_lineage(r.where((F.col("fuel") == "Electric") & (F.col("entity") != "Out Of State"))
+                       .groupBy("entity", F.col("txn_month").alias("month")).agg(F.sum("cnt").alias("ev_transactions")))
 
 
 def stations_of(spark: SparkSession, sf: str) -> DataFrame:

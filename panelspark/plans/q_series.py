@@ -9,6 +9,7 @@ from panelspark.operators import evaluate, metrics, models, panel
 from panelspark.plans.catalog import register
 from panelspark.plans.oracle_sql import flow_sql
 from panelspark.plans.q_flow import flow_of
+from panelspark.session import cut_lineage
 
 MIN_HISTORY = 72  # the binding's series span 80 months; the library default is 84
 CLOSED_FORM = ("seasonal_naive", "linear", "polynomial_2")
@@ -25,7 +26,8 @@ def series_of(spark: SparkSession, sf: str, min_history: int = MIN_HISTORY) -> D
         F.col("entity").alias("series"), "month", F.col("ev_transactions").alias("value"))
     both = ent.unionByName(state)
     lengths = both.groupBy("series").agg(F.count(F.lit(1)).alias("_len")).where(F.col("_len") >= min_history)
-    return both.join(lengths.select("series"), "series", "left_semi")
+    # read by every model (and by several branches of each fit): write once
+    return cut_lineage(both.join(lengths.select("series"), "series", "left_semi"))
 
 
 def forecast(spark, sf, model: str) -> DataFrame:
@@ -34,8 +36,12 @@ def forecast(spark, sf, model: str) -> DataFrame:
     return pred.select("series", "month", F.bround("prediction", 0).cast("bigint").alias("prediction"))
 
 
-def fold_predictions(spark, sf, model: str) -> DataFrame:
-    folds = panel.rolling_folds(series_of(spark, sf), series_key="series")
+def fold_rows(spark, sf) -> DataFrame:
+    return cut_lineage(panel.rolling_folds(series_of(spark, sf), series_key="series"))
+
+
+def fold_predictions(spark, sf, model: str, folds: DataFrame | None = None) -> DataFrame:
+    folds = fold_rows(spark, sf) if folds is None else folds
     pred = models.SERIES_FITTERS[model](folds, ["series", "fold"])
     return pred.withColumn("model", F.lit(model))
 
@@ -136,7 +142,8 @@ FOLD_RMSE_SQL = "fold_rmse AS (" + " UNION ALL ".join(
 @register("m13_fold_scores", series_sql("SELECT * FROM fold_rmse", FOLDS_SQL, FOLD_RMSE_SQL))
 def m13_fold_scores(spark, sf):
     """RMSE per series, model and fold of the closed-form models."""
-    parts = [fold_predictions(spark, sf, m) for m in CLOSED_FORM]
+    folds = fold_rows(spark, sf)  # one fold table for all three models
+    parts = [fold_predictions(spark, sf, m, folds) for m in CLOSED_FORM]
     pred = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return pred.groupBy("series", "fold", "model").agg(
         F.round(F.sqrt(F.avg((F.col("value") - F.col("prediction")) ** 2)), 2).alias("rmse"))
@@ -149,7 +156,7 @@ def m13_fold_scores(spark, sf):
                                CASE model WHEN 'seasonal_naive' THEN 1 WHEN 'linear' THEN 2 ELSE 3 END) = 1""", FOLDS_SQL, FOLD_RMSE_SQL))
 def m13_model_selection(spark, sf):
     """Winner per series: mean of the rounded fold RMSEs, ties to the earlier model."""
-    folds = m13_fold_scores(spark, sf)
+    folds = cut_lineage(m13_fold_scores(spark, sf))  # series x model x fold scores, read twice below
     means = folds.groupBy("series", "model").agg(F.round(F.avg("rmse"), 2).alias("mean_rmse"))
     best = evaluate.best_by(means, "mean_rmse", CLOSED_FORM, by=["series"])
     return best.join(means.groupBy("series").agg(F.min("mean_rmse").alias("best_mean_rmse")), "series")
@@ -162,11 +169,10 @@ def selection_all(spark, sf) -> dict:
     """M13/M14 with all six models: fold RMSEs, winner per series (mean of
     the rounded fold RMSEs, ties to the earlier model), holdout scores and the
     12-month forecast of every model plus the selected one."""
-    from panelspark.session import cut_lineage
     key = (spark.sparkContext.applicationId, sf)
     if key in _MEMO:
         return _MEMO[key]
-    series = cut_lineage(series_of(spark, sf))
+    series = series_of(spark, sf)
     folds = cut_lineage(panel.rolling_folds(series, series_key="series"))
     hold = cut_lineage(models.holdout_rows(series, ["series"]))
     fut = cut_lineage(models.future_rows(series, ["series"]))
