@@ -42,3 +42,9 @@ def split_words(text: Column) -> Column:
     """Words between ASCII white space, in order; null text has none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_GAP))
+
+
+def computed_once(df: DataFrame, column: str) -> DataFrame:
+    """The same rows. Conditions on `column` are not pushed into the expressions that make it, where each reference
+    would compute them again: they stay above a generator of one element."""
+    return df.select(*(c for c in df.columns if c != column), F.explode(F.array(F.col(column))).alias(column)).select(*df.columns)

@@ -26,7 +26,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import free_name
+from panelspark.llm.common import computed_once, free_name
 
 THRESHOLD = 0.8
 
@@ -140,8 +140,8 @@ def scan(df: DataFrame, text: str = "text", out: str = "licences", templates: di
     hits = F.transform(hits, lambda h: F.struct(h["unit"].alias("unit"), h["best"]["licence"].alias("licence"),
                                                 (-h["best"]["minus"]).alias("score")))
     out = free_name(df, out)
-    return df2.withColumn(out, F.coalesce(F.array_sort(hits), F.expr(
-        "cast(array() as array<struct<unit:int,licence:string,score:double>>)"))).drop(b)
+    return computed_once(df2.withColumn(out, F.coalesce(F.array_sort(hits), F.expr(
+        "cast(array() as array<struct<unit:int,licence:string,score:double>>)"))).drop(b), out)
 
 
 def best_of(licences: Column) -> Column:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import free_name, split_words
+from panelspark.llm.common import computed_once, free_name, split_words
 
 WINDOW = 5
 
@@ -91,7 +91,7 @@ def ledger(df: DataFrame, text: str = "text", out: str = "ledger") -> DataFrame:
     total = bits[0]
     for b in bits[1:]:
         total = total.bitwiseOR(b)
-    return measured.withColumn(out, F.col(out).withField("failure_bits", total))
+    return computed_once(measured.withColumn(out, F.col(out).withField("failure_bits", total)), out)
 
 
 def _qualified(rule: str, out: str, names) -> str:
