@@ -17,12 +17,27 @@ Only the id and text columns are read, so other columns cannot clash.
 
 from __future__ import annotations
 
+import base64
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.op4_bpe import vocabulary
+_ENCODERS: dict[tuple[str, str], object] = {}
+
+
+def encoder(rank_file: str, pattern: str):
+    """The library's encoder over a rank file; one a worker process."""
+    import tiktoken
+
+    if (rank_file, pattern) not in _ENCODERS:
+        with open(rank_file, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
+        _ENCODERS[rank_file, pattern] = tiktoken.Encoding("rows", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return _ENCODERS[rank_file, pattern]
+
 
 WIDTH = 2048
 BLOCK_TOKENS = 4_000_000
@@ -97,10 +112,8 @@ def pack_rows(df: DataFrame, rank_file: str, pattern: str, doc_id: str = "doc_id
     docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches):
-        import hashlib
-
-        voc = vocabulary(rank_file, pattern)
-        end, dtype = np.array([voc.size], "<i4"), "<u2" if voc.size < 1 << 16 else "<u4"
+        enc = encoder(rank_file, pattern)
+        end, dtype = enc.max_token_value + 1, "<u2" if enc.max_token_value + 1 < 1 << 16 else "<u4"
         block, held, name = [], 0, hashlib.sha256()
 
         def flush():
@@ -116,7 +129,7 @@ def pack_rows(df: DataFrame, rank_file: str, pattern: str, doc_id: str = "doc_id
 
         for batch in batches:
             for doc, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.concatenate([np.frombuffer(voc.encode(t) if t else b"", "<i4"), end])
+                ids = np.array([*enc.encode_ordinary(t or ""), end], "<i4")
                 block.append((doc, ids))
                 name.update(b"%s:%d:" % (str(doc).encode(), len(ids)) + ids[:8].tobytes())
                 held += len(ids)
