@@ -34,12 +34,12 @@ from pyspark.sql import Window as W
 
 from panelspark.llm.common import free_name, split_words
 
-PER_LANGUAGE = 300
-MAX_WORDS = 300
+PER_LANGUAGE = 250
+MAX_WORDS = 200
 FEATURE_BITS = 17
 ROUNDS = 25
-CACHE_WORDS = 400_000
-SLICE_WORDS = 1_000_000
+CACHE_WORDS = 250_000
+SLICE_WORDS = 500_000
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
