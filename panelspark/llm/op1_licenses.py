@@ -95,7 +95,7 @@ def template_bigrams(text: str) -> list[str]:
 def anchors(text: str, threshold: float) -> set[str]:
     """Words, the longest first, that touch more bigrams than a match may lack."""
     grams = [g.split() for g in template_bigrams(text)]
-    may_lack = len(grams) * (1 - threshold / (2 - threshold))
+    may_lack = int(len(grams) * (1 - threshold / (2 - threshold)) + 1e-9)
     found, words = set(), sorted({w for g in grams for w in g}, key=lambda w: (-len(w), w))
     for w in words:
         if sum(1 for g in grams if found & set(g)) > may_lack:
