@@ -112,8 +112,9 @@ def norm_key(c: str | Column) -> Column:
 
 
 def norm_zip(c: str | Column) -> Column:
-    """Zero-pad a ZIP to five characters."""
-    return F.lpad(_col(c).cast("string"), 5, "0")
+    """Zero-pad a ZIP to five characters; longer codes stay whole."""
+    z = _col(c).cast("string")
+    return F.when(F.length(z) < 5, F.lpad(z, 5, "0")).otherwise(z)
 
 
 def extract_zip(c: str | Column) -> Column:

@@ -17,12 +17,12 @@ def error_sums(actual: str, predicted: str) -> list[Column]:
     e = F.col(actual) - F.col(predicted)
     y = F.col(actual)
     return [F.count(F.lit(1)).alias("_n"), F.sum(F.abs(e)).alias("_sae"), F.sum(e * e).alias("_sse"),
-            F.sum(y).alias("_sy"), F.sum(y * y).alias("_syy")]
+            F.sum(y).alias("_sy"), F.var_pop(y).alias("_vy")]
 
 
 def from_sums(wape: str = "pooled", digits: bool = True) -> list[Column]:
-    n, sae, sse, sy, syy = (F.col(c) for c in ("_n", "_sae", "_sse", "_sy", "_syy"))
-    sst = syy - sy * sy / n
+    n, sae, sse, sy, vy = (F.col(c) for c in ("_n", "_sae", "_sse", "_sy", "_vy"))
+    sst = vy * n  # not from raw squares, whose difference cancels for large counts
     r2 = F.when(sst > 0, F.lit(1.0) - sse / sst)
     if wape == "pooled":
         w = sae / F.greatest(sy, F.lit(1.0)) * 100.0

@@ -8,6 +8,7 @@ sub-folder per run.
 from __future__ import annotations
 
 import json
+import hashlib
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from panelspark.functions import null_tokens
 from panelspark.session import ensure_checkpoint_dir
 
-LARGE_FILE_BYTES = 1 << 30  # content hashing reads a file in one task; above this, hash metadata only
+HASH_CHUNK_BYTES = 8 << 20  # a file is hashed by the task that owns its path, in chunks of this size
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
@@ -43,19 +44,33 @@ def raw_row_count(df: DataFrame) -> Column:
     return df.select(F.count(F.lit(1))).scalar()
 
 
+def _hash_files(batches):
+    from pyarrow import fs
+
+    for pdf in batches:
+        digests = []
+        for path in pdf["path"]:
+            scheme, _, rest = path.partition(":")
+            uri = f"{scheme}:///{rest.lstrip('/')}" if scheme == "file" else path
+            system, name = fs.FileSystem.from_uri(uri.replace(" ", "%20") if scheme == "file" else uri)
+            h = hashlib.sha256()
+            with system.open_input_stream(name, compression=None) as stream:
+                while chunk := stream.read(HASH_CHUNK_BYTES):
+                    h.update(chunk)
+            digests.append(h.hexdigest())
+        yield pdf.assign(digest=digests)[["path", "digest"]]
+
+
 def fingerprint_sources(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
-    """Per file: source id, scheme, size, sha256, modification time,
-    ingested_at (S03) from the `binaryFile` source. Files above
-    LARGE_FILE_BYTES are fingerprinted by sha256 of (path, size, mtime)
-    instead of their content (a file is read by one task)."""
+    """Per file: source id, scheme, size, sha256 of its content, modification time, ingested_at (S03). Content is
+    hashed for files of any size, a chunk at a time in the task that owns the path."""
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     meta = reader.load(paths).select("path", "length", "modificationTime")
-    small = reader.load(paths).where(F.col("length") <= LARGE_FILE_BYTES).select("path", F.sha2("content", 256).alias("_h"))
-    out = meta.join(small, "path", "left")
-    digest = F.coalesce(F.col("_h"), F.sha2(F.concat_ws("|", "path", F.col("length").cast("string"),
-                                                           F.col("modificationTime").cast("string")), 256))
+    hashed = meta.select("path").mapInPandas(_hash_files, "path string, digest string")
+    out = meta.join(hashed, "path")
+    digest = F.col("digest")
     return out.select(F.col("path").alias("source_id"), F.regexp_extract("path", r"^([a-zA-Z0-9]+):", 1).alias("scheme"),
                       F.col("length").alias("size_bytes"), digest.alias("sha256"),
                       F.col("modificationTime").alias("last_modified"), F.current_timestamp().alias("ingested_at"))

@@ -54,11 +54,16 @@ def create_table_sql(name: str, location: str) -> str:
 def merge_upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """Matched keys take the update's non-key columns, unmatched updates are
     inserted, other target rows stay (S12). Duplicate keys inside `updates`:
-    the last by `order` wins (an arg-max aggregate, combined map-side)."""
+    the last by `order` wins (an arg-max aggregate, combined map-side); without
+    an order they are an error, raised when the result is computed."""
     keys = list(keys)
+    rest = [c for c in updates.columns if c not in keys]
     upd = updates
-    if order is not None:
-        rest = [c for c in updates.columns if c not in keys]
+    if order is None and rest:
+        once = updates.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_r"), F.count(F.lit(1)).alias("_times"))
+        checked = F.when(F.col("_times") == 1, F.col("_r")).otherwise(F.raise_error(F.lit("updates repeat a key; name an order column")))
+        upd = once.select(*keys, checked.alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    elif order is not None:
         best = updates.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_r"))
         upd = best.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
     if target is None:
@@ -103,10 +108,15 @@ def upsert_table(spark: SparkSession, root: str, updates: DataFrame, keys: Seque
     out = fs.create(tmp, True)
     out.write(json.dumps({"version": version}).encode() + b"\n")
     out.close()
-    if fs.exists(path):
-        fs.delete(path, False)
-    fs.rename(tmp, path)
-    return updates.count()
+    # One rename that replaces the old pointer: there is no moment without one.
+    sc = spark.sparkContext
+    replace = getattr(sc._jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = sc._gateway.new_array(replace, 1)
+    options[0] = replace.OVERWRITE
+    conf = sc._jsc.hadoopConfiguration()
+    sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(
+        fs.makeQualified(tmp), fs.makeQualified(path), options)
+    return updates.select(*keys).distinct().count()
 
 
 def load_forecasts(wide: DataFrame, id_cols: Sequence[str] = ("entity", "month"), statewide_key: str = "statewide",

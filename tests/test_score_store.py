@@ -96,3 +96,31 @@ def test_attach_entities_rejects_a_non_unique_zip_lookup(spark):
         score.attach_entities(stations, lookup).collect()
     ok = spark.createDataFrame([("8101", "King")], "zip string, entity string")
     assert [r.entity for r in score.attach_entities(stations, ok).collect()] == ["King"]
+
+
+def test_fingerprint_follows_content_under_equal_size_and_time(spark, tmp_path):
+    import hashlib
+    import os
+
+    from panelspark.sources.files import fingerprint_sources
+    f = tmp_path / "a b.csv"
+    seen = []
+    for body in (b"value\n1\n", b"value\n2\n"):
+        f.write_bytes(body)
+        os.utime(f, (1_700_000_000, 1_700_000_000))
+        seen.append(fingerprint_sources(spark, str(tmp_path)).first().sha256)
+        assert seen[-1] == hashlib.sha256(body).hexdigest()
+    assert seen[0] != seen[1]
+
+
+def test_upsert_replaces_the_pointer_and_refuses_repeated_keys(spark, tmp_path):
+    import pytest
+
+    from panelspark.sources.warehouse import merge_upsert, read_table, upsert_table
+    root = str(tmp_path / "t")
+    upd = lambda *rows: spark.createDataFrame(rows, "k int, v int")
+    upsert_table(spark, root, upd((1, 1), (2, 2)), ["k"])
+    upsert_table(spark, root, upd((2, 3)), ["k"])
+    assert sorted(map(tuple, read_table(spark, root).collect())) == [(1, 1), (2, 3)]
+    with pytest.raises(Exception, match="repeat a key"):
+        merge_upsert(None, upd((1, 1), (1, 2)), ["k"]).collect()

@@ -63,3 +63,32 @@ def test_missing_required_column_stops_checks(spark):
     raw = spark.createDataFrame([("1",)], "`DOL Vehicle ID` string")
     rep = quality.validate_population(raw).collect()
     assert len(rep) == 1 and rep[0].check == "required_columns" and rep[0]["count"] == 8
+
+
+def test_duplicate_rows_compare_all_columns(spark):
+    from panelspark.operators.quality import validate_registrations
+    cols = ["Transaction Date", "Residential County", "Fuel Type", "Count", "Note"]
+    rows = [("2025-01-01", "King", "Electric", "1", "a"), ("2025-01-01", "King", "Electric", "1", "b"), ("2025-01-02", "King", "Electric", "1", "c"),
+            ("2025-01-02", "King", "Electric", "1", "c")]
+    got = {r.check: r["count"] for r in validate_registrations(spark.createDataFrame(rows, cols)).collect()}
+    assert got["duplicate_row"] == 2
+
+
+def test_r2_of_large_counts(spark):
+    import numpy as np
+
+    from panelspark.operators.metrics import score
+    rng = np.random.default_rng(0)
+    y = 1e9 + rng.normal(0, 3, 500)
+    p = y + rng.normal(0, 0.3, 500)
+    want = 1 - ((y - p) ** 2).sum() / ((y - y.mean()) ** 2).sum()
+    row = score(spark.createDataFrame([(float(a), float(b)) for a, b in zip(y, p)], "y double, p double"), "y", "p", rounded=False).first()
+    assert abs(row.r2 - want) < 1e-6
+
+
+def test_long_zip_stays_whole(spark):
+    from pyspark.sql import functions as F
+
+    from panelspark.functions.scalars import norm_zip
+    got = [r[0] for r in spark.createDataFrame([("981",), ("981011",), (None,)], "z string").select(norm_zip(F.col("z"))).collect()]
+    assert got == ["00981", "981011", None]
