@@ -126,6 +126,13 @@ def row_number(df: DataFrame, order: Sequence[str | Column], out: str = "rn",
     return res.withColumn(total, F.col(total).cast("bigint")) if total else res
 
 
+def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
+    """`n` rows (U05), the same for every plan and partitioning: those first by the md5 of seed and `key`, rows of
+    equal keys by their other columns."""
+    ordered = df.withColumn("_md5", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))))
+    return row_number(ordered, ["_md5", *df.columns], "_rn").where(F.col("_rn") <= n).select(*df.columns)
+
+
 def ntile_of(rn: Column, n: Column, k: int) -> Column:
     """SQL `ntile(k)` from a 1-based row number and the row count: the first
     (n mod k) tiles hold one extra row."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.functions import clip, extract_zip, norm_key, norm_zip, safe_ratio
+from panelspark.functions import clip, extract_zip, norm_key, norm_zip, safe_ratio, to_number
 from panelspark.operators.order_stats import quantiles, rank_min, rank_pct_many
 from panelspark.session import cut_lineage
 
@@ -24,6 +24,11 @@ def _first_non_null(c: str, ordinal: Column) -> Column:
     return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), ordinal))
 
 
+def _number(df: DataFrame, name: str) -> Column:
+    """A column as double; text that is no number, blank text too, is NULL."""
+    return to_number(name) if dict(df.dtypes)[name] == "string" else F.col(name).cast("double")
+
+
 def station_rollup(units: DataFrame, ordinal: Column | None = None) -> DataFrame:
     """Charging units -> stations (C12, A09). A unit is one port; it is fast
     when it has a CCS/CHAdeMO connector, or a J3400/J3271 connector at
@@ -31,7 +36,7 @@ def station_rollup(units: DataFrame, ordinal: Column | None = None) -> DataFrame
     first non-null in unit order; fast ports are capped at ports. Missing
     connector/power columns act as 0."""
     def num(c):
-        return F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in units.columns else F.lit(0.0)
+        return F.coalesce(_number(units, c), F.lit(0.0)) if c in units.columns else F.lit(0.0)
     dedicated = (num("ccs_count") + num("chademo_count")) > 0
     shared = ((num("j3400_count") > 0) & (num("j3400_kw") >= FAST_KW)) | ((num("j3271_count") > 0) & (num("j3271_kw") >= FAST_KW))
     ordinal = ordinal if ordinal is not None else F.monotonically_increasing_id()
@@ -39,7 +44,7 @@ def station_rollup(units: DataFrame, ordinal: Column | None = None) -> DataFrame
         F.col("station_id").cast("string").alias("station_id"),
         F.coalesce(F.col("station_name"), F.lit("")).alias("station_name"),
         extract_zip("zip_text").alias("zip"),
-        F.col("latitude").cast("double").alias("latitude"), F.col("longitude").cast("double").alias("longitude"),
+        _number(units, "latitude").alias("latitude"), _number(units, "longitude").alias("longitude"),
         F.coalesce(F.col("network"), F.lit("")).alias("network"),
         (dedicated | shared).cast("bigint").alias("fast"), ordinal.alias("_ord"),
     ).where(F.col("zip").isNotNull())
@@ -55,7 +60,7 @@ def zip_majority(zip_rows: DataFrame) -> DataFrame:
     (C13, W07). An arg-min aggregate, so it combines map-side: a ZIP with a
     third of all rows still never lands whole in one task."""
     z = zip_rows.select(extract_zip("zip_text").alias("zip"), F.col("entity"),
-                        F.coalesce(F.col("records").cast("bigint"), F.lit(0)).alias("records"))
+                        F.coalesce(_number(zip_rows, "records").cast("bigint"), F.lit(0)).alias("records"))
     z = z.where(F.col("zip").isNotNull() & F.col("entity").isNotNull())
     best = z.groupBy("zip").agg(F.min(F.struct((-F.col("records")).alias("nr"), F.col("entity").alias("e"), )).alias("b"))
     return best.select("zip", F.col("b.e").alias("entity"), (-F.col("b.nr")).alias("records"))
@@ -119,8 +124,8 @@ def opportunity_score(population: DataFrame, monthly: DataFrame, stations: DataF
         "evs_per_port": safe_ratio("ev_stock", "public_ports"),
         "dc_fast_share_pct": safe_ratio("dc_fast_ports", "public_ports") * 100.0,
     })
-    # one row per entity from here on: materialise it once for the ranking passes
-    m = cut_lineage(m)
+    # written once for the ranking passes; ranks belong to rows, as names that differ in case only share their key
+    m = cut_lineage(m.withColumn("_row", F.monotonically_increasing_id()))
     # p5, p95 and the median in one ranking pass: clipping is non-decreasing,
     # so the median of the clipped growth comes from the raw order statistics
     q = cut_lineage(quantiles(m, "registration_growth_pct", {"p05": 0.05, "p95": 0.95, "med": 0.5}, parts=("med",)))
@@ -134,7 +139,7 @@ def opportunity_score(population: DataFrame, monthly: DataFrame, stations: DataF
         "_mom_in": F.coalesce(F.col("_growth"), med, F.lit(0.0)),
         "_low_in": F.lit(100.0) - F.coalesce(F.col("dc_fast_share_pct"), F.lit(0.0)),
     })
-    m = rank_pct_many(m, "entity", {"ev_stock": "_r_stock", "recent_ev_transactions": "_r_recent", "_gap_in": "_gap",
+    m = rank_pct_many(m, "_row", {"ev_stock": "_r_stock", "recent_ev_transactions": "_r_recent", "_gap_in": "_gap",
                                     "_mom_in": "_mom", "_low_in": "_low"})
     wd, wg, wm, wl = SCORE_WEIGHTS
     demand = (F.col("_r_stock") + F.col("_r_recent")) / 2.0

@@ -4,40 +4,54 @@ registry / summary rows."""
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.operators import clean, evaluate, panel, score
+from panelspark.session import cut_lineage
 from panelspark.sources import files
 
 
+def _registry(spark: SparkSession, root: str) -> DataFrame | None:
+    """The snapshot registry; None before the first snapshot. Any other failure of the read is raised."""
+    try:
+        return spark.read.parquet(f"{root}/_registry")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def live_refresh(spark: SparkSession, root: str, population: DataFrame, monthly: DataFrame, stations: DataFrame | None,
-                 *, configured: bool = True, published: DataFrame | None = None) -> DataFrame:
+                 *, configured: bool = True, published: DataFrame | None = None, last_updated: str | None = None) -> DataFrame:
     """C17: score, version, snapshot and publish the live products.
 
-    `stations` is None when the charging feed failed: the newest good
-    snapshot's stations are served with status 'stale' (or 'unavailable' if
-    there is none); `configured=False` marks the feed 'not_configured'."""
+    `stations` is None when the charging feed failed: the newest snapshot that recorded stations and the time of their
+    source is served with status 'stale' (or 'unavailable' if there is none); `configured=False` marks the feed
+    'not_configured'. `last_updated` is the feed's own time, that of the refresh if it has none."""
     status = "available"
+    last_updated = last_updated or datetime.now(timezone.utc).isoformat(timespec="seconds")
     if not configured:
         stations, status = None, "not_configured"
     elif stations is None:
-        try:
-            reg = spark.read.parquet(f"{root}/_registry")
-            good = files.last_good_snapshot(reg.withColumn("has_stations", F.array_contains("products", "charging_stations"))
-                                            .withColumn("last_updated", F.col("written_at").cast("string")))
-            version = good.select("version").first()
-        except Exception:  # no snapshot folder yet
-            version = None
-        if version is not None:
-            stations = files.read_snapshot(spark, root, "charging_stations", version[0])
+        reg = _registry(spark, root)
+        good = None if reg is None else files.last_good_snapshot(reg).first()
+        if good is not None:
+            stations, last_updated = files.read_snapshot(spark, root, "charging_stations", good["version"]), good["last_updated"]
             status = "stale"
         else:
             status = "unavailable"
     if stations is None:
-        stations = spark.createDataFrame([], "station_id string, station_name string, zip string, latitude double, "
-                                             "longitude double, network string, ports bigint, dc_fast_ports bigint, entity string")
-    metrics = score.opportunity_score(population, monthly, stations)
+        stations, last_updated = spark.createDataFrame(
+            [], "station_id string, station_name string, zip string, latitude double, longitude double, network string, "
+                "ports bigint, dc_fast_ports bigint, entity string"), None
+    # each is one row per entity, entity-month or station, and read by several of the steps below
+    population, monthly, stations = cut_lineage(population), cut_lineage(monthly), cut_lineage(stations)
+    metrics = cut_lineage(score.opportunity_score(population, monthly, stations))
+    totals = cut_lineage(score.statewide_totals(population, monthly, stations, metrics))
     statuses = {"ev_population": "available", "registrations": "available", "charging_inventory": status}
     version = files.source_version(
         {"population": population, "registrations": monthly, "stations": stations},
@@ -45,9 +59,12 @@ def live_refresh(spark: SparkSession, root: str, population: DataFrame, monthly:
          "transactions": monthly.select(F.sum("ev_transactions")).scalar(),
          "ports": stations.select(F.coalesce(F.sum("ports"), F.lit(0))).scalar()}, statuses)
     v = version.select("source_version").first()[0]
-    files.write_snapshot({"entity_live_metrics": metrics, "charging_stations": stations}, root, v)
+    sources = spark.createDataFrame([(k, x, last_updated if k == "charging_inventory" else None) for k, x in statuses.items()],
+                                    "source string, status string, last_updated string")
+    files.write_snapshot({"entity_live_metrics": metrics, "charging_stations": stations, "snapshot_summary": totals,
+                          "source_status": sources}, root, v, has_stations=not stations.isEmpty(), last_updated=last_updated)
     fresh = files.publish_if_changed(published, version.select("source_version"))
-    changed = fresh.limit(1).count() > 0
+    changed = not fresh.isEmpty()
     if changed:
         bundle = metrics.select(F.lit("entity").alias("kind"), F.to_json(F.struct("*")).alias("record")).unionByName(
             stations.where(F.col("entity").isNotNull()).select(
@@ -56,7 +73,6 @@ def live_refresh(spark: SparkSession, root: str, population: DataFrame, monthly:
                                    "dc_fast_ports")).alias("record")))
         bundle.write.mode("overwrite").json(f"{root}/_bundle/{v}")
         version.select("source_version").write.mode("append").parquet(f"{root}/_published")
-    totals = score.statewide_totals(population, monthly, stations, metrics)
     return totals.select(F.lit(v).alias("source_version"), F.lit(status).alias("charging_inventory_status"),
                          F.lit(changed).alias("site_bundle_changed"), "*")
 

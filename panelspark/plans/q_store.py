@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelspark.operators import clean, models
-from panelspark.plans.catalog import register
+from panelspark.operators.order_stats import sample_rows
+from panelspark.plans.catalog import ORACLE, register
 from panelspark.plans.oracle_sql import FLOW, flow_sql
 from panelspark.plans.q_flow import flow_of
 from panelspark.plans.q_score import LIVE_SQL, live_monthly, live_population, attached_stations, metrics_of
@@ -89,10 +90,12 @@ def u01_union_all(spark, sf):
         .unionByName(f.select(F.lit("electric").alias("fuel_scope"), "entity", "month", F.col("ev_transactions").alias("transactions")))
 
 
-@register("u05_sample")
+@register("u05_sample", B.with_bindings("""
+    SELECT vehicle_id, entity, make, model FROM population
+    ORDER BY md5(concat_ws(':', '42', CAST(vehicle_id AS VARCHAR))), vehicle_id, entity, make, model LIMIT 300""", "population"))
 def u05_sample(spark, sf):
-    """Seeded uniform sample of vehicles (the sample is the feature)."""
-    return B.population(spark, sf).sample(fraction=0.05, seed=42)
+    """Seeded sample of 300 vehicles (the sample is the feature)."""
+    return sample_rows(B.population(spark, sf).select("vehicle_id", "entity", "make", "model"), 300, "vehicle_id", 42)
 
 
 @register("s12_merge_upsert", flow_sql("""
@@ -185,13 +188,18 @@ def s02_raw_row_count(spark, sf):
         files.raw_row_count(B.registrations(spark, sf)).alias("registration_rows_raw"), "flow_rows")
 
 
-@register("s06_write_products")
+@register("s06_write_products", B.with_bindings(f"WITH {LIVE_SQL}, {FLOW}\n" + """
+    SELECT 'monthly_transactions' AS product, count(*) AS rows FROM flow
+    UNION ALL SELECT 'live_metrics', (SELECT count(*) FROM live_pop)""",
+    "registrations", "population", "live_registrations", "charging_units", "zip_rows"))
 def s06_write_products(spark, sf):
     out = files.shared_dir(spark, "products")
-    return files.write_products({"monthly_transactions": flow_of(spark, sf), "live_metrics": metrics_of(spark, sf)}, out)
+    return files.write_products({"monthly_transactions": flow_of(spark, sf), "live_metrics": metrics_of(spark, sf)}, out).select("product", "rows")
 
 
-@register("s07_write_snapshot")
+@register("s07_write_snapshot", B.with_bindings(f"WITH {LIVE_SQL}\n" + """
+    SELECT snapshot, rows FROM (VALUES ('v1'), ('v2')) t(snapshot), (SELECT count(*) AS rows FROM attached)""",
+    "population", "live_registrations", "charging_units", "zip_rows"))
 def s07_write_snapshot(spark, sf):
     """Two writes of the same version and one of another: the registry lists
     three writes, the product holds two snapshots."""
@@ -244,12 +252,9 @@ def s10_last_good_snapshot(spark, sf):
     """Fallback after a failed station refresh: the newest good snapshot is served as stale."""
     root = files.shared_dir(spark, "live")
     st = attached_stations(spark, sf)
-    files.write_snapshot({"charging_stations": st}, root, "v1")
-    reg = spark.read.parquet(f"{root}/_registry").select(
-        "version", "written_at", F.lit(True).alias("has_stations"), F.lit("2026-10-02").alias("last_updated"))
-    failed = spark.range(1).select(F.lit("v2").alias("version"), F.current_timestamp().alias("written_at"),
-                                   F.lit(False).alias("has_stations"), F.lit(None).cast("string").alias("last_updated"))
-    return files.last_good_snapshot(reg.unionByName(failed), current_version="v2").select("version", "status")
+    files.write_snapshot({"charging_stations": st}, root, "v1", has_stations=not st.isEmpty(), last_updated="2026-10-02")
+    reg = files.write_snapshot({"charging_stations": st.where(F.lit(False))}, root, "v2")
+    return files.last_good_snapshot(reg, current_version="v2").select("version", "status")
 
 
 @register("s15_products_available")
@@ -280,10 +285,12 @@ def s16_save_models(spark, sf):
     km = KMeans(k=3, seed=42).fit(d)
     root = files.shared_dir(spark, "models")
     saved = warehouse.save_models({"kmeans": km}, root)
-    return spark.createDataFrame(saved, "model string, path string")
+    return spark.createDataFrame(saved, "model string, path string").select("model")
 
 
-@register("c17_live_refresh")
+@register("c17_live_refresh", f"""
+    SELECT t.*, r.* FROM ({ORACLE["a23_statewide_totals"]}) t,
+        (VALUES (1, 'available', true), (2, 'stale', true)) r(run, charging_inventory_status, site_bundle_changed)""")
 def c17_live_refresh(spark, sf):
     """Refresh twice: a normal run, then one where the station feed fails
     and the last good snapshot's stations are served as 'stale'."""
@@ -293,7 +300,7 @@ def c17_live_refresh(spark, sf):
     first = live_refresh(spark, root, pop, mon, attached_stations(spark, sf))
     published = spark.read.parquet(f"{root}/_published")
     second = live_refresh(spark, root, pop, mon, None, published=published)
-    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
+    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2))).drop("source_version")
 
 
 @register("c18_build_products")
@@ -301,4 +308,4 @@ def c18_build_products(spark, sf):
     from panelspark.plans.jobs import build_products
     out = files.shared_dir(spark, "build")
     return build_products(spark, out, B.population(spark, sf), B.registrations(spark, sf), B.entities(spark, sf),
-                          B.ELECTRIC_FUEL, 20.0)
+                          B.ELECTRIC_FUEL, 20.0).select("product", "rows")

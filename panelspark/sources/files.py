@@ -107,16 +107,19 @@ def write_products(products: Mapping[str, DataFrame], out_dir: str, fmt: str = "
     return reg.join(allc, "product")
 
 
-def write_snapshot(products: Mapping[str, DataFrame], root: str, version: str) -> DataFrame:
+def write_snapshot(products: Mapping[str, DataFrame], root: str, version: str, *, has_stations: bool = False,
+                   last_updated: str | None = None) -> DataFrame:
     """Write products into `snapshot=<version>` partitions (S07): a dynamic
     partition overwrite replaces only that snapshot, so writing the same
     version again is idempotent. `current` is the newest version in the
-    registry, not a copy."""
+    registry, not a copy. The registry also records whether the snapshot has
+    stations and when their source was last updated."""
     spark = next(iter(products.values())).sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     for name, df in products.items():
-        df.withColumn("snapshot", F.lit(version)).write.mode("overwrite").partitionBy("snapshot").parquet(f"{root}/{name}")
-    reg = spark.createDataFrame([(version, sorted(products), )], "version string, products array<string>")
+        out = df.withColumn("snapshot", F.lit(version)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        out.partitionBy("snapshot").parquet(f"{root}/{name}")
+    reg = spark.createDataFrame([(version, sorted(products), has_stations, last_updated)],
+                                "version string, products array<string>, has_stations boolean, last_updated string")
     reg.withColumn("written_at", F.current_timestamp()).write.mode("append").parquet(f"{root}/_registry")
     return spark.read.parquet(f"{root}/_registry")
 

@@ -46,9 +46,8 @@ def incremental_ingest(spark: SparkSession, landing_dir: str, schema, store_root
         return to_month(date_col, is_text=is_text)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         staged = batch.withColumn("_month", month_of(batch)).withColumn("_batch", F.lit(batch_id))
-        staged.write.mode("overwrite").partitionBy("_month", "_batch").parquet(raw_root)
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_month", "_batch").parquet(raw_root)
         months = [r[0] for r in staged.select("_month").distinct().collect()]  # bounded by the months in one batch
         if not months:
             return

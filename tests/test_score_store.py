@@ -124,3 +124,44 @@ def test_upsert_replaces_the_pointer_and_refuses_repeated_keys(spark, tmp_path):
     assert sorted(map(tuple, read_table(spark, root).collect())) == [(1, 1), (2, 3)]
     with pytest.raises(Exception, match="repeat a key"):
         merge_upsert(None, upd((1, 1), (1, 2)), ["k"]).collect()
+
+
+def test_station_rollup_takes_blank_and_bad_text(spark):
+    units = spark.createDataFrame([("10", "A", "98101", "47.6", "", "N", "", "1", " ", "x", 1), ("10", "A", "98101", "", "-122.3", "N", "0", "", "2", "", 2)],
+                                  "station_id string, station_name string, zip_text string, latitude string, longitude string, network string, "
+                                  "ccs_count string, chademo_count string, j3400_count string, j3400_kw string, ord int")
+    r = score.station_rollup(units, F.col("ord")).first()
+    assert (r.ports, r.dc_fast_ports, r.latitude, r.longitude) == (2, 1, 47.6, -122.3)
+
+
+def test_score_ranks_rows_whose_names_differ_in_case(spark):
+    pop = spark.createDataFrame([("KING", 10), ("king", 100), ("Pierce", 50)], "entity string, ev_stock bigint")
+    monthly = spark.createDataFrame([("Pierce", dt.date(2025, 1, 1), 1.0)], "entity string, month date, ev_transactions double")
+    stations = spark.createDataFrame([], "station_id string, ports bigint, dc_fast_ports bigint, entity string")
+    got = {r.ev_stock: r.opportunity_score for r in score.opportunity_score(pop, monthly, stations).collect()}
+    assert len(got) == 3 and got[100] > got[10]
+
+
+def test_live_refresh_falls_back_to_the_last_stations(spark, tmp_path):
+    from panelspark.plans.jobs import live_refresh
+    pop, monthly, stations = live_inputs(spark)
+    stations = stations.withColumns({"latitude": F.lit(1.0), "longitude": F.lit(1.0), "network": F.lit("n")})
+    root = str(tmp_path / "live")
+    assert live_refresh(spark, root, pop, monthly, None).first().charging_inventory_status == "unavailable"
+    seen = []
+    for given, configured in ((stations, True), (stations, False), (None, True), (None, True)):
+        r = live_refresh(spark, root, pop, monthly, given, configured=configured, last_updated="2026-01-01").first()
+        seen.append((r.charging_inventory_status, r.public_stations))
+    assert seen == [("available", 2), ("not_configured", 0), ("stale", 2), ("stale", 2)]
+    last = spark.read.parquet(f"{root}/_registry").where("has_stations").orderBy(F.desc("written_at")).first()
+    assert last.products == ["charging_stations", "entity_live_metrics", "snapshot_summary", "source_status"]
+    status = {r.source: (r.status, r.last_updated) for r in files.read_snapshot(spark, root, "source_status", last.version).collect()}
+    assert status["charging_inventory"] == ("stale", "2026-01-01")
+
+
+def test_sample_is_the_same_for_any_partitioning(spark):
+    from panelspark.operators.order_stats import sample_rows
+    df = spark.range(1000)
+    a = {r.id for r in sample_rows(df.repartition(3), 50, "id", 7).collect()}
+    b = {r.id for r in sample_rows(df.repartition(11, "id"), 50, "id", 7).collect()}
+    assert len(a) == 50 and a == b and a != {r.id for r in sample_rows(df, 50, "id", 8).collect()}
