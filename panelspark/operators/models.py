@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions import month_index
+from panelspark.session import cut_lineage
 
 SERIES_MODELS = ("seasonal_naive", "linear", "polynomial_2", "seasonal_ridge")
 RIDGE_ALPHA = 100.0
@@ -128,42 +129,55 @@ def future_rows(series: DataFrame, keys: Sequence[str], horizon: int = 12, value
         .unionByName(fut)
 
 
-# The per-series tree models' hyper-parameters.
-SERIES_RF = dict(numTrees=100, minInstancesPerNode=3, featureSubsetStrategy="0.9", seed=42, maxDepth=12)
+# The per-series tree models' hyper-parameters. Depth is not limited but by Spark's own bound of 30.
+SERIES_RF = dict(numTrees=100, minInstancesPerNode=3, featureSubsetStrategy="0.9", seed=42, maxDepth=30)
 SERIES_GBT = dict(maxIter=80, maxDepth=3, minInstancesPerNode=8, stepSize=0.1, seed=42)
 SERIES_ALL = ("seasonal_naive", "linear", "polynomial_2", "seasonal_ridge", "random_forest", "gradient_boosting")
+TOTAL_SERIES = "statewide"
 
 
 def pooled_trees(df: DataFrame, keys: Sequence[str], kind: str, value: str = "value", series: str = "series",
-                 fold: str | None = None) -> DataFrame:
-    """Tree forecasts from ONE model per fold pooled over all series
-    (features: t, month sin/cos, the value 12 months earlier, series index)
-    instead of one tiny fit per series. Fits loop over the folds (bounded)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+                 fold: str | None = None, apart: str | None = TOTAL_SERIES) -> DataFrame:
+    """Tree forecasts (M05, M06) from one model per fold over all series, for any number of them.
+
+    Features are t, the month's sine and cosine and the value 12 months earlier; value and lag are divided by the
+    series' own mean over its train rows, so that no series rules the squared loss and no label is needed. The series
+    named `apart`, the total of the others, has its own fit. A series whose train rows are all 0 is predicted 0."""
     import math
 
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+
     d = _with_index(df, keys)
-    w = Window.partitionBy(*keys).orderBy("month")
+    own = Window.partitionBy(*keys)
+    y = F.col(value).cast("double")
+    mean = F.avg(F.when(F.col("role") == "train", y)).over(own)
     angle = F.lit(2 * math.pi) * F.month("month") / F.lit(12.0)
-    d = d.withColumns({"_lag12": F.lag(F.col(value).cast("double"), 12).over(w), "_sin": F.sin(angle), "_cos": F.cos(angle)})
-    params = SERIES_RF if kind == "random_forest" else SERIES_GBT
-    est_cls = RandomForestRegressor if kind == "random_forest" else GBTRegressor
+    d = d.withColumn("_mean", mean).withColumns({
+        "_scale": F.when(F.col("_mean") > 0, F.col("_mean")), "_sin": F.sin(angle), "_cos": F.cos(angle),
+        "_lag12": F.lag(y, 12).over(own.orderBy("month"))})
+    d = d.withColumns({"_lag12": F.col("_lag12") / F.col("_scale"), "_y": y / F.col("_scale")})
+    inputs = ["t", "_sin", "_cos", "_lag12"]
+    d = cut_lineage(VectorAssembler(inputCols=inputs, outputCol="_x", handleInvalid="keep").transform(d))
+    tree = RandomForestRegressor(**SERIES_RF) if kind == "random_forest" else GBTRegressor(**SERIES_GBT)
+    tree = tree.setFeaturesCol("_x").setLabelCol("_y").setPredictionCol("_p")
     folds = [None] if fold is None else [r[0] for r in d.select(fold).distinct().orderBy(fold).collect()]  # <= n_folds
+    groups = [None] if apart is None else [F.col(series) != apart, F.col(series) == apart]
     out = None
     for f in folds:
-        part = d if f is None else d.where(F.col(fold) == f)
-        train = part.where((F.col("role") == "train") & (F.col("t") >= 12) & F.col("_lag12").isNotNull())
-        pipe = Pipeline(stages=[
-            StringIndexer(inputCol=series, outputCol="_sid", handleInvalid="keep"),
-            VectorAssembler(inputCols=["t", "_sin", "_cos", "_lag12", "_sid"], outputCol="_x", handleInvalid="keep"),
-            est_cls(featuresCol="_x", labelCol=value, predictionCol="_p", **params)])
-        model = pipe.fit(train.withColumn(value, F.col(value).cast("double")))
-        pred = model.transform(part.where(F.col("role") != "train"))
-        pred = pred.withColumn("prediction", F.greatest(F.lit(0.0), F.col("_p")))
-        pred = pred.drop("_p", "_x", "_sid", "_lag12", "_sin", "_cos", "t")
-        out = pred if out is None else out.unionByName(pred)
+        for group in groups:
+            part = d if f is None else d.where(F.col(fold) == f)
+            part = part if group is None else part.where(group)
+            train = part.where((F.col("role") == "train") & (F.col("t") >= 12) & F.col("_lag12").isNotNull() & F.col("_y").isNotNull())
+            target = part.where(F.col("role") != "train")
+            if train.isEmpty():
+                pred = target.withColumn("_p", F.lit(None).cast("double"))
+            else:
+                pred = tree.fit(train).transform(target)
+            pred = pred.withColumn("prediction", F.when(F.col("_mean") <= 0, 0.0).otherwise(
+                F.greatest(F.lit(0.0), F.col("_p") * F.col("_scale"))))
+            pred = pred.drop("_p", "_x", "_y", "_mean", "_scale", "_lag12", "_sin", "_cos", "t")
+            out = pred if out is None else out.unionByName(pred)
     return out
 
 

@@ -134,13 +134,15 @@ def rolling_folds(series: DataFrame, n_folds: int = 3, horizon: int = 12, holdou
     return s.withColumn("role", role).where(F.col("role").isNotNull()).drop("_last", "_back")
 
 
-def annual_windows(features: DataFrame, min_train_rows: int = 800, first_start: str | None = None,
-                   month: str = "month", entity: str = "entity") -> DataFrame:
+def annual_windows(features: DataFrame, min_train_months: int = 21, first_start: str | None = None,
+                   month: str = "month", entity: str = "entity", skipped: bool = False) -> DataFrame:
     """Successive 12-month evaluation windows (C08). Window starts step by 12
     months so the last window ends on the last month; the training set is
-    every earlier month. A window is kept when its training set has at least
-    `min_train_rows` rows and it covers `n_entities * 12` rows (generalising
-    the fixed 39 x 12). Each row appears once per window it belongs to."""
+    every earlier month. A window is kept when its training set spans at
+    least `min_train_months` months, whatever the number of entities, and all
+    entities have all 12 months. Each row appears once per window it belongs
+    to. With `skipped`, all windows are returned and the column `reason` says
+    `kept`, `few_training_months` or `incomplete_evaluation`."""
     last = features.select(F.max(month)).scalar()
     first = features.select(F.min(month)).scalar()
     n_entities = features.select(F.countDistinct(entity)).scalar()
@@ -154,7 +156,11 @@ def annual_windows(features: DataFrame, min_train_rows: int = 800, first_start:
                            .when(F.col(month) <= F.add_months("window_start", 11), "evaluation"))
     rows = rows.where(F.col("role").isNotNull())
     sizes = rows.groupBy("window_start").agg(
-        F.sum(F.when(F.col("role") == "train", 1).otherwise(0)).alias("_train_rows"),
+        F.countDistinct(F.when(F.col("role") == "train", F.col(month))).alias("_train_months"),
         F.sum(F.when(F.col("role") == "evaluation", 1).otherwise(0)).alias("_eval_rows"))
-    keep = sizes.where((F.col("_train_rows") >= min_train_rows) & (F.col("_eval_rows") == n_entities * 12)).select("window_start")
-    return rows.join(keep, "window_start", "left_semi")
+    reason = F.when(F.col("_train_months") < min_train_months, "few_training_months") \
+        .when(F.col("_eval_rows") != n_entities * 12, "incomplete_evaluation").otherwise("kept")
+    windows = sizes.select("window_start", reason.alias("reason"))
+    if skipped:
+        return rows.join(windows, "window_start")
+    return rows.join(windows.where(F.col("reason") == "kept"), "window_start", "left_semi")

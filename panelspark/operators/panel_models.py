@@ -20,7 +20,8 @@ month index, month-of-year effects and one effect per entity, log link:
   entity has at most one row per month, so a window never holds more than
   one series. The p x p system (p = 15) is the only thing on the driver.
 * Lineage is cut with a reliable checkpoint every round; converged when no
-  slope moves by more than tol * (1 + max |slope|).
+  slope moves by more than tol * (1 + max |slope|). A step that lowers the
+  likelihood or makes it infinite is halved; fitted means are never capped.
 
 Entities whose training counts are all zero have no finite effect: they are
 left out of the fit and predicted 0 (deliberate difference, documented), as
@@ -32,6 +33,7 @@ clipped at 0. They are not bit-equal to other libraries' forests.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,10 +51,10 @@ COUNT_NUMERIC = ("log_lag_1", "log_lag_12", "log_lag_3_mean", "month_index")
 # carry the intercept).
 MONTH_DUMMIES = tuple(f"moy_{m}" for m in range(2, 13))
 DESIGN = (*COUNT_NUMERIC, *MONTH_DUMMIES)
-ETA_CAP = 30.0
+HALVINGS = 20  # of one step, before a fit counts as diverging
 
 # Tree hyper-parameters of the pooled panel models.
-RF_PARAMS = dict(numTrees=160, minInstancesPerNode=2, featureSubsetStrategy="0.8", seed=42, maxDepth=12, subsamplingRate=1.0)
+RF_PARAMS = dict(numTrees=160, minInstancesPerNode=2, featureSubsetStrategy="0.8", seed=42, maxDepth=30, subsamplingRate=1.0)
 GBT_PARAMS = dict(maxIter=160, maxDepth=5, minInstancesPerNode=12, stepSize=0.1, seed=42)
 
 
@@ -72,12 +74,13 @@ class GlmFit:
     beta: list[float]
     effects: DataFrame
     rounds: int
+    converged: bool
 
 
 @dataclass
 class CountModels:
     poisson: GlmFit
-    nb: GlmFit
+    nb: GlmFit | None
     alpha: float
     zero_entities: DataFrame
     nb_rounds: int
@@ -87,48 +90,74 @@ def _linear(beta, cols=DESIGN) -> Column:
     return sum((F.col(c) * F.lit(float(b)) for c, b in zip(cols, beta)), F.lit(0.0))
 
 
+def _log_likelihood(alpha: float) -> Column:
+    """A row's log-likelihood of eta, without the terms of y alone."""
+    y, eta = F.col("y"), F.col("eta")
+    if alpha == 0.0:
+        return y * eta - F.exp(eta)
+    spread = F.log1p(F.lit(alpha) * F.exp(eta))
+    return y * (eta - spread) - spread / F.lit(alpha)
+
+
 def fit_glm_absorbed(rows: DataFrame, alpha: float = 0.0, max_iter: int = 100, tol: float = 1e-8) -> tuple[GlmFit, DataFrame]:
     """Log-link count GLM over `DESIGN` with one absorbed effect per entity, by IRLS.
 
     `rows` holds (entity, y, *COUNT_NUMERIC, moy, eta) with a starting linear
     predictor. alpha = 0 is Poisson, alpha > 0 NB2. Converged when no slope
-    moves by more than tol * (1 + max |slope|). Returns the fit and the rows
-    with the final `eta` (same columns)."""
+    moves by more than tol * (1 + max |slope|); `converged` says whether that came
+    within `max_iter` rounds. Raises ArithmeticError when no shorter step
+    keeps the likelihood. Returns the fit and the rows with the final `eta`
+    (same columns)."""
     cols = list(DESIGN)
     keep = ["entity", "y", *COUNT_NUMERIC, "moy"]
     by_entity = Window.partitionBy("entity")
     wls = LinearRegression(featuresCol="_x", labelCol="_zt", weightCol="_w", fitIntercept=False, solver="normal",
                            regParam=0.0, elasticNetParam=0.0, standardization=False)
     asm = VectorAssembler(inputCols=[f"_t_{c}" for c in cols], outputCol="_x")
-    cur, beta, rounds = rows, np.zeros(len(cols)), 0
+    cur, beta, rounds = rows.withColumn("_effect", F.lit(None).cast("double")), np.zeros(len(cols)), 0
+    best, converged = None, False
     for rounds in range(1, max_iter + 1):
         # The one shuffle of the round, on the narrow stored columns; the
         # month dummies and IRLS terms are derived after it.
-        eta = F.least(F.greatest(F.col("eta"), F.lit(-ETA_CAP)), F.lit(ETA_CAP))
+        eta = F.col("eta")
         mu = F.exp(eta)
         d = cur.repartition("entity").select(
-            *keep, *[e.alias(k) for k, e in _dummies().items()],
+            *keep, "eta", "_effect", *[e.alias(k) for k, e in _dummies().items()],
             (mu / (1.0 + F.lit(alpha) * mu)).alias("_w"), (eta + (F.col("y") - mu) / mu).alias("_z"))
         sw = F.sum("_w").over(by_entity)
         means = [(F.sum(F.col("_w") * F.col(c)).over(by_entity) / sw).alias(f"_m_{c}") for c in [*cols, "_z"]]
         # read twice (weighted least squares, then the update): keep the windowed rows
-        d = d.select(*keep, *cols, "_w", "_z", *means).persist()
+        d = d.select(*keep, "eta", "_effect", *cols, "_w", "_z", *means).persist()
         centred = asm.transform(d.select("_w", (F.col("_z") - F.col("_m__z")).alias("_zt"),
                                          *[(F.col(c) - F.col(f"_m_{c}")).alias(f"_t_{c}") for c in cols]))
         new = np.asarray(wls.fit(centred).coefficients.toArray())
         effect = F.col("_m__z") - _linear(new, [f"_m_{c}" for c in cols])
-        cur = cut_lineage(d.select(*keep, (effect + _linear(new, cols)).alias("eta"), effect.alias("_effect")))
+        both = cut_lineage(d.select(*keep, "eta", "_effect", (effect + _linear(new, cols)).alias("_eta1"), effect.alias("_effect1")))
         d.unpersist()
+        share, cur = 1.0, both.select(*keep, F.col("_eta1").alias("eta"), F.col("_effect1").alias("_effect"))
+        while True:
+            fit = cur.select(F.sum(_log_likelihood(alpha))).first()[0]
+            # the start is not a point of the model, so the first step may lower the likelihood
+            if math.isfinite(fit) and (rounds == 1 or fit >= best - 1e-9 * (1.0 + abs(best))):
+                break
+            share /= 2
+            if share < 2.0 ** -HALVINGS:
+                raise ArithmeticError("the count model diverges")
+            cur = both.select(*keep, *[(F.col(a) + F.lit(share) * (F.col(b) - F.col(a))).alias(a)
+                                       for a, b in (("eta", "_eta1"), ("_effect", "_effect1"))])
+        best = fit
         moved = float(np.max(np.abs(new - beta)))
-        beta = new
-        if rounds > 1 and moved < tol * (1.0 + float(np.max(np.abs(beta)))):
+        beta = new if share == 1.0 else beta + share * (new - beta)
+        if rounds > 1 and share == 1.0 and moved < tol * (1.0 + float(np.max(np.abs(beta)))):
+            converged = True
             break
     effects = cut_lineage(cur.groupBy("entity").agg(F.max("_effect").alias("_effect")))
-    return GlmFit([float(b) for b in beta], effects, rounds), cur.select(*keep, "eta")
+    return GlmFit([float(b) for b in beta], effects, rounds, converged), cur.select(*keep, "eta")
 
 
 def fit_count_models(train: DataFrame, value: str = "ev_transactions", max_iter: int = 100,
-                     nb_rounds: int = 25, tol: float = 1e-8) -> CountModels:
+                     nb_rounds: int = 100, tol: float = 1e-8, with_nb: bool = True) -> CountModels:
+    """Poisson, the moment estimate of alpha and, `with_nb`, the negative binomial. Every fit says if it converged."""
     d = count_design(train)
     activity = d.groupBy("entity").agg(F.max(value).alias("_mx"))
     zero = activity.where(F.col("_mx") <= 0).select("entity")
@@ -136,11 +165,11 @@ def fit_count_models(train: DataFrame, value: str = "ev_transactions", max_iter:
     y = F.col(value).cast("double")
     rows = cut_lineage(d.select("entity", y.alias("y"), *COUNT_NUMERIC, "moy", F.log(y + 0.1).alias("eta")))
     pois, fitted = fit_glm_absorbed(rows, 0.0, max_iter, tol)
-    mu = F.greatest(F.exp(F.least(F.col("eta"), F.lit(ETA_CAP))), F.lit(1e-6))
+    mu = F.greatest(F.exp("eta"), F.lit(1e-6))
     raw_alpha = fitted.select(F.avg(((F.col("y") - mu) ** 2 - F.col("y")) / (mu * mu))).first()[0]
     alpha = float(min(max(raw_alpha if raw_alpha is not None else 0.01, 0.01), 5.0))
-    nb, _ = fit_glm_absorbed(fitted, alpha, nb_rounds, tol)  # starts from the Poisson fit
-    return CountModels(pois, nb, alpha, zero, nb.rounds)
+    nb = fit_glm_absorbed(fitted, alpha, nb_rounds, tol)[0] if with_nb else None  # starts from the Poisson fit
+    return CountModels(pois, nb, alpha, zero, nb.rounds if nb else 0)
 
 
 def predict_count(models: CountModels, df: DataFrame, which: str, out: str = "prediction") -> DataFrame:
@@ -148,7 +177,7 @@ def predict_count(models: CountModels, df: DataFrame, which: str, out: str = "pr
     fitted effect (all-zero or unseen in training) get 0."""
     fit = models.poisson if which == "poisson_glm" else models.nb
     d = count_design(df).join(fit.effects, "entity", "left")
-    eta = F.least(F.col("_effect") + _linear(fit.beta), F.lit(ETA_CAP))
+    eta = F.col("_effect") + _linear(fit.beta)
     pred = F.when(F.col("_effect").isNull(), F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.exp(eta)))
     return d.select(*df.columns, pred.alias(out))
 

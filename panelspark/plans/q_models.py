@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from panelspark.operators import evaluate, metrics, panel
 from panelspark.operators import panel_models as pm
 from panelspark.plans.catalog import register
+from panelspark.plans.memo import remember as _memo
 from panelspark.plans.oracle_sql import features_sql
 from panelspark.plans.q_flow import features_of
 from panelspark.session import cut_lineage
@@ -27,23 +28,13 @@ FEATURE_SETS = {
     "F: full history": list(panel.FEATURES),
 }
 
-_MEMO: dict = {}
-
-
-def _memo(spark: SparkSession, sf: str, name: str, build):
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _MEMO:
-        _MEMO[key] = build()
-    return _MEMO[key]
-
-
 def predict_all(train: DataFrame, target: DataFrame, names=MODEL_NAMES) -> tuple[DataFrame, float]:
     """Fit every model on `train`, add one prediction column per model to
     `target` (entity, month, actual, features...)."""
     out = target.withColumn("lag_12_baseline", F.col("lag_12"))
     alpha = None
     if set(names) & set(STATISTICAL):
-        cm = pm.fit_count_models(train)
+        cm = pm.fit_count_models(train, with_nb="negative_binomial" in names)
         alpha = cm.alpha
         for n in STATISTICAL:
             if n in names:
@@ -167,26 +158,27 @@ def m16_ablation(spark, sf):
 
 
 ROBUST = ("lag_12_baseline", "poisson_glm", "random_forest")
-MIN_TRAIN_ROWS = 500  # the binding has 25 entities; 800 rows at 39 entities is about 20 months each
+MIN_TRAIN_MONTHS = 20  # the binding's features begin 12 months after its 80 months do
 
 
 @register("c08_annual_windows", features_sql("""
-    SELECT window_start, role, count(*) AS rows FROM memb
-    WHERE window_start IN (SELECT window_start FROM sizes
-                           WHERE tr >= 500 AND ev = 12 * (SELECT count(DISTINCT entity) FROM features))
-    GROUP BY 1, 2""", """cands AS (
+    SELECT window_start, role, reason, count(*) AS rows
+    FROM memb JOIN (SELECT window_start, CASE WHEN tr < 20 THEN 'few_training_months'
+                                              WHEN ev <> 12 * (SELECT count(DISTINCT entity) FROM features) THEN 'incomplete_evaluation'
+                                              ELSE 'kept' END AS reason FROM sizes) USING (window_start)
+    GROUP BY 1, 2, 3""", """cands AS (
     SELECT DISTINCT month AS window_start FROM features
     WHERE datediff('month', month, (SELECT CAST(max(month) - INTERVAL 11 MONTH AS DATE) FROM features)) % 12 = 0
       AND month > (SELECT min(month) FROM features)
       AND month <= (SELECT CAST(max(month) - INTERVAL 11 MONTH AS DATE) FROM features)),
 memb AS (
-    SELECT c.window_start, CASE WHEN f.month < c.window_start THEN 'train' ELSE 'evaluation' END AS role
+    SELECT c.window_start, f.month, CASE WHEN f.month < c.window_start THEN 'train' ELSE 'evaluation' END AS role
     FROM features f JOIN cands c ON f.month <= CAST(c.window_start + INTERVAL 11 MONTH AS DATE)),
-sizes AS (SELECT window_start, count_if(role = 'train') AS tr, count_if(role = 'evaluation') AS ev FROM memb GROUP BY 1)"""))
+sizes AS (SELECT window_start, count(DISTINCT CASE WHEN role = 'train' THEN month END) AS tr, count_if(role = 'evaluation') AS ev FROM memb GROUP BY 1)"""))
 def c08_annual_windows(spark, sf):
-    """Window membership counts per role (the rows themselves feed M18)."""
-    w = panel.annual_windows(features_of(spark, sf), min_train_rows=MIN_TRAIN_ROWS)
-    return w.groupBy("window_start", "role").agg(F.count(F.lit(1)).alias("rows"))
+    """Window membership counts per role, skipped windows with their reason (the kept rows feed M18)."""
+    w = panel.annual_windows(features_of(spark, sf), min_train_months=MIN_TRAIN_MONTHS, skipped=True)
+    return w.groupBy("window_start", "role", "reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("m18_temporal_robustness")
@@ -194,7 +186,7 @@ def m18_temporal_robustness(spark, sf):
     """Baseline, Poisson and random forest per yearly window (fit on all
     earlier months): RMSE, WAPE, volume and year-over-year change."""
     def build():
-        w = cut_lineage(panel.annual_windows(features_of(spark, sf), min_train_rows=MIN_TRAIN_ROWS))
+        w = cut_lineage(panel.annual_windows(features_of(spark, sf), min_train_months=MIN_TRAIN_MONTHS))
         starts = [r[0] for r in w.select("window_start").distinct().orderBy("window_start").collect()]  # <= #years
         parts = []
         for start in starts:
@@ -224,8 +216,7 @@ def k07_winner_per_window(spark, sf):
     return evaluate.winners_per_window(m18_temporal_robustness(spark, sf), "evaluation_start", "rmse", ROBUST)
 
 
-@register("m17_conformal_selected")
-def m17_conformal_selected(spark, sf):
+def conformal_selected(spark, sf) -> dict:
     """Full split-conformal procedure: the model is chosen on the selection
     block (fit on earlier months), refitted on the fitting period, and its
     calibration residuals give the intervals on the final block."""
@@ -243,13 +234,17 @@ def m17_conformal_selected(spark, sf):
         iv, cov = evaluate.conformal_intervals(tp.unionByName(fitting.withColumn("_pred", F.lit(None).cast("double")),
                                                               allowMissingColumns=True).drop("period"), "_pred")
         return {"intervals": iv.withColumn("model", F.lit(winner)), "coverage": cov.withColumn("model", F.lit(winner))}
-    return _memo(spark, sf, "conformal", build)["intervals"]
+    return _memo(spark, sf, "conformal", build)
+
+
+@register("m17_conformal_selected")
+def m17_conformal_selected(spark, sf):
+    return conformal_selected(spark, sf)["intervals"]
 
 
 @register("a22_coverage_selected")
 def a22_coverage_selected(spark, sf):
-    m17_conformal_selected(spark, sf)
-    return _MEMO[(spark.sparkContext.applicationId, sf, "conformal")]["coverage"]
+    return conformal_selected(spark, sf)["coverage"]
 
 
 @register("m19_entity_error_analysis_models")

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from panelspark.operators import clean, segments
 from panelspark.plans.catalog import register
+from panelspark.plans.memo import remember
 from panelspark.plans.oracle_sql import FLOW, STOCK, VEHICLES
 from panelspark.plans.q_clean import stock_of, vehicles_of
 from panelspark.plans.q_flow import flow_of
 from panelspark.sources.bindings import with_bindings
 
 THRESHOLD = 20.0  # on the bound range column (1..50); plays the 200-mile default
-_MEMO: dict = {}
 
 
 def features_of(spark, sf, threshold=THRESHOLD):
@@ -21,10 +21,7 @@ def features_of(spark, sf, threshold=THRESHOLD):
 
 
 def segmented(spark, sf):
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _MEMO:
-        _MEMO[key] = segments.assign_segments(features_of(spark, sf))
-    return _MEMO[key]
+    return remember(spark, sf, "segments", lambda: segments.assign_segments(features_of(spark, sf)))
 
 
 SEG_SQL = """low AS (SELECT entity, avg(CAST(rng < 20 AS DOUBLE)) AS observed_low_range_share FROM vehicles

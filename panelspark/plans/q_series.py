@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelspark.operators import evaluate, metrics, models, panel
 from panelspark.plans.catalog import register
+from panelspark.plans.memo import remember
 from panelspark.plans.oracle_sql import flow_sql
 from panelspark.plans.q_flow import flow_of
 from panelspark.session import cut_lineage
@@ -162,64 +163,64 @@ def m13_model_selection(spark, sf):
     return best.join(means.groupBy("series").agg(F.min("mean_rmse").alias("best_mean_rmse")), "series")
 
 
-_MEMO: dict = {}
+def _all_models(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Predictions of the six models, one below the other."""
+    out = None
+    for m in models.SERIES_ALL:
+        p = models.fit_any(rows, keys, m).withColumn("model", F.lit(m))
+        out = p if out is None else out.unionByName(p)
+    return cut_lineage(out)
 
 
-def selection_all(spark, sf) -> dict:
-    """M13/M14 with all six models: fold RMSEs, winner per series (mean of
-    the rounded fold RMSEs, ties to the earlier model), holdout scores and the
-    12-month forecast of every model plus the selected one."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key in _MEMO:
-        return _MEMO[key]
-    series = series_of(spark, sf)
-    folds = cut_lineage(panel.rolling_folds(series, series_key="series"))
-    hold = cut_lineage(models.holdout_rows(series, ["series"]))
-    fut = cut_lineage(models.future_rows(series, ["series"]))
-    fold_p, hold_p, fut_p = [], [], []
-    for m in models.SERIES_ALL:
-        fold_p.append(models.fit_any(folds, ["series", "fold"], m).withColumn("model", F.lit(m)))
-        hold_p.append(models.fit_any(hold, ["series"], m).withColumn("model", F.lit(m)))
-        fut_p.append(models.fit_any(fut, ["series"], m).withColumn("model", F.lit(m)))
-
-    def union(ps):
-        out = ps[0]
-        for p in ps[1:]:
-            out = out.unionByName(p)
-        return cut_lineage(out)
-    fp, hp, ftp = union(fold_p), union(hold_p), union(fut_p)
-    fold_rmse = fp.groupBy("series", "model", "fold").agg(
-        F.round(F.sqrt(F.avg((F.col("value") - F.col("prediction")) ** 2)), 2).alias("rmse"))
-    cv = fold_rmse.groupBy("series", "model").agg(F.round(F.avg("rmse"), 2).alias("mean_rmse"),
-                                                  F.sort_array(F.collect_list(F.struct("fold", "rmse"))).alias("fold_rmse"))
-    winner = evaluate.best_by(cv, "mean_rmse", models.SERIES_ALL, by=["series"])
-    holdout = metrics.score_models(
-        hp.groupBy("series", "month", "value").pivot("model", list(models.SERIES_ALL)).agg(F.first("prediction")),
-        "value", models.SERIES_ALL, by=["series"])
-    forecast_long = ftp.select("series", "month", "model", F.bround("prediction", 0).cast("bigint").alias("prediction"))
-    selected = forecast_long.join(winner, "series").where(F.col("model") == F.col("best_model")) \
-        .select("series", "month", F.lit("selected").alias("model"), "prediction")
-    _MEMO[key] = {"cv": cv, "winner": winner, "holdout": holdout, "forecast": forecast_long.unionByName(selected)}
-    return _MEMO[key]
+def cv_all(spark, sf) -> DataFrame:
+    """Fold RMSEs of the six models and their mean."""
+    def build():
+        p = _all_models(fold_rows(spark, sf), ["series", "fold"])
+        fold_rmse = p.groupBy("series", "model", "fold").agg(
+            F.round(F.sqrt(F.avg((F.col("value") - F.col("prediction")) ** 2)), 2).alias("rmse"))
+        return cut_lineage(fold_rmse.groupBy("series", "model").agg(
+            F.round(F.avg("rmse"), 2).alias("mean_rmse"), F.sort_array(F.collect_list(F.struct("fold", "rmse"))).alias("fold_rmse")))
+    return remember(spark, sf, "series_cv", build)
+
+
+def winners_all(spark, sf) -> DataFrame:
+    return evaluate.best_by(cv_all(spark, sf), "mean_rmse", models.SERIES_ALL, by=["series"])
+
+
+def holdout_all(spark, sf) -> DataFrame:
+    def build():
+        return _all_models(cut_lineage(models.holdout_rows(series_of(spark, sf), ["series"])), ["series"])
+    return remember(spark, sf, "series_holdout", build)
 
 
 @register("m13_cv_scores_all_models")
 def m13_cv_scores_all_models(spark, sf):
-    return selection_all(spark, sf)["cv"]
+    return cv_all(spark, sf)
 
 
 @register("m13_model_selection_all")
 def m13_model_selection_all(spark, sf):
-    return selection_all(spark, sf)["winner"]
+    """Winner per series: mean of the rounded fold RMSEs, ties to the earlier model."""
+    return winners_all(spark, sf)
+
+
+@register("m13_holdout_predictions")
+def m13_holdout_predictions(spark, sf):
+    """Each model's prediction of each series' last 12 months, beside the value."""
+    return holdout_all(spark, sf).select("series", "month", "model", "value", "prediction")
 
 
 @register("m13_holdout_scores")
 def m13_holdout_scores(spark, sf):
-    return selection_all(spark, sf)["holdout"]
+    wide = holdout_all(spark, sf).groupBy("series", "month", "value").pivot("model", list(models.SERIES_ALL)).agg(F.first("prediction"))
+    return metrics.score_models(wide, "value", models.SERIES_ALL, by=["series"])
 
 
 @register("m14_forecast_all_series")
 def m14_forecast_all_series(spark, sf):
     """12-month forecasts of the six models and the CV-selected one for the
     statewide series and every entity series with enough history."""
-    return selection_all(spark, sf)["forecast"]
+    future = _all_models(cut_lineage(models.future_rows(series_of(spark, sf), ["series"])), ["series"])
+    long = future.select("series", "month", "model", F.bround("prediction", 0).cast("bigint").alias("prediction"))
+    selected = long.join(winners_all(spark, sf), "series").where(F.col("model") == F.col("best_model"))
+    return long.unionByName(selected.select("series", "month", F.lit("selected").alias("model"), "prediction"))

@@ -68,7 +68,7 @@ def test_count_models_fit_overdispersed_data(spark):
     from panelspark.operators import panel
     feats = panel.panel_features(overdispersed_panel(spark))
     cm = panel_models.fit_count_models(feats)
-    assert cm.alpha > 0.01 and cm.nb_rounds <= 25
+    assert cm.alpha > 0.01 and cm.poisson.converged and cm.nb.converged
     pois = panel_models.predict_count(cm, feats, "poisson_glm").toPandas()
     nb = panel_models.predict_count(cm, feats, "negative_binomial").toPandas()
     assert (pois["prediction"] >= 0).all() and (nb["prediction"] >= 0).all()
@@ -130,3 +130,35 @@ def test_streaming_restatement_replaces_month(spark):
     second = {r.month: r.ev_transactions for r in incremental_ingest(spark, f"{landing}/*", spark.createDataFrame([], schema).schema,
                                                                     store).collect()}
     assert second == {dt.date(2025, 1, 1): 5.0, dt.date(2025, 2, 1): 4.0}
+
+
+def many_series(spark, n):
+    rows = [(f"s{k:04d}", dt.date(2020 + i // 12, i % 12 + 1, 1), float((k + 1) * (50 + i + 5 * (i % 12)))) for k in range(n) for i in range(48)]
+    total = [("statewide", dt.date(2020 + i // 12, i % 12 + 1, 1), float(1000 * (50 + i))) for i in range(48)]
+    zero = [("zero", dt.date(2020 + i // 12, i % 12 + 1, 1), 0.0) for i in range(48)]
+    return spark.createDataFrame(rows + total + zero, "series string, month date, value double")
+
+
+@pytest.mark.parametrize("kind", ["random_forest", "gradient_boosting"])
+def test_series_trees_take_any_number_of_series(spark, kind, monkeypatch):
+    # 40 series are more than a tree's default number of bins; fewer trees keep the test short
+    monkeypatch.setitem(models.SERIES_RF, "numTrees", 10)
+    monkeypatch.setitem(models.SERIES_GBT, "maxIter", 10)
+    rows = models.holdout_rows(many_series(spark, 40), ["series"])
+    got = models.fit_any(rows, ["series"], kind).toPandas().set_index(["series", "month"])
+    assert len(got) == 42 * 12 and got["prediction"].notna().all()
+    assert (got.loc["zero", "prediction"] == 0).all()
+    # series that differ in scale alone get the same forecast in their own scale
+    assert np.allclose(got.loc["s0039", "prediction"], 40 * got.loc["s0000", "prediction"])
+    assert abs(got.loc["statewide", "prediction"] / got.loc["statewide", "value"] - 1).max() < 0.5
+
+
+def test_count_models_have_no_cap_on_the_fitted_mean(spark):
+    # means beyond exp(30) are fitted and predicted as they are
+    from panelspark.operators import panel
+    big = overdispersed_panel(spark).withColumn("ev_transactions", F.col("ev_transactions") * 1e14)
+    feats = panel.panel_features(big)
+    cm = panel_models.fit_count_models(feats, with_nb=False)
+    assert cm.nb is None and cm.poisson.converged
+    got = panel_models.predict_count(cm, feats, "poisson_glm").agg(F.sum("prediction").alias("p"), F.sum("ev_transactions").alias("y")).first()
+    assert abs(got.p / got.y - 1) < 1e-6  # the score equation of the intercepts
