@@ -102,43 +102,51 @@ def win_counts(errors: DataFrame) -> DataFrame:
         F.count_if(F.col("statistical_rmse") < F.col("baseline_rmse")).alias("statistical_better_entities"))
 
 
-def spearman(df: DataFrame, x: str, y: str, key: str) -> DataFrame:
+def spearman(df: DataFrame, x: str, y: str, key: str | Sequence[str]) -> DataFrame:
     """Spearman rho = Pearson correlation of average-tie ranks, with the
-    two-sided p-value of the t approximation (M19, M20). Rows with a NULL
-    in either column are dropped first. One row: rho, p, n."""
-    d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(key, x, y)
-    r = rank_pct_many(d, key, {x: "_rx", y: "_ry"})
-    row = r.agg(F.corr("_rx", "_ry").alias("rho"), F.count(F.lit(1)).alias("n"))
-    return row.select(F.round("rho", 3).alias("rho"), _t_pvalue(F.col("rho"), F.col("n")).alias("p"), "n")
+    two-sided p-value of the t approximation (M19, M20). `key` names the
+    column or columns that identify a row. Rows with a NULL in either column
+    are dropped first. One row: rho, p, n; p is NULL under three rows or
+    where rho is undefined (a constant column)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.struct(*keys).alias("_key"), x, y)
+    r = rank_pct_many(d, "_key", {x: "_rx", y: "_ry"})
+    # `corr` fails under ANSI on a constant column.
+    rho = F.try_divide(F.covar_pop("_rx", "_ry"), F.stddev_pop("_rx") * F.stddev_pop("_ry"))
+    # Inside a lambda a name means an alias of the same select before it means a column, so names must not repeat.
+    row = r.agg(rho.alias("_rho"), F.count(F.lit(1)).alias("_n"))
+    return row.select(F.round("_rho", 3).alias("rho"), _t_pvalue(F.col("_rho"), F.col("_n")).alias("p"), F.col("_n").alias("n"))
+
+
+P_STEPS = 400  # intervals of Simpson's rule, an even number
 
 
 def _t_pvalue(rho: Column, n: Column) -> Column:
-    """p = I_{df/(df+t^2)}(df/2, 1/2) for t = rho sqrt(df/(1-rho^2)), via the
-    exact finite series of the Student t CDF (integer degrees of freedom)."""
-    df_ = n - 2
-    t2 = rho * rho * df_ / (F.lit(1.0) - rho * rho)
-    # For integer df the two-sided tail has closed forms; evaluate them in SQL
-    # with `aggregate` over a bounded sequence (df terms).
-    theta = F.atan(F.sqrt(t2 / df_))
-    c, s = F.cos(theta), F.sin(theta)
-    def upto(m):  # 1..m, empty when m < 1 (sequence(1, 0) would count down)
-        return F.when(m >= 1, F.sequence(F.lit(1), m.cast("int"))).otherwise(F.array().cast("array<int>"))
-
-    odd_terms = F.aggregate(upto(F.floor((df_ - 3) / 2)),
-                            F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("acc")),
-                            lambda st, k: F.struct((st["term"] * c * c * (2 * k) / (2 * k + 1)).alias("term"),
-                                                   (st["acc"] + st["term"] * c * c * (2 * k) / (2 * k + 1)).alias("acc")),
-                            lambda st: st["acc"])
-    even_terms = F.aggregate(upto(F.floor((df_ - 2) / 2)),
-                             F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("acc")),
-                             lambda st, k: F.struct((st["term"] * c * c * (2 * k - 1) / (2 * k)).alias("term"),
-                                                    (st["acc"] + st["term"] * c * c * (2 * k - 1) / (2 * k)).alias("acc")),
-                             lambda st: st["acc"])
-    a_odd = F.when(df_ == 1, F.lit(2.0) * theta / math.pi).otherwise(
-        F.lit(2.0) / math.pi * (theta + s * c * odd_terms))
-    a_even = s * even_terms
-    a = F.when(df_ % 2 == 1, a_odd).otherwise(a_even)
-    return F.when(df_ > 0, F.round(F.lit(1.0) - a, 4))
+    """Two-sided p of t = rho sqrt(df/(1-rho^2)), rounded to 4 places. With
+    sin(theta) = |rho| the central probability is an integral of
+    cos(u)^(df-1) over 0..theta; beyond 12/sqrt(df) the integrand is below
+    e^-70. Work and memory don't depend on n."""
+    df_ = (n - 2).cast("double")
+    upper = F.least(F.asin(F.least(F.abs(rho), F.lit(1.0))), F.lit(12.0) / F.sqrt(df_))
+    step = upper / F.lit(float(P_STEPS))
+
+    def term(i: Column) -> Column:
+        weight = F.when((i == 0) | (i == P_STEPS), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
+        sine = F.sin(step * i)
+        return weight * F.exp((df_ - 1) / 2 * F.log1p(F.greatest(-sine * sine, F.lit(1e-15 - 1.0))))
+
+    area = F.aggregate(F.sequence(F.lit(0), F.lit(P_STEPS)), F.lit(0.0), lambda acc, i: acc + term(i)) * step / 3
+    inside = F.lit(2.0 / math.sqrt(math.pi)) * _half_gamma_ratio(df_ / 2) * area
+    return F.when((n > 2) & rho.isNotNull(), F.round(F.greatest(F.lit(0.0), F.lit(1.0) - inside), 4))
+
+
+def _half_gamma_ratio(x: Column) -> Column:
+    """gamma(x + 1/2) / gamma(x) for x > 0: ten steps of the recurrence, then the asymptotic series."""
+    shift = F.lit(1.0)
+    for k in range(10):
+        shift = shift * (x + k) / (x + k + 0.5)
+    y = x + 10
+    return shift * F.sqrt(y) * (1 - 1 / (8 * y) + 1 / (128 * y * y) + 5 / (1024 * y * y * y) - 21 / (32768 * y * y * y * y))
 
 
 # --- error drivers (A19 / M20) --------------------------------------------------------
@@ -158,6 +166,15 @@ def error_drivers(pred: DataFrame, segments: DataFrame, baseline: str, ml: str,
     return out.join(segments.select("entity", "market_segment"), "entity", "left")
 
 
+def improvement_sides(errors: DataFrame, improvement: str = "ml_improvement_vs_baseline_pct") -> DataFrame:
+    """Entities, and their share, on each side of zero improvement (Q08); an
+    unknown improvement is not above zero."""
+    side = F.when(F.col(improvement) > 0, "above_zero").otherwise("not_above_zero")
+    counts = errors.groupBy(side.alias("side")).agg(F.count(F.lit(1)).alias("entities"))
+    total = errors.agg(F.count(F.lit(1))).scalar()
+    return counts.withColumn("share_pct", F.round(F.col("entities") * 100.0 / total, 2))
+
+
 def mean_reduction(drivers: DataFrame) -> DataFrame:
     """Mean ML error reduction by month of year and by segment (A19), one
     aggregate with GROUPING SETS."""

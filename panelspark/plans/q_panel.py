@@ -93,6 +93,19 @@ def a18_win_counts(spark, sf):
     return evaluate.win_counts(errors_of(spark, sf))
 
 
+def spearman_sql(x: str, y: str, source: str) -> str:
+    """rho by window ranks; p by the midpoint rule over 20,000 strips and the engine's own log gamma."""
+    def ranks(c):
+        return f"(rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0) / count(*) OVER ()"
+    return f"""
+    SELECT round(exact, 3) AS rho, n,
+           round(greatest(0, 1 - 2 / sqrt(pi()) * exp(lgamma((n - 1) / 2.0) - lgamma((n - 2) / 2.0))
+                 * sum(power(cos((i + 0.5) * asin(abs(exact)) / 20000), n - 3)) * asin(abs(exact)) / 20000), 4) AS p
+    FROM (SELECT corr(rx, ry) AS exact, count(*) AS n
+          FROM (SELECT {ranks(x)} AS rx, {ranks(y)} AS ry FROM {source} WHERE {x} IS NOT NULL AND {y} IS NOT NULL)), range(20000) strips(i)
+    GROUP BY exact, n"""
+
+
 @register("m19_size_vs_improvement", splits_sql("""
     SELECT round(corr(rx, ry), 3) AS rho, count(*) AS n FROM (
         SELECT (rank() OVER (ORDER BY mean_monthly_transactions)
@@ -106,7 +119,8 @@ def m19_size_vs_improvement(spark, sf):
                              "entity").select("rho", "n")
 
 
-@register("m19_spearman_p")
+@register("m19_spearman_p", splits_sql(spearman_sql("mean_monthly_transactions", "ml_improvement_vs_baseline_pct", "errors"),
+                                       PREDS, ERR_SQL))
 def m19_spearman_p(spark, sf):
     return evaluate.spearman(errors_of(spark, sf), "mean_monthly_transactions", "ml_improvement_vs_baseline_pct", "entity")
 
@@ -136,6 +150,21 @@ def m20_error_drivers(spark, sf):
     return r(drivers_of(spark, sf), ["absolute_yoy_change_pct"])
 
 
+@register("m20_spearman", splits_sql(spearman_sql("absolute_yoy_change_pct", "ml_error_reduction", "drivers"),
+                                     PREDS, CONFORMAL, DRIVERS_SQL))
+def m20_spearman(spark, sf):
+    """Size of the yearly change against the ML gain, over (entity, month) rows."""
+    return evaluate.spearman(drivers_of(spark, sf), "absolute_yoy_change_pct", "ml_error_reduction", ["entity", "month"])
+
+
+@register("q08_improvement_sides", splits_sql("""
+    SELECT CASE WHEN ml_improvement_vs_baseline_pct > 0 THEN 'above_zero' ELSE 'not_above_zero' END AS side, count(*) AS entities,
+           round(count(*) * 100.0 / (SELECT count(*) FROM errors), 2) AS share_pct
+    FROM errors GROUP BY 1""", PREDS, ERR_SQL))
+def q08_improvement_sides(spark, sf):
+    return evaluate.improvement_sides(errors_of(spark, sf))
+
+
 @register("a19_mean_reduction", splits_sql("""
     SELECT 'month' AS dimension, CAST(month_of_year AS VARCHAR) AS value, round(avg(ml_error_reduction), 2) AS mean_ml_error_reduction
     FROM drivers GROUP BY month_of_year
