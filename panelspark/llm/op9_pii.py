@@ -3,12 +3,15 @@
 Known kinds (email, ip, card, phone) are found by fixed patterns. The method
 then looks for identifiers that no pattern describes. Every token with a digit
 (or '@') that lies outside the found spans is a candidate instance; its lexical
-patterns are the word before, the word after, and both. Matches of the known
-kinds seed the graph of patterns and instances: Spark scores, in a fixed number
-of rounds, each pattern by the mean score of its distinct instances (damped by
-the number of instances, so rare patterns earn nothing) and each instance by
-the evidence of its patterns. Instances whose score passes the threshold become spans of kind
-`context`; base spans always stay.
+patterns are the words before, the word after, and both sides, each with its
+shape. Seeds are the matches of the known kinds and the candidates that a name
+of a secret (NAMED, as in `token = `) is assigned. Evidence starts there alone:
+Spark scores, in a fixed number of rounds, each pattern by the share of its
+distinct instances that are seeds or already found (damped by the number of
+instances, so rare patterns earn nothing) and each instance by its patterns on
+the two sides. Instances whose score passes the threshold are found and become
+spans of kind `context`; base spans always stay. A pattern that no seed reaches
+scores 0, so a corpus without seeds has no such span.
 
 The graph holds one row per distinct (pattern, instance), aggregated map-side
 before any shuffle; a pattern or instance may be hot, since both sides of a
@@ -43,6 +46,9 @@ TOKEN = re.compile(r"[^\s]*[0-9@][^\s]*")
 EDGE = "\"'()[]{}<>,;:!?*$%&#|."
 WORD = re.compile(r"[^\W\d_]+|=")
 
+# Names whose assigned value is a seed; matched right before a candidate.
+NAMED = re.compile(r"(?<![^\W_])(?:token|secret|password|passwd|passphrase|pwd|(?:api|access|secret|private)[\s_-]?key)[\"']?\s*=\s*[\"']?$")
+
 ROUNDS = 3
 MIN_INSTANCES = 5
 THRESHOLD = 0.5
@@ -106,12 +112,11 @@ def context(text: str, start: int, end: int) -> tuple[str, str]:
     return " ".join(before), " ".join(after)
 
 
-def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, bool]]:
-    """(start, end, instance, pattern, seed): tokens with a digit or '@', base matches as seeds."""
+def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, str, bool, bool]]:
+    """(start, end, instance, words before, word after, base, seed): tokens with a digit or '@', and the base matches."""
     out, k = [], 0
     for start, kind, end in spans:
-        before, _ = context(text, start, end)
-        out.append((start, end, text[start:end], before, True))
+        out.append((start, end, text[start:end], *context(text, start, end), True, True))
     for m in TOKEN.finditer(text):
         token = m[0]
         a = m.start() + len(token) - len(token.lstrip(EDGE))
@@ -120,18 +125,18 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
             k += 1
         if b - a < 8 or any(s < b and a < e for s, _, e in spans[max(0, k - 3):k + 4]):
             continue
-        before, _ = context(text, a, b)
-        out.append((a, b, text[a:b], before, False))
+        named = NAMED.search(text[max(0, a - CONTEXT_REACH):a].lower()) is not None
+        out.append((a, b, text[a:b], *context(text, a, b), False, named))
     return out
 
 
 def spans_of(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, base, cands) of every row: base spans, and candidates with their pattern."""
     schema = ("doc_id bigint, base array<struct<start:int,kind:int,end:int>>, "
-              "cands array<struct<start:int,end:int,instance:string,shape:string,pattern:string,seed:boolean>>")
+              "cands array<struct<start:int,end:int,instance:string,shape:string,before:string,after:string,base:boolean,seed:boolean>>")
     base_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
     cand_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("instance", pa.string()), ("shape", pa.string()),
-                                    ("pattern", pa.string()), ("seed", pa.bool_())]))
+                                    ("before", pa.string()), ("after", pa.string()), ("base", pa.bool_()), ("seed", pa.bool_())]))
 
     def run(batches):
         for batch in batches:
@@ -140,8 +145,8 @@ def spans_of(df: DataFrame, doc_id: str, text: str) -> DataFrame:
                 found = base_spans(t) if t else []
                 base.append([dict(start=a, kind=k, end=b) for a, k, b in found])
                 # Only texts with a digit or '@' hold candidates.
-                cands.append([dict(start=a, end=b, instance=x, shape=shape(x), pattern=p, seed=s)
-                              for a, b, x, p, s in (candidates(t, found) if t and ("@" in t or ANY_DIGIT.search(t)) else [])])
+                cands.append([dict(start=a, end=b, instance=x, shape=shape(x), before=w, after=v, base=f, seed=s)
+                              for a, b, x, w, v, f, s in (candidates(t, found) if t and ("@" in t or ANY_DIGIT.search(t)) else [])])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(base, base_type), pa.array(cands, cand_type)],
                                              names=["doc_id", "base", "cands"])
 
@@ -149,41 +154,44 @@ def spans_of(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def patterns_of(c: Column) -> Column:
-    """Lexical patterns of a candidate: the last word before it and the last two, each with its shape."""
-    last = F.element_at(F.split(c["pattern"], " "), -1)
-    return F.filter(F.array(F.concat(last, F.lit(" _"), c["shape"]), F.concat(c["pattern"], F.lit(" _"), c["shape"])),
-                    lambda p: ~p.startswith(" "))
-
-
-def score_graph(found: DataFrame, rounds: int = ROUNDS, min_instances: int = MIN_INSTANCES) -> DataFrame:
-    """(instance, score) of the candidates that are no seeds.
-
-    Seeds tell which *shapes and contexts* carry identifiers: round 0 gives seeds score 1 and others the share of
-    their pattern's rows that differ from each other (an identifier's place is filled by ever new values). Then, in
-    turns, pattern = mean of its instances' scores, damped by n / (n + min_instances); instance = 1 - product of
-    (1 - pattern) over its patterns."""
-    rows = found.select(F.explode("cands").alias("c")).select("c.instance", "c.seed", F.explode(F.array_distinct(patterns_of(F.col("c")))).alias("pattern"))
-    edges = materialise(rows.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.count("*").alias("n")))
-    fill = edges.groupBy("pattern").agg((F.count("*") / (F.count("*") + min_instances)).alias("score"))
-    pattern = fill
+    """Lexical patterns (side, pattern) of a candidate, each with its shape: the last word before it, the last two, the
+    word after it, and both sides. Sides are 0 (before), 1 (after) and 2 (both)."""
+    last, after = F.element_at(F.split(c["before"], " "), -1), c["after"]
+    made = lambda side, a, b: F.struct(F.lit(side).alias("side"), F.concat(a, F.lit(" _"), c["shape"], F.lit("_ "), b).alias("pattern"))
+    none, two = F.lit(""), c["before"].contains(" ")
+    return F.array_compact(F.array(F.when(last != "", made(0, last, none)), F.when(two, made(0, c["before"], none)),
+                                   F.when(after != "", made(1, none, after)), F.when((last != "") & (after != ""), made(2, last, after))))
+
+
+def score_graph(found: DataFrame, rounds: int = ROUNDS, min_instances: int = MIN_INSTANCES, threshold: float = THRESHOLD) -> DataFrame:
+    """(instance, score) of the candidates that are no base matches and that evidence reaches.
+
+    In turns, pattern = its instances that are seeds or have passed the threshold / (n + min_instances), n being the
+    number of its distinct instances; instance = 1 - (1 - before) * (1 - after), or the both-side pattern if that is
+    larger, by the best pattern of each side. Below the threshold nothing is passed on, so weak evidence does not
+    grow from round to round."""
+    rows = found.select(F.explode("cands").alias("c")).select("c.instance", "c.base", "c.seed", F.explode(patterns_of(F.col("c"))).alias("p"))
+    edges = materialise(rows.groupBy("p.side", "p.pattern", "instance").agg(F.max("base").alias("base"), F.max("seed").alias("seed")))
+    sure = edges.filter("seed").select("instance").distinct()
     scores = None
     for _ in range(rounds):
-        joined = edges.join(pattern, "pattern")
-        scores = joined.groupBy("instance").agg(F.max("seed").alias("seed"), (1 - F.exp(F.sum(F.log(F.greatest(
-            1 - F.col("score"), F.lit(1e-9)))))).alias("own"))
-        scores = materialise(scores.select("instance", "seed", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.col("own")).alias("score")))
-        pattern = edges.select("pattern", "instance").join(scores, "instance").groupBy("pattern").agg(
-            (F.avg("score") * F.count("*") / (F.count("*") + min_instances)).alias("score"))
+        pattern = edges.join(sure.withColumn("sure", F.lit(1)), "instance", "left").groupBy("side", "pattern").agg(
+            (F.count("sure") / (F.count("*") + min_instances)).alias("score")).filter("score > 0")
+        side = lambda k: F.coalesce(F.max(F.when(F.col("side") == k, F.col("score"))), F.lit(0.0))
+        scores = materialise(edges.join(pattern, ["side", "pattern"]).groupBy("instance").agg(
+            F.max("base").alias("base"), F.max("seed").alias("seed"),
+            F.greatest(1 - (1 - side(0)) * (1 - side(1)), side(2)).alias("score")))
+        sure = scores.filter(F.col("seed") | (F.col("score") >= threshold)).select("instance")
     if scores is None:
         return edges.select("instance", F.lit(0.0).alias("score")).limit(0)
-    return scores.filter(~F.col("seed")).select("instance", "score")
+    return scores.filter(~F.col("base")).select("instance", "score")
 
 
 def find(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, base, spans) of every row: base spans, and all spans, as arrays of (start, kind, end) by start, kind."""
     found = materialise(spans_of(df, doc_id, text).withColumn("row", F.monotonically_increasing_id()))
-    sure = score_graph(found).filter(F.col("score") >= threshold).select("instance")
-    new = found.select("row", F.explode("cands").alias("c")).filter(~F.col("c.seed")).select("row", "c.start", "c.end", "c.instance") \
+    sure = score_graph(found, threshold=threshold).filter(F.col("score") >= threshold).select("instance")
+    new = found.select("row", F.explode("cands").alias("c")).filter(~F.col("c.base")).select("row", "c.start", "c.end", "c.instance") \
         .join(sure, "instance").groupBy("row").agg(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")).alias("added"))
     return found.join(new, "row", "left").select("doc_id", "base", F.array_sort(F.concat("base", F.coalesce(
         "added", F.expr("cast(array() as array<struct<start:int,kind:int,end:int>>)")))).alias("spans"))

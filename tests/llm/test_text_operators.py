@@ -276,6 +276,21 @@ def test_contextual_extraction_and_redaction(spark, clashing, edges):
     assert op9_pii.report(edges.limit(0)).count() == 0
 
 
+def test_context_evidence_starts_from_seeds(spark):
+    rng = random.Random(9)
+    mixed = lambda n: "".join(rng.choice("ghkmnpqr") + str(rng.randrange(10)) for _ in range(n // 2))
+    plain = [(i, f"see version 1.20.{i}-beta of {2000 + i}-05-17 for order {10**8 + 7919 * i} at price {i}99.95eur now") for i in range(80)]
+    got = op9_pii.report(spark.createDataFrame(plain, "doc_id int, text string")).collect()
+    assert {r.spans for r in got} == {""}
+    # Emails seed a context; identifiers of their shape are found in it, and through them a context without any seed.
+    codes = [mixed(16) for _ in range(30)]
+    rows = [(i, f"please contact {mixed(10)}@b.org about this") for i in range(40)] + [(100 + i, f"please contact {c} about this") for i, c in enumerate(codes)]
+    rows += [(200 + i, f"a locker {c} stands there") for i, c in enumerate([*codes, "k1m2n3p4q5r6g7h8"])] + [(300 + i, t) for i, t in plain]
+    got = {r.doc_id: r.spans for r in op9_pii.report(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert all("context:15:31" in got[100 + i] for i in range(30)) and all(got[200 + i] == "context:9:25" for i in range(31))
+    assert {got[300 + i] for i, _ in plain} == {""}
+
+
 def test_language_held_out_accuracy_and_edges(docs, clashing, edges, spark):
     model = op10_language.fit(docs)
     got = op10_language.predict(docs, model).filter(~op10_language.may_learn(F.col("doc_id"))).collect()
