@@ -123,7 +123,7 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
         b = m.start() + len(token.rstrip(EDGE))
         while k < len(spans) and spans[k][2] <= a:
             k += 1
-        if b - a < 8 or any(s < b and a < e for s, _, e in spans[max(0, k - 3):k + 4]):
+        if b <= a or any(s < b and a < e for s, _, e in spans[max(0, k - 3):k + 4]):
             continue
         named = NAMED.search(text[max(0, a - CONTEXT_REACH):a].lower()) is not None
         out.append((a, b, text[a:b], *context(text, a, b), False, named))

@@ -291,6 +291,12 @@ def test_context_evidence_starts_from_seeds(spark):
     assert {got[300 + i] for i, _ in plain} == {""}
 
 
+def test_context_finds_short_identifiers(spark):
+    rows = [(i, f"set token = \"AB{12345 + i}\" here") for i in range(30)] + [(100 + i, f"pwd = x{i} and {i} apples") for i in range(30)]
+    got = {r.doc_id: r.spans for r in op9_pii.report(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert all(got[i] == "context:13:20" and got[100 + i] == f"context:6:{7 + len(str(i))}" for i in range(30))
+
+
 def test_language_held_out_accuracy_and_edges(docs, clashing, edges, spark):
     model = op10_language.fit(docs)
     got = op10_language.predict(docs, model).filter(~op10_language.may_learn(F.col("doc_id"))).collect()
