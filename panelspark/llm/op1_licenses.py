@@ -1,8 +1,9 @@
 """Licence scan by Dice coefficient over word bigrams (DataFrame functions only).
 
-Units of a document are its lines and the whole text. Text is lower-cased,
-everything but letters and digits becomes a blank, and a unit's set of word
-bigrams is compared with each template's. Two exact bounds prune:
+Units of a document are its lines, the whole text, and windows of consecutive
+words within or across lines. Text is lower-cased, everything but letters and
+digits becomes a blank, and a unit's set of word bigrams is compared with each
+template's. Two exact bounds prune:
 
 * Dice >= t needs t / (2 - t) <= |unit| / |template| <= (2 - t) / t, so only
   templates of a fitting size are compared with a unit;
@@ -10,6 +11,14 @@ bigrams is compared with each template's. Two exact bounds prune:
   Words that touch more than the rest of them (the template's anchors)
   therefore occur in it, and a unit without any anchor is skipped unseen.
 
+Windows are of every size that the first bound permits, counted in bigrams. They
+are tried only for templates of which the whole text holds t / (2 - t) of the
+bigrams, which a match needs, and only from where a bigram of the template
+stands: a best window begins and ends with one. Of overlapping windows of one
+template the best score stays, of those of several templates the one that
+shares the most bigrams; a window is left out if the whole text or a line
+that it touches has already matched the same template.
+
 Templates are a parameter of bounded size; they are compared inside the row,
 so nothing is shuffled.
 
@@ -107,14 +116,65 @@ def anchors(text: str, threshold: float) -> set[str]:
 def _literal(templates: dict[str, str]) -> str:
     quoted = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
     return "array(" + ",".join(
-        f"named_struct('name', {quoted(name)}, 'grams', array({','.join(map(quoted, template_bigrams(text)))}))"
+        f"named_struct('name', {quoted(name)}, 'length', {max(0, len(template_words(text)) - 1)}, 'grams', array({','.join(map(quoted, template_bigrams(text)))}))"
         for name, text in sorted(templates.items())) + ")"
 
 
+def windows(lines: Column, whole: Column, table: Column, threshold: float) -> Column:
+    """Windows that match, as (licence, score, from, to), from and to being line numbers. lines: the words of each
+    line; whole: the distinct bigrams of the text."""
+    ratio = threshold / (2 - threshold)
+    let = lambda value, f: F.transform(F.array(value), f)[0]
+    at = F.flatten(F.transform(lines, lambda ws, i: F.transform(F.filter(ws, lambda w: w != ""), lambda w: F.struct(i.alias("line"), w.alias("w")))))
+    fits = F.filter(table, lambda x: F.size(F.array_intersect(whole, x["grams"])) >= F.size(x["grams"]) * ratio)
+    apart = lambda x, h: (x["last"] < h["first"]) | (x["first"] > h["last"])
+
+    def picked(found):
+        """Of overlapping windows the first in the order of the structs."""
+        return F.aggregate(F.array_sort(found), F.slice(found, 1, 0), lambda held, x: F.when(
+            F.forall(held, lambda h: apart(x, h)), F.array_append(held, x)).otherwise(held))
+
+    def bigrams(ws):
+        """(place, place of the same bigram before or -1, bigram), by place."""
+        n = F.greatest(F.size(ws) - 1, F.lit(0))
+        grams = F.zip_with(F.slice(ws, 1, n), F.slice(ws, 2, n), lambda x, y: F.concat(x["w"], F.lit(" "), y["w"]))
+        return let(F.array_sort(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("p")))), lambda o: F.array_sort(F.transform(
+            o, lambda x, i: F.struct(x["p"].alias("p"), F.when(F.get(o, i - 1)["g"] == x["g"], F.get(o, i - 1)["p"]).otherwise(-1).alias("prev"), x["g"].alias("g")))))
+
+    def from_start(marked, size, length, s):
+        """The best window that begins at place s: bigrams it shares, bigrams it has, where it ends."""
+        start = F.struct(F.lit(0).alias("m"), F.lit(0).alias("n"), F.lit(0.0).alias("score"), F.lit(0).alias("shared"), F.lit(0).alias("last"))
+
+        def step(acc, x):
+            new = (x["prev"] < s).cast("int")
+            m, n = acc["m"] + F.when(x["hit"], new).otherwise(0), acc["n"] + new
+            return let(F.struct(m.alias("m"), n.alias("n"), (2.0 * m / (n + size)).alias("score")), lambda y: F.when(
+                y["score"] > acc["score"], F.struct(y["m"].alias("m"), y["n"].alias("n"), y["score"].alias("score"), y["m"].alias("shared"), x["p"].alias("last"))
+            ).otherwise(F.struct(y["m"].alias("m"), y["n"].alias("n"), acc["score"].alias("score"), acc["shared"].alias("shared"), acc["last"].alias("last"))))
+
+        return let(F.aggregate(F.slice(marked, s + 1, length), start, step), lambda r: F.struct(
+            (-r["score"]).alias("minus"), s.alias("first"), (r["last"] + 1).alias("last"), r["shared"].alias("shared")))
+
+    def of_template(grams, x):
+        length = F.floor(x["length"] / ratio + 1e-9).cast("int")
+        marked = F.transform(grams, lambda g: F.struct(g["p"].alias("p"), g["prev"].alias("prev"), F.array_contains(x["grams"], g["g"]).alias("hit")))
+        found = let(marked, lambda k: F.transform(F.filter(k, lambda g: g["hit"]), lambda g: from_start(k, F.size(x["grams"]), length, g["p"])))
+        best = let(F.filter(found, lambda h: h["minus"] <= -threshold), picked)
+        return F.transform(best, lambda h: F.struct((-h["shared"]).alias("less"), h["minus"].alias("minus"), x["name"].alias("licence"),
+                                                    h["first"].alias("first"), h["last"].alias("last")))
+
+    def of_text(ws):
+        found = let(bigrams(ws), lambda grams: F.flatten(F.transform(fits, lambda x: of_template(grams, x))))
+        return F.transform(let(found, picked), lambda h: F.struct(h["licence"].alias("licence"), (-h["minus"]).alias("score"),
+                                                                  F.get(ws, h["first"])["line"].alias("from"), F.get(ws, h["last"])["line"].alias("to")))
+
+    return F.when(F.size(fits) > 0, let(at, of_text))
+
+
 def scan(df: DataFrame, text: str = "text", out: str = "licences", templates: dict[str, str] = TEMPLATES,
          threshold: float = THRESHOLD) -> DataFrame:
-    """Adds an array with, for every matching unit, (unit: line number from 0, or -1 for the whole text; licence;
-    score), by unit. Of several templates the best one is named."""
+    """Adds an array with, for every matching unit, (unit: line number from 0, that of its first word for a window, or
+    -1 for the whole text; licence; score), by unit. Of several templates the best one is named."""
     t = F.col(text)
     a, b, c = (free_name(df, f"licence_{x}") for x in ("units", "grams", "seen"))
     sure = F.array(*map(F.lit, sorted({w for x in templates.values() for w in anchors(x, threshold)})))
@@ -123,9 +183,11 @@ def scan(df: DataFrame, text: str = "text", out: str = "licences", templates: di
         F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda x, y: F.concat(x, F.lit(" "), y)))
     unit = lambda n, u: F.struct(n.cast("int").alias("unit"), words(u).alias("words"))
     df0 = df.withColumn(c, F.arrays_overlap(F.split(F.lower(t), r"[^\p{L}\p{N}]+"), sure))
+    # The whole text comes last; lines without an anchor can't match by themselves, but windows may run across them.
     units = F.concat(F.transform(F.split(t, "\n"), lambda u, i: unit(i, u)), F.array(unit(F.lit(-1), t)))
-    df1 = df0.withColumn(a, F.when(F.col(c), F.filter(units, lambda u: F.arrays_overlap(u["words"], sure)))).drop(c)
-    df2 = df1.withColumn(b, F.transform(F.col(a), lambda u: F.struct(u["unit"].alias("unit"), grams(u["words"]).alias("grams")))).drop(a)
+    df1 = df0.withColumn(a, F.when(F.col(c), units)).drop(c)
+    kept = lambda u: (u["unit"] == -1) | F.arrays_overlap(u["words"], sure)
+    df2 = df1.withColumn(b, F.transform(F.filter(F.col(a), kept), lambda u: F.struct(u["unit"].alias("unit"), grams(u["words"]).alias("grams"))))
     table, ratio = F.expr(_literal(templates)), threshold / (2 - threshold)
 
     def best(u):
@@ -139,9 +201,19 @@ def scan(df: DataFrame, text: str = "text", out: str = "licences", templates: di
     hits = F.filter(F.transform(F.col(b), best), lambda h: h["best"]["minus"] <= -threshold)
     hits = F.transform(hits, lambda h: F.struct(h["unit"].alias("unit"), h["best"]["licence"].alias("licence"),
                                                 (-h["best"]["minus"]).alias("score")))
+    none = F.expr("cast(array() as array<struct<unit:int,licence:string,score:double>>)")
+    lines = F.transform(F.filter(F.col(a), lambda u: u["unit"] >= 0), lambda u: u["words"])
+    wide = windows(lines, F.element_at(F.col(b), -1)["grams"], table, threshold)
+
+    def both(found):
+        known = lambda x: F.exists(found, lambda h: (h["licence"] == x["licence"]) & (
+            (h["unit"] == -1) | h["unit"].between(x["from"], x["to"])))
+        more = F.transform(F.filter(wide, lambda x: ~known(x)), lambda x: F.struct(x["from"].cast("int").alias("unit"), x["licence"], x["score"]))
+        return F.concat(found, F.coalesce(more.cast("array<struct<unit:int,licence:string,score:double>>"), none))
+
     out = free_name(df, out)
-    return computed_once(df2.withColumn(out, F.coalesce(F.array_sort(hits), F.expr(
-        "cast(array() as array<struct<unit:int,licence:string,score:double>>)"))).drop(b), out)
+    every = F.when(F.col(b).isNotNull(), F.array_sort(F.transform(F.array(hits), both)[0]))
+    return computed_once(df2.withColumn(out, F.coalesce(every, none)).drop(a, b), out)
 
 
 def best_of(licences: Column) -> Column:

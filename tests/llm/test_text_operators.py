@@ -73,6 +73,25 @@ def test_licence_units_bounds_and_anchors(spark, clashing):
     assert out.count() == len(EDGES) and "licences_1" in out.columns
 
 
+def test_licence_windows_within_longer_text(spark):
+    rng = random.Random(11)
+    prose = lambda n: " ".join(rng.choice("lorem ipsum dolor of the software and to sit under amet".split()) for _ in range(n))
+    wrap = lambda name, n: "\n".join(" * " + " ".join(w) for w in itertools.batched(op1_licenses.TEMPLATES[name].split(), n))
+    short = op1_licenses.TEMPLATES["MIT-line"]
+    rows = [(1, f"title\n{wrap('MIT', 9)}\n{prose(900)}"), (2, f"{wrap('Apache-2.0-notice', 7)}\n{prose(400)}\n{prose(400)}"),
+            (3, f"{prose(40)}\n{prose(30)} {short} {prose(30)}\n{short}"), (4, prose(900)),
+            (5, f"{wrap('MIT', 8)}\n{prose(100)}\n{wrap('BSD-2-Clause', 8)}"), (6, f"x\n{wrap('MIT', 8).replace('publish,', 'print and publish and')}\n{prose(300)}")]
+    got = {r.doc_id: [(h.unit, h.licence, h.score) for h in r.licences] for r in op1_licenses.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert got[1] == [(1, "MIT", 1.0)] and (0, "Apache-2.0-notice", 1.0) in got[2] and got[4] == []
+    assert got[3] == [(1, "MIT-line", 1.0), (2, "MIT-line", 1.0)]
+    assert [(u, name) for u, name, s in got[5] if s == 1.0] == [(0, "MIT"), (len(wrap("MIT", 8).split("\n")) + 1, "BSD-2-Clause")]
+    # The best of all windows: an edited notice against brute force.
+    words, grams = op1_licenses.template_words(rows[5][1])[:320], set(op1_licenses.template_bigrams(op1_licenses.TEMPLATES["MIT"]))
+    pairs = list(zip(words, words[1:]))
+    best = max(2 * len({" ".join(g) for g in pairs[i:j]} & grams) / (len(set(pairs[i:j])) + len(grams)) for i in range(40) for j in range(i + 90, i + 240))
+    assert [(u, name) for u, name, _ in got[6]] == [(1, "MIT")] and got[6][0][2] == pytest.approx(best) and best < 1
+
+
 def test_near_duplicate_classes_equal_brute_force(docs, texts):
     sets = {i: set(op2_near_duplicates.shingles(t).tolist()) for i, t in texts.items()}
     up = {i: i for i in sets}
