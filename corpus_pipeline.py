@@ -14,7 +14,7 @@ from panelspark.llm.common import documents, shared_folder
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without letters and texts of which no learned language has the given share."""
+    """Rejects texts without letters and texts whose words are too little evidence for any learned language."""
     return op10_language.keep_known(docs)
 
 

@@ -23,6 +23,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -41,6 +42,8 @@ ROUNDS = 25
 CACHE_WORDS = 250_000
 SLICE_WORDS = 500_000
 UNKNOWN = "und"
+SEEN = 3
+DEVIATIONS = 2.0
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -67,14 +70,18 @@ class Model:
     weights: np.ndarray  # feature x label
     transitions: np.ndarray  # log scores, from x to
     lexicon: dict[str, tuple[int, ...]]
+    seen: dict[str, tuple[int, ...]]  # languages in which a word occurs SEEN times or more
+    levels: np.ndarray  # by label: the share of seen words below which a text is of no learned language
     known: dict[str, int] = field(default_factory=dict)  # word -> row of `scores`, in a worker
     scores: np.ndarray | None = None
+    is_seen: np.ndarray | None = None  # same rows: whether the word is seen in each language
 
     def rows(self, words: list[str]) -> np.ndarray:
         """Emission rows of the words, by a table that is started anew when full."""
         if self.scores is None or len(self.known) > CACHE_WORDS:
             self.known, self.scores = {}, np.zeros((0, len(self.labels)))
-        known, added = self.known, []
+            self.is_seen = np.zeros((0, len(self.labels)), bool)
+        known, added, seen = self.known, [], []
         out = [known.get(w, -1) for w in words]
         for i, r in enumerate(out):
             if r < 0:
@@ -83,9 +90,11 @@ class Model:
                 if r < 0:
                     r = known[w] = len(self.scores) + len(added)
                     added.append(self.weights[feature_ids(w, self.lexicon)].sum(0))
+                    seen.append([k in self.seen.get(w, ()) for k in range(len(self.labels))])
                 out[i] = r
         if added:
             self.scores = np.concatenate([self.scores, np.array(added)])
+            self.is_seen = np.concatenate([self.is_seen, np.array(seen)])
         return np.array(out, dtype=np.int64)
 
 
@@ -122,6 +131,20 @@ def forward_backward(emission: np.ndarray, lengths: np.ndarray, transitions: np.
     return out
 
 
+def seen_levels(samples: list[tuple[str, list[str]]], number: dict[str, int], counts: dict[str, dict[int, int]]) -> np.ndarray:
+    """By language, the middle between two medians over the sample's texts: the share of words seen in the language's
+    other texts, of its own texts; and the same of texts of the nearest other language, which stand for unlearned ones."""
+    own: list[list[float]] = [[] for _ in number]
+    other: dict[tuple[int, int], list[float]] = {}
+    for lang, words in samples:
+        if words:
+            y, mine = number[lang], Counter(words)
+            for k in number.values():
+                n = sum(c for w, c in mine.items() if counts[w].get(k, 0) - (c if k == y else 0) >= SEEN)
+                (own[y] if k == y else other.setdefault((k, y), [])).append(n / len(words))
+    return np.array([(np.median(own[k]) + max((np.median(v) for (a, _), v in other.items() if a == k), default=0.0)) / 2 for k in range(len(number))])
+
+
 def train(samples: list[tuple[str, list[str]]], seed: int = 7) -> Model | None:
     """samples: (language, words)."""
     labels = sorted({lang for lang, w in samples if w})
@@ -172,7 +195,8 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 7) -> Model | None:
         square_m += by_move ** 2
         weights += 0.3 * by_feature / np.sqrt(square_w + 1e-8)
         moves += 0.3 * by_move / np.sqrt(square_m + 1e-8)
-    return Model(labels, weights.astype(np.float32), moves, lexicon)
+    seen = {w: known for w, c in counts.items() if (known := tuple(k for k, n in sorted(c.items()) if n >= SEEN))}
+    return Model(labels, weights.astype(np.float32), moves, lexicon, seen, seen_levels(samples, number, counts))
 
 
 def pair_counts(emission: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, inner: np.ndarray) -> np.ndarray:
@@ -242,10 +266,10 @@ def _predict(df: DataFrame, model: Model | None, text: str, fields: list[T.Struc
 TYPES = {"string": pa.string(), "double": pa.float64(), "array<string>": pa.list_(pa.string())}
 
 
-def _marginals(model: Model, held: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+def _marginals(model: Model, held: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lengths = np.array([len(h) for h in held])
     rows = model.rows([w for h in held for w in h])
-    return forward_backward(model.scores[rows], lengths[lengths > 0], model.transitions), lengths
+    return forward_backward(model.scores[rows], lengths[lengths > 0], model.transitions), lengths, rows
 
 
 def predict(df: DataFrame, model: Model | None, text: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
@@ -255,7 +279,7 @@ def predict(df: DataFrame, model: Model | None, text: str = "text", lang_pred: s
     def result(model, held):
         out = [(UNKNOWN, 0.0)] * len(held)
         if model and any(held):
-            p, lengths = _marginals(model, held)
+            p, lengths, _ = _marginals(model, held)
             some = np.flatnonzero(lengths)
             share = np.add.reduceat(p, np.cumsum(lengths[some]) - lengths[some]) / lengths[some, None]
             for i, s in zip(some, share):
@@ -271,7 +295,7 @@ def label_words(df: DataFrame, model: Model | None, text: str = "text", out: str
     def result(model, held):
         if not model or not any(held):
             return [([],)] * len(held)
-        p, lengths = _marginals(model, held)
+        p, lengths, _ = _marginals(model, held)
         best = [model.labels[k] for k in p.argmax(1)]
         ends = np.cumsum(lengths)
         return [(best[b - n:b],) for n, b in zip(lengths, ends)]
@@ -279,8 +303,31 @@ def label_words(df: DataFrame, model: Model | None, text: str = "text", out: str
     return _predict(df, model, text, [T.StructField(free_name(df, out), T.ArrayType(T.StringType()))], result)
 
 
+def with_evidence(df: DataFrame, model: Model | None, text: str, score: str, lack: str) -> DataFrame:
+    """Adds the largest expected share of words in one language (0 without words) and what the text lacks, in words, to
+    be of the learned languages. Shares sum to 1 over the learned labels whatever the text is; the lack does not: every
+    word counts as evidence if it is seen in the language it is labelled with, and that count is held against the
+    languages' levels, less DEVIATIONS standard deviations, so that a short text does not lack by chance."""
+    def result(model, held):
+        out = [(0.0, 0.0)] * len(held)
+        if model and any(held):
+            p, lengths, rows = _marginals(model, held)
+            some = np.flatnonzero(lengths)
+            first, best = np.cumsum(lengths[some]) - lengths[some], p.argmax(1)
+            share = np.add.reduceat(p, first).max(1) / lengths[some]
+            level = model.levels[best]
+            need, spread = np.add.reduceat(level, first), np.sqrt(np.add.reduceat(level * (1 - level), first))
+            short = need - DEVIATIONS * spread - np.add.reduceat(model.is_seen[rows, best].astype(float), first)
+            for i, s, x in zip(some, share, short):
+                out[i] = (float(s), float(x))
+        return out
+
+    return _predict(df, model, text, [T.StructField(score, T.DoubleType()), T.StructField(lack, T.DoubleType())], result)
+
+
 def keep_known(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.3) -> DataFrame:
-    """The rows whose text is in one of the learned languages for at least the given share; same columns."""
-    names = [free_name(df, "lang_pred"), free_name(df, "score")]
-    out = predict(df, fit(df, doc_id, text, lang), text, *names)
-    return out.filter((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).select(*df.columns)
+    """The rows whose text has words that are evidence enough for the learned languages, and one of these for at least
+    the given share; same columns."""
+    score, lack = free_name(df, "score"), free_name(df, "lang_lack")
+    out = with_evidence(df, fit(df, doc_id, text, lang), text, score, lack)
+    return out.filter((F.col(score) > 0) & (F.col(score) >= least) & (F.col(lack) <= 0)).select(*df.columns)

@@ -328,6 +328,16 @@ def test_language_held_out_accuracy_and_edges(docs, clashing, edges, spark):
     assert {r.lang_pred for r in op10_language.predict(edges, None).collect()} == {"und"}
 
 
+def test_language_stage_rejects_unlearned_languages(docs):
+    rng = random.Random(12)
+    other = ["".join(rng.choice("bdgkmnzvlraiouy") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    rows = [(10**6 + i, " ".join(rng.choice(other) for _ in range(rng.choice((60, 300)))), None, "s", 0) for i in range(20)]
+    rows += [(2 * 10**6, "kvôli tomu však nebolo možné prísť skôr než večer a preto sme čakali doma až do rána " * 4, None, "s", 0)]
+    kept = {r.doc_id for r in op10_language.keep_known(docs.unionByName(docs.sparkSession.createDataFrame(rows, SCHEMA))).collect()}
+    clean = {r.doc_id for r in op8_quality.keep_good(docs).collect()}
+    assert clean <= kept and not kept & {r[0] for r in rows}
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(1)
     e, moves, lengths = rng.normal(size=(7, 3)), rng.normal(size=(3, 3)), np.array([3, 4])
