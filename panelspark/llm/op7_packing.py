@@ -26,7 +26,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import split_words
+from panelspark.llm import op2_near_duplicates
+from panelspark.llm.common import materialise, split_words
 
 CAPACITY = 2048
 SHARD_ROWS = 4000
@@ -106,6 +107,15 @@ def pack(df: DataFrame, size: Column, cluster: Column, doc_id: str = "doc_id", s
     return rows.groupBy("shard").applyInPandas(run, SCHEMA)
 
 
+def with_clusters(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """(doc_id, source, words, cluster) of every row, written once: the number of words and the class of near-duplicates,
+    null without words. Classes are joined by a digest of id and text, so null and repeated ids keep their own."""
+    keyed = df.select(F.xxhash64(doc_id, text).alias("key"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"))
+    found = op2_near_duplicates.classes(keyed, "key").groupBy(F.col("doc_id").alias("key")).agg(F.min("class_id").alias("class"))
+    rows = keyed.select("key", "doc_id", "source", words_in("text").alias("words")).join(found, "key", "left")
+    return materialise(rows.select("doc_id", "source", "words", F.when(F.col("words") > 0, F.col("class")).alias("cluster")))
+
+
 def words_in(text: str) -> Column:
     return F.size(split_words(F.col(text)))
 

@@ -45,7 +45,7 @@ def op6_token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op7_packing.pack(documents(spark, sf_dir), op7_packing.words_in("text"), op7_packing.same_words("text"))
+    return op7_packing.pack(op7_packing.with_clusters(documents(spark, sf_dir)), F.col("words"), F.col("cluster"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -256,6 +256,22 @@ def test_packing_conflicts_and_tightest_bin(docs, clashing):
     assert op7_packing.pack(clashing, op7_packing.words_in("text"), op7_packing.same_words("text")).filter("piece = 0").count() == len(EDGES)
 
 
+def test_packing_parts_near_copies_of_different_sources(spark, tmp_path):
+    rng = random.Random(13)
+    rows = []
+    for g in range(12):
+        words = [f"g{g}w{i}" for i in range(150)]
+        for k in range(4):  # each with a word of its own
+            w = list(words)
+            w[rng.randrange(150)] = f"own{g}x{k}"
+            rows.append((g * 4 + k, " ".join(w), "en", f"s{g * 4 + k}", 0))
+    rows += [(100, None, "en", "a", 0), (101, " ", "en", "b", 0), (None, "no id", "en", "c", 0)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op7_best_fit_packing(spark, str(tmp_path)).collect()
+    groups = [(r.bin, r.doc_id // 4) for r in got if r.doc_id is not None and r.doc_id < 100]
+    assert len(got) == len(rows) and len(set(groups)) == len(groups) and len({b for b, _ in groups}) < len(groups)
+
+
 def test_quality_edges_policies_and_ablation(clashing, edges, docs):
     got = op8_quality.ledger(clashing, out="ledger")
     assert got.count() == len(EDGES) and "ledger_1" in got.columns
