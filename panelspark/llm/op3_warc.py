@@ -40,8 +40,11 @@ RECORDS = "page_id bigint, payload binary, payload_digest string, record_type st
 
 
 def url_key(url: Column) -> Column:
-    """Reversed-host key: http://www.a.org:80/p?q -> org,a,www:80)/p?q ; null -> ''."""
+    """Reversed-host key: http://www.a.org:80/p?q -> org,a,www:80)/p?q ; null -> ''. Percent, tab and newline, which
+    part the fields and lines of the index, are escaped here, so that sorting, directory and look-up use one key."""
     u = F.lower(F.regexp_replace(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://", ""))
+    for c in "%\t\n":
+        u = F.replace(u, F.lit(c), F.lit(f"%{ord(c):02X}"))
     host = F.regexp_extract(u, r"^([^/?#]*)", 1)
     name, port = F.regexp_extract(host, r"^([^:]*)", 1), F.regexp_extract(host, r"(:.*)$", 1)
     rest = F.substring(u, F.length(host) + 1, F.length(u))
@@ -119,11 +122,12 @@ CAPTURE_TYPES = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), p
 
 
 def _line(key, page, file, at, length) -> str:
-    return "\t".join((key.replace("\t", "%09").replace("\n", "%0A"), "%d" % page if page is not None else "-", file, str(at), str(length)))
+    return "\t".join((key, "%d" % page if page is not None else "-", file, str(at), str(length)))
 
 
-def _sort_key(key: str, page) -> tuple[bytes, int]:
-    return key.encode(), -1 if page is None else page
+def _sort_key(key: str, page) -> tuple[bytes, bool, int]:
+    """Order of Spark's sort: null before every number."""
+    return key.encode(), page is not None, page or 0
 
 
 def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> DataFrame:
@@ -195,7 +199,7 @@ class Index:
 
     def find(self, key: str, page) -> tuple[str, int, int] | None:
         """(file, offset, length) of the record of this capture."""
-        want = _sort_key(key.replace("\t", "%09").replace("\n", "%0A"), page)
+        want = _sort_key(key, page)
         k = bisect_right(self.firsts, want) - 1
         if k < 0:
             return None
@@ -205,8 +209,8 @@ class Index:
 
 
 def look_up(wanted: DataFrame, directory: str, index: str, archives: str) -> DataFrame:
-    """wanted: (key, page_id). Returns the records found: header fields and the payload that the record carries.
-    Keys are sorted first, so that a task reads each block once."""
+    """wanted: (key, page_id). Returns their records: header fields and the payload that the record carries. A
+    capture that the index does not have is an error. Keys are sorted first, so that a task reads each block once."""
     n = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = wanted.select("key", "page_id").repartitionByRange(n, "key", "page_id").sortWithinPartitions("key", "page_id")
 
@@ -220,7 +224,7 @@ def look_up(wanted: DataFrame, directory: str, index: str, archives: str) -> Dat
                 part, out = batch.slice(at, 256), []
                 for key, page in zip(part.column("key").to_pylist(), part.column("page_id").to_pylist()):
                     if (where := found.find(key, page)) is None:
-                        continue
+                        raise LookupError(f"no capture of page {page} under the key {key!r}")
                     head, body = parse(gzip.decompress(_read_range(system, f"{base}/{where[0]}", where[1], where[2])))
                     ref = head.get("WARC-Refers-To")
                     out.append((_page(head["WARC-Record-ID"]), body, head["WARC-Payload-Digest"].removeprefix("sha1:"),

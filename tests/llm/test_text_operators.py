@@ -156,6 +156,19 @@ def test_warc_round_trip(spark):
     assert keys[:4] == ["org,a,www)/x?q=1", "org,b)", "", "org,a:80)/"]
 
 
+def test_warc_finds_keys_with_tabs_and_newlines(spark, tmp_path):
+    urls = ["http://a/x\ty", "http://a/x!z", "http://a/x\ny", "http://a/x y", "http://a/x%09y", "http://a/x", "http://a/x\t", "http://a/x%", "http://a/x\x0by", None]
+    rows = [(p, u, f"{p} {u}") for u in urls for p in (-5, -1, None, 0, 7)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = op3_warc.archive_round_trip(pages).collect()
+    digest = lambda h: base64.b32encode(hashlib.sha1(h.encode()).digest()).decode()
+    assert Counter((r.page_id, r.payload_digest) for r in got) == Counter((p, digest(h)) for p, _, h in rows)
+    captures = op3_warc.write_archives(pages, f"{tmp_path}/archives")
+    op3_warc.write_directory(op3_warc.write_index(captures, f"{tmp_path}/index"), f"{tmp_path}/directory")
+    with pytest.raises(Exception, match="no capture of page 99"):
+        op3_warc.look_up(spark.createDataFrame([("a)/x", 99)], "key string, page_id bigint"), *(f"{tmp_path}/{x}" for x in ("directory", "index", "archives"))).collect()
+
+
 def test_bpe_equals_library():
     import tiktoken
     file, pattern = queries.rank_file()
