@@ -1,29 +1,31 @@
 """Removal of repeated passages by prefix-partitioned suffix trees.
 
-A window is WINDOW consecutive words of one document. Its suffix (the text
-from its first word on, cut at WINDOW words) goes into the suffix tree; a node
-at full depth whose leaves lie in two documents or more is a repeat, and runs
-of such nodes are the maximal repeats. Words of a repeat are removed from every
-document but the one with the smallest id.
+A window is WINDOW consecutive words of one document. Words of a window that
+occurs in a document with a smaller id, too, are removed; runs of such windows
+are the maximal repeats. Windows meet in a sparse suffix tree: each window has
+an anchor, the least-hashed run of ANCHOR words within it, and is spelled from
+its anchor on (the words from the anchor to its end, then those before the
+anchor, then how many those are). Equal windows have equal anchors, so a node
+at full depth is a window, and one with leaves in two documents is a repeat.
 
 1. Documents are dealt to *parts* of a few MB by a hash, once; every later step
    reads that one shuffle.
-2. Pruning, exact: each window has an anchor, the least-hashed run of ANCHOR
-   words within it. Equal windows have equal anchors, so a window whose anchor
-   occurs in one document only can't be a repeat and its suffix is left out.
+2. Pruning, exact: an anchor that occurs in one document only begins no repeat.
    Each part names each of its anchors once, with the least and largest id.
-3. Prefixes: words that start more than `group` windows are too large a group;
-   they are extended word by word until each prefix has few enough. The table
-   of extended prefixes is bounded by MAX_GROUPS rows a level, since `group`
-   is at least the number of windows over MAX_GROUPS.
-4. The suffixes that are left (each once a part) are dealt by their prefix and
-   sorted; a task walks its subtrees depth first, holding only the path from
-   the root. Of a node at full depth, leaves come by id, so the first one names
-   the smallest document and the others stream past it.
+3. Prefixes: words that start more than `group` suffixes are too large a group;
+   they are extended word by word, up to the anchor's length, until a prefix has
+   few enough. The table of extended prefixes is bounded: a level has at most
+   2 (number of words) / `group` of them, and `group` is at least the number of
+   words over MAX_GROUPS.
+4. The windows that are left travel once for each anchor, as the passage that
+   they cover, to the task of their prefix. It spells and sorts them and walks
+   its subtrees depth first, holding only the path from the root. Leaves of a
+   node come by id, so the first one names the smallest document and the others
+   stream past it.
 5. Each part learns which of its windows are repeats and removes the words.
 
-A window that fills a third of all documents reaches step 4 at most once a
-part and an anchor reaches step 2 at most once a part, so no key is hot.
+A passage that a third of all documents share reaches steps 2 and 4 at most
+once a part, so no key is hot.
 
 Defined cases: null text has no words; a text under WINDOW words loses none;
 texts of any length are searched whole; a null doc_id counts as larger than
@@ -34,6 +36,8 @@ table gives none. Only the id and text columns are read.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -47,6 +51,7 @@ ANCHOR = 5
 PART_BYTES = 8 << 20
 GROUP = 1_000_000
 MAX_GROUPS = 65_536
+HELD = 1_000_000  # prefixes that a task counts before it hands them on
 LAST = np.iinfo(np.int64).max  # stands for a null doc_id
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))  # fixed values of splitmix64
 
@@ -67,8 +72,16 @@ def run_hash(values: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
+class Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class Part:
-    """The documents of a part, in an order that depends on them alone, as one line of word numbers."""
+    """The documents of a part, by id and in an order that depends on them alone, as one line of word numbers."""
 
     def __init__(self, table: pa.Table, window: int):
         ids = [LAST if i is None else i for i in table.column("doc_id").to_pylist()]
@@ -76,13 +89,13 @@ class Part:
         order = sorted(range(len(ids)), key=lambda k: (ids[k], texts[k]))
         self.ids = np.array([ids[k] for k in order], np.int64)
         self.null = [table.column("doc_id")[k].as_py() is None for k in order]
-        number: dict[bytes, int] = {}
-        runs, put = [], number.setdefault
+        number, runs = Numbers(), []
         for k in order:
-            runs.append(np.fromiter((put(w, len(number)) for w in texts[k].split()), np.int64))  # bytes split at ASCII white space
+            words = texts[k].split()  # bytes split at ASCII white space
+            runs.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
             texts[k] = b""
         self.n_words = np.array([len(r) for r in runs], np.int64)
-        self.words = np.concatenate([np.zeros(0, np.int64), *runs])
+        self.words = np.concatenate([np.zeros(0, np.int32), *runs])
         self.vocabulary = list(number)
         self.first = np.cumsum(self.n_words) - self.n_words
         # The starts of all windows, and the document of each.
@@ -90,19 +103,26 @@ class Part:
         self.doc = np.repeat(np.arange(len(per)), per)
         self.starts = np.arange(len(self.doc)) - np.repeat(np.cumsum(per) - per, per) + self.first[self.doc]
 
-    def hashes(self) -> np.ndarray:
+    def anchors(self, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+        """The anchor of each window: the least hash of its runs of `anchor` words, and the place of the first such run."""
         of = np.array([xxhash.xxh3_64_intdigest(w) for w in self.vocabulary], np.uint64)
-        return of[self.words] if len(self.words) else np.zeros(0, np.uint64)
-
-    def anchors(self, window: int, anchor: int) -> np.ndarray:
-        """The anchor of each window: the least hash of its runs of `anchor` words."""
-        runs = run_hash(self.hashes(), anchor)
         if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        least = runs[self.starts]
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        runs = run_hash(of[self.words], anchor)
+        n = len(self.words) - window + 1
+        least, offset = runs[:n].copy(), np.zeros(n, np.int64)
         for j in range(1, window - anchor + 1):
-            least = np.minimum(least, runs[self.starts + j])
-        return least
+            less = runs[j:j + n] < least
+            least[less] = runs[j:j + n][less]
+            offset[less] = j
+        return least[self.starts], self.starts + offset[self.starts]
+
+    def passages(self, chosen: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last of each run of neighbouring chosen windows with one anchor, as numbers into `starts`."""
+        if not len(chosen):
+            return chosen, chosen
+        cut = np.flatnonzero((np.diff(chosen) != 1) | (np.diff(places[chosen]) != 0) | (np.diff(self.doc[chosen]) != 0)) + 1
+        return chosen[np.r_[0, cut]], chosen[np.r_[cut, len(chosen)] - 1]
 
     def same(self, a: np.ndarray, b: np.ndarray, window: int) -> np.ndarray:
         """Whether the windows at places a and b have the same words."""
@@ -111,26 +131,20 @@ class Part:
             out &= self.words[a + j] == self.words[b + j]
         return out
 
-    def text(self, start: int, n: int) -> bytes:
-        v = self.vocabulary
-        return b" ".join([v[w] for w in self.words[start:start + n].tolist()])
-
-
-def by_key(key: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each distinct key, in order: the places where its run begins in the sorted order, that order, and run ends."""
-    order = np.lexsort((low, key))
-    sorted_key = key[order]
-    begin = np.flatnonzero(np.r_[True, sorted_key[1:] != sorted_key[:-1]]) if len(key) else np.zeros(0, np.int64)
-    return order, begin, np.r_[begin[1:], len(key)].astype(np.int64) - 1 if len(key) else begin
-
 
 def anchors_of(window: int, anchor: int):
+    """Each anchor of a part with the least and largest id of its documents."""
     def run(key, table):
         part = Part(table, window)
-        a, ids = part.anchors(window, anchor), part.ids[part.doc]
-        order, begin, end = by_key(a, ids)
-        return pa.table({"part": pa.array(np.full(len(begin), key[0].as_py()), pa.int32()), "anchor": pa.array(a[order[begin]].view(np.int64)),
-                         "low": pa.array(ids[order[begin]], pa.int64()), "high": pa.array(ids[order[end]], pa.int64())})
+        hashes, places = part.anchors(window, anchor)
+        first, _ = part.passages(np.arange(len(places)), places)
+        a, ids = hashes[first], part.ids[part.doc[first]]
+        order = np.argsort(a, kind="stable")  # ids rise with the place, so they rise within an anchor
+        a, ids = a[order], ids[order]
+        begin = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.zeros(0, np.int64)
+        end = np.r_[begin[1:], len(a)].astype(np.int64) - 1 if len(a) else begin
+        return pa.table({"part": pa.array(np.full(len(begin), key[0].as_py()), pa.int32()), "anchor": pa.array(a[begin].view(np.int64)),
+                         "low": pa.array(ids[begin], pa.int64()), "high": pa.array(ids[end], pa.int64())})
 
     return run
 
@@ -144,31 +158,58 @@ def prefix_of(words: list[bytes], heavy: frozenset) -> bytes:
     return b" ".join(words)
 
 
-def suffixes_of(window: int, anchor: int, heavy):
-    """Each different window of a part that may be a repeat: its text, prefix, place, least and largest id."""
+PASSAGES = "part int, at bigint, passage binary, offset int, tree bigint, low bigint, high bigint"
+
+
+def passages_of(window: int, anchor: int, heavy):
+    """Each different passage of a part whose windows may be repeats: its place, text, where its anchor begins (in words),
+    the hash of its prefix, least and largest id."""
     def run(key, table, marks):
-        known = heavy.value
-        part = Part(table, window)
+        known, part = heavy.value, Part(table, window)
         wanted = marks.column("anchor").to_numpy().view(np.uint64) if marks.num_rows else np.zeros(0, np.uint64)
-        keep = np.flatnonzero(np.isin(part.anchors(window, anchor), wanted))
-        starts, ids = part.starts[keep], part.ids[part.doc[keep]]
-        order, begin, end = by_key(run_hash(mix(part.words.astype(np.uint64)), window)[starts], ids)
-        # Windows with equal numbers but other words than the first of their run stand alone.
-        odd = order[~part.same(starts[order], starts[order[np.repeat(begin, end - begin + 1)]], window)]
-        places = np.r_[starts[order[begin]], starts[odd]]
-        low, high = np.r_[ids[order[begin]], ids[odd]], np.r_[ids[order[end]], ids[odd]]
-        texts = [part.text(s, window) for s in places.tolist()]
-        prefixes = [prefix_of(t.split(b" ", window)[:window], known) for t in texts]
-        return pa.table({"part": pa.array(np.full(len(texts), key[0].as_py()), pa.int32()), "at": pa.array(places, pa.int64()),
-                         "suffix": pa.array(texts, pa.binary()), "tree": pa.array([xxhash.xxh3_64_intdigest(p) - (1 << 63) for p in prefixes], pa.int64()),
-                         "low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64())})
+        hashes, places = part.anchors(window, anchor)
+        first, last = part.passages(np.flatnonzero(np.isin(hashes, wanted)), places)
+        v, found = part.vocabulary, {}
+        for at, end, place, i in zip(part.starts[first].tolist(), (part.starts[last] + window).tolist(), places[first].tolist(), part.ids[part.doc[first]].tolist()):
+            words = part.words[at:end].tobytes()
+            row = found.get((words, place - at))
+            if row is None:
+                found[words, place - at] = [at, i, i]
+            else:
+                row[2] = i
+        rows = []
+        for (words, offset), (at, low, high) in found.items():
+            text = [v[w] for w in np.frombuffer(words, np.int32).tolist()]
+            tree = xxhash.xxh3_64_intdigest(prefix_of(text[offset:offset + anchor], known)) - (1 << 63)
+            rows.append((key[0].as_py(), at, b" ".join(text), offset, tree, low, high))
+        types = (pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, types)], names=[x.split()[0] for x in PASSAGES.split(", ")])
+
+    return run
+
+
+SUFFIXES = "suffix binary, part int, at bigint, low bigint, high bigint"
+
+
+def spelled(window: int):
+    """The windows of each passage, spelled from their anchor on."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for part, at, text, offset, low, high in zip(*(batch.column(c).to_pylist() for c in ("part", "at", "passage", "offset", "low", "high"))):
+                words = text.split(b" ")
+                for i in range(len(words) - window + 1):
+                    out.append((b" ".join([*words[offset:i + window], *words[i:offset], b"%d" % (offset - i)]), part, at + i, low, high))
+            for k in range(0, len(out), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k:k + 10_000]), (pa.binary(), pa.int32(), *[pa.int64()] * 3))],
+                                                 names=[x.split()[0] for x in SUFFIXES.split(", ")])
 
     return run
 
 
 class Path:
     """The path from the root to the latest leaf of a suffix tree whose suffixes come in order. A node is (depth in
-    words, leaf that opened it); only the deepest one can still grow."""
+    words, first leaf); only the deepest one can still grow."""
 
     def __init__(self):
         self.words, self.nodes = [], []
@@ -200,14 +241,11 @@ def deep_nodes(window: int):
         for batch in batches:
             out = []
             for suffix, part, at, low, high in zip(*(batch.column(c).to_pylist() for c in ("suffix", "part", "at", "low", "high"))):
-                if suffix == before:
-                    node = least  # another leaf of the deepest node
-                else:
+                if suffix != before:  # else: another leaf of the deepest node
                     depth, first = path.add(suffix, low)
-                    node = least = first if depth >= window else low
-                    before = suffix
-                if high > node:
-                    out.append((part, at, node))
+                    before, least = suffix, first if depth > window else low
+                if high > least:
+                    out.append((part, at, least))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 3, (pa.int32(), pa.int64(), pa.int64()))],
                                              names=["part", "at", "low"])
 
@@ -228,17 +266,17 @@ def removal(window: int):
             sorted_h = h[places][by]
             mine = h[part.starts]
             low, high = np.searchsorted(sorted_h, mine, "left"), np.searchsorted(sorted_h, mine, "right")
-            for j in range(int((high - low).max(initial=0))):  # one round but for windows with equal numbers
+            # Several of the repeats may be the same window, and numbers may be equal by chance: each is tried.
+            for j in range(int((high - low).max(initial=0))):
                 has = np.flatnonzero(low + j < high)
                 rep = by[low[has] + j]
                 hit = has[part.same(part.starts[has], places[rep], window) & (least[rep] < part.ids[part.doc[has]])]
                 gone[part.starts[hit]] += 1
                 np.subtract.at(gone, part.starts[hit] + window, 1)
         covered = np.cumsum(gone[:-1]) > 0
-        texts, spans = [], []
+        texts, spans, v = [], [], part.vocabulary
         for first, n in zip(part.first.tolist(), part.n_words.tolist()):
             c = covered[first:first + n]
-            v = part.vocabulary
             texts.append(b" ".join([v[w] for w in part.words[first:first + n][~c].tolist()]))
             edge = np.flatnonzero(np.diff(np.r_[False, c, False].astype(np.int8)))
             spans.append([{"start": a, "end": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())])
@@ -249,34 +287,42 @@ def removal(window: int):
     return run
 
 
-def heavy_prefixes(docs: DataFrame, group: int, window: int) -> frozenset:
-    """The prefixes (words joined by a space) that start more than `group` windows, level by level over whole texts.
-    At most (number of windows) / group a level."""
+def heavy_prefixes(docs: DataFrame, group: int, longest: int, n_words: int) -> frozenset:
+    """The prefixes (words joined by a space) of fewer than `longest` words that start more than `group` runs of that
+    length, level by level over whole texts of at most `n_words` words in all.
+
+    A task hands on what makes up at least half the share group / n_words of the words that it has counted. A count is
+    short by at most group / 2 then, so prefixes that come to over group / 2 are taken: all those over `group`, none
+    under half of it, 2 n_words / group a level at most."""
     heavy: set[bytes] = set()
-    for depth in range(1, window):
-        spark = docs.sparkSession
-        above = spark.sparkContext.broadcast(frozenset(p for p in heavy if p.count(b" ") == depth - 2))
+    for depth in range(1, longest):
+        above = docs.sparkSession.sparkContext.broadcast(frozenset(p for p in heavy if p.count(b" ") == depth - 2))
         if depth > 1 and not above.value:
             break
 
         def run(batches, depth=depth, above=above):
-            known = above.value
+            known, count, seen = above.value, Counter(), 0
+
+            def flush():
+                kept = {p: k for p, k in count.items() if 2 * n_words * k >= seen * group}
+                return pa.RecordBatch.from_arrays([pa.array(kept.keys(), pa.binary()), pa.array(kept.values(), pa.int64())], names=["prefix", "n"])
+
             for batch in batches:
-                count: dict[bytes, int] = {}
                 for text in batch.column("text").cast(pa.binary()):
                     words = text.as_py().split()
-                    starts = max(0, len(words) - window + 1)
+                    starts = max(0, len(words) - longest + 1)
+                    seen += starts
                     if depth == 1:
-                        found = words[:starts]
+                        count.update(words[:starts])
                     else:
-                        grams = (b" ".join(words[i:i + depth - 1]) for i in range(starts))
-                        found = [g + b" " + words[i + depth - 1] for i, g in enumerate(grams) if g in known]
-                    for w in found:
-                        count[w] = count.get(w, 0) + 1
-                yield pa.RecordBatch.from_arrays([pa.array(count, pa.binary()), pa.array(count.values(), pa.int64())], names=["prefix", "n"])
+                        count.update(b" ".join(words[i:i + depth]) for i in range(starts) if b" ".join(words[i:i + depth - 1]) in known)
+                    if len(count) > HELD:
+                        yield flush()
+                        count, seen = Counter(), 0
+            yield flush()
 
         found = docs.filter(F.col("text").isNotNull()).select("text").mapInArrow(run, "prefix binary, n bigint") \
-            .groupBy("prefix").agg(F.sum("n").alias("n")).filter(F.col("n") > group)
+            .groupBy("prefix").agg(F.sum("n").alias("n")).filter(F.col("n") > group // 2)
         heavy |= {bytes(r.prefix) for r in found.select("prefix").toLocalIterator()}
     return frozenset(heavy)
 
@@ -290,15 +336,15 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(2 * n, -(-size // part_bytes))
-    heavy = spark.sparkContext.broadcast(heavy_prefixes(docs, max(group, size // 2 // MAX_GROUPS), window))
+    heavy = spark.sparkContext.broadcast(heavy_prefixes(docs, max(group, size // 2 // MAX_GROUPS), anchor, size // 2 + 1))
     dealt = docs.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int"))
 
     seen = dealt.groupBy("part").applyInArrow(anchors_of(window, anchor), "part int, anchor bigint, low bigint, high bigint")
     same = W.partitionBy("anchor")
     marks = seen.withColumn("least", F.min("low").over(same)).withColumn("most", F.max("high").over(same)) \
         .filter(F.col("least") < F.col("most")).select("part", "anchor")
-    suffixes = dealt.groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(
-        suffixes_of(window, anchor, heavy), "part int, at bigint, suffix binary, tree bigint, low bigint, high bigint")
-    walked = suffixes.repartition(n, "tree").sortWithinPartitions("tree", "suffix", "low").mapInArrow(deep_nodes(window), "part int, at bigint, low bigint")
+    passages = dealt.groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(passages_of(window, anchor, heavy), PASSAGES)
+    walked = passages.repartition(n, "tree").mapInArrow(spelled(window), SUFFIXES).sortWithinPartitions("suffix", "low") \
+        .mapInArrow(deep_nodes(window), "part int, at bigint, low bigint")
     return dealt.groupBy("part").cogroup(walked.groupBy("part")).applyInArrow(
         removal(window), "doc_id bigint, n_words bigint, kept string, removed array<struct<start:bigint,end:bigint>>")
