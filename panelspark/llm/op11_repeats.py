@@ -40,6 +40,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,8 +69,9 @@ def run_hash(values: np.ndarray, length: int) -> np.ndarray:
     """A number for each run of `length` consecutive values."""
     out = np.zeros(max(0, len(values) - length + 1), np.uint64)
     for j in range(length):
-        out = mix(out ^ values[j:j + len(out)])
-    return out
+        out *= MIX[1]
+        out += values[j:j + len(out)]
+    return mix(out)
 
 
 class Numbers(dict):
@@ -84,11 +86,12 @@ class Part:
     """The documents of a part, by id and in an order that depends on them alone, as one line of word numbers."""
 
     def __init__(self, table: pa.Table, window: int):
-        ids = [LAST if i is None else i for i in table.column("doc_id").to_pylist()]
+        given = table.column("doc_id").to_pylist()
+        ids = [LAST if i is None else i for i in given]
         texts = [b"" if t is None else t for t in table.column("text").cast(pa.binary()).to_pylist()]
         order = sorted(range(len(ids)), key=lambda k: (ids[k], texts[k]))
         self.ids = np.array([ids[k] for k in order], np.int64)
-        self.null = [table.column("doc_id")[k].as_py() is None for k in order]
+        self.given = [given[k] for k in order]
         number, runs = Numbers(), []
         for k in order:
             words = texts[k].split()  # bytes split at ASCII white space
@@ -113,16 +116,16 @@ class Part:
         least, offset = runs[:n].copy(), np.zeros(n, np.int64)
         for j in range(1, window - anchor + 1):
             less = runs[j:j + n] < least
-            least[less] = runs[j:j + n][less]
+            np.minimum(least, runs[j:j + n], out=least)
             offset[less] = j
         return least[self.starts], self.starts + offset[self.starts]
 
-    def passages(self, chosen: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and last of each run of neighbouring chosen windows with one anchor, as numbers into `starts`."""
-        if not len(chosen):
-            return chosen, chosen
-        cut = np.flatnonzero((np.diff(chosen) != 1) | (np.diff(places[chosen]) != 0) | (np.diff(self.doc[chosen]) != 0)) + 1
-        return chosen[np.r_[0, cut]], chosen[np.r_[cut, len(chosen)] - 1]
+    def passages(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last of each run of neighbouring windows with one anchor, as numbers into `starts`."""
+        if not len(places):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        cut = np.flatnonzero((np.diff(places) != 0) | (np.diff(self.doc) != 0)) + 1
+        return np.r_[0, cut], np.r_[cut, len(places)] - 1
 
     def same(self, a: np.ndarray, b: np.ndarray, window: int) -> np.ndarray:
         """Whether the windows at places a and b have the same words."""
@@ -137,7 +140,7 @@ def anchors_of(window: int, anchor: int):
     def run(key, table):
         part = Part(table, window)
         hashes, places = part.anchors(window, anchor)
-        first, _ = part.passages(np.arange(len(places)), places)
+        first, _ = part.passages(places)
         a, ids = hashes[first], part.ids[part.doc[first]]
         order = np.argsort(a, kind="stable")  # ids rise with the place, so they rise within an anchor
         a, ids = a[order], ids[order]
@@ -168,20 +171,22 @@ def passages_of(window: int, anchor: int, heavy):
         known, part = heavy.value, Part(table, window)
         wanted = marks.column("anchor").to_numpy().view(np.uint64) if marks.num_rows else np.zeros(0, np.uint64)
         hashes, places = part.anchors(window, anchor)
-        first, last = part.passages(np.flatnonzero(np.isin(hashes, wanted)), places)
-        v, found = part.vocabulary, {}
-        for at, end, place, i in zip(part.starts[first].tolist(), (part.starts[last] + window).tolist(), places[first].tolist(), part.ids[part.doc[first]].tolist()):
-            words = part.words[at:end].tobytes()
-            row = found.get((words, place - at))
+        first, last = part.passages(places)
+        keep = np.isin(hashes[first], wanted)
+        first, last = first[keep], last[keep]
+        starts, found = part.starts[first], {}
+        for at, end, offset, i in zip(starts.tolist(), (part.starts[last] + window).tolist(), (places[first] - starts).tolist(), part.ids[part.doc[first]].tolist()):
+            k = (part.words[at:end].tobytes(), offset)
+            row = found.get(k)
             if row is None:
-                found[words, place - at] = [at, i, i]
+                found[k] = [at, i, i]
             else:
                 row[2] = i
-        rows = []
+        rows, number, word = [], key[0].as_py(), part.vocabulary.__getitem__
         for (words, offset), (at, low, high) in found.items():
-            text = [v[w] for w in np.frombuffer(words, np.int32).tolist()]
-            tree = xxhash.xxh3_64_intdigest(prefix_of(text[offset:offset + anchor], known)) - (1 << 63)
-            rows.append((key[0].as_py(), at, b" ".join(text), offset, tree, low, high))
+            text = list(map(word, np.frombuffer(words, np.int32).tolist()))
+            prefix = text[offset] if text[offset] not in known else prefix_of(text[offset:offset + anchor], known)
+            rows.append((number, at, b" ".join(text), offset, xxhash.xxh3_64_intdigest(prefix) - (1 << 63), low, high))
         types = (pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, types)], names=[x.split()[0] for x in PASSAGES.split(", ")])
 
@@ -194,59 +199,42 @@ SUFFIXES = "suffix binary, part int, at bigint, low bigint, high bigint"
 def spelled(window: int):
     """The windows of each passage, spelled from their anchor on."""
     def run(batches):
-        for batch in batches:
-            out = []
-            for part, at, text, offset, low, high in zip(*(batch.column(c).to_pylist() for c in ("part", "at", "passage", "offset", "low", "high"))):
-                words = text.split(b" ")
-                for i in range(len(words) - window + 1):
-                    out.append((b" ".join([*words[offset:i + window], *words[i:offset], b"%d" % (offset - i)]), part, at + i, low, high))
-            for k in range(0, len(out), 10_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k:k + 10_000]), (pa.binary(), pa.int32(), *[pa.int64()] * 3))],
+        for whole in batches:
+            for k in range(0, whole.num_rows, 2000):
+                batch = whole.slice(k, 2000)
+                out, times, ats = [], [], []
+                for at, text, offset in zip(*(batch.column(c).to_pylist() for c in ("at", "passage", "offset"))):
+                    begins = [0]
+                    for w in text.split(b" "):
+                        begins.append(begins[-1] + len(w) + 1)
+                    n, anchor = len(begins) - window, begins[offset]
+                    times.append(n)
+                    for i in range(n):
+                        out.append(b"%b %b%d" % (text[anchor:begins[i + window] - 1], text[begins[i]:anchor], offset - i))
+                    ats += range(at, at + n)
+                again = [np.repeat(batch.column(c).to_numpy(), times) for c in ("part", "low", "high")]
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(again[0]), pa.array(ats, pa.int64()), pa.array(again[1]), pa.array(again[2])],
                                                  names=[x.split()[0] for x in SUFFIXES.split(", ")])
 
     return run
 
 
-class Path:
-    """The path from the root to the latest leaf of a suffix tree whose suffixes come in order. A node is (depth in
-    words, first leaf); only the deepest one can still grow."""
-
-    def __init__(self):
-        self.words, self.nodes = [], []
-
-    def add(self, suffix: bytes, leaf) -> tuple[int, object]:
-        """Adds a suffix; the depth at which it leaves the path of the one before, and the first leaf of that node."""
-        words, depth = suffix.split(b" "), 0
-        for a, b in zip(words, self.words):
-            if a != b:
-                break
-            depth += 1
-        first = leaf
-        while self.nodes and self.nodes[-1][0] > depth:  # these nodes are complete
-            first = self.nodes.pop()[1]
-        if self.nodes and self.nodes[-1][0] == depth:
-            first = self.nodes[-1][1]
-        else:
-            self.nodes.append((depth, first))
-        if len(words) > depth:
-            self.nodes.append((len(words), leaf))
-        self.words = words
-        return depth, first
-
-
-def deep_nodes(window: int):
-    """Walks the subtrees of a task. Of each node at full depth: its leaves whose largest id exceeds the smallest."""
+def deep_nodes():
+    """Walks the subtrees of a task from leaf to leaf. Leaves come in order, so a node at full depth is a run of leaves
+    that agree in every word, and its first leaf has the least id; shallower nodes are passed without being built. Of
+    each deep node: its leaves whose largest id exceeds the least."""
     def run(batches):
-        path, before, least = Path(), None, None
+        before, least = None, None
         for batch in batches:
-            out = []
-            for suffix, part, at, low, high in zip(*(batch.column(c).to_pylist() for c in ("suffix", "part", "at", "low", "high"))):
-                if suffix != before:  # else: another leaf of the deepest node
-                    depth, first = path.add(suffix, low)
-                    before, least = suffix, first if depth > window else low
-                if high > least:
-                    out.append((part, at, least))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 3, (pa.int32(), pa.int64(), pa.int64()))],
+            if not batch.num_rows:
+                continue
+            suffix, low = batch.column("suffix"), batch.column("low").to_numpy()
+            opens = np.r_[suffix[0].as_py() != before, pc.not_equal(suffix[1:], suffix[:-1]).to_numpy(zero_copy_only=False)]
+            node = np.cumsum(opens)  # 0: the node that was open
+            of = np.r_[LAST if least is None else least, low[opens]][node]
+            hit = batch.column("high").to_numpy() > of
+            before, least = suffix[-1].as_py(), int(of[-1])
+            yield pa.RecordBatch.from_arrays([batch.column("part").filter(pa.array(hit)), batch.column("at").filter(pa.array(hit)), pa.array(of[hit])],
                                              names=["part", "at", "low"])
 
     return run
@@ -263,25 +251,30 @@ def removal(window: int):
             places, least = repeats.column("at").to_numpy(), repeats.column("low").to_numpy()
             h = run_hash(mix(part.words.astype(np.uint64)), window)
             by = np.argsort(h[places], kind="stable")
-            sorted_h = h[places][by]
+            places, least, number = places[by], least[by], h[places[by]]
+            # One row a window is enough; where numbers are equal by chance, all rows are tried.
+            again = np.r_[False, (number[1:] == number[:-1]) & part.same(places[1:], places[:-1], window)]
+            places, least, number = places[~again], least[~again], number[~again]
             mine = h[part.starts]
-            low, high = np.searchsorted(sorted_h, mine, "left"), np.searchsorted(sorted_h, mine, "right")
-            # Several of the repeats may be the same window, and numbers may be equal by chance: each is tried.
+            low, high = np.searchsorted(number, mine, "left"), np.searchsorted(number, mine, "right")
             for j in range(int((high - low).max(initial=0))):
                 has = np.flatnonzero(low + j < high)
-                rep = by[low[has] + j]
-                hit = has[part.same(part.starts[has], places[rep], window) & (least[rep] < part.ids[part.doc[has]])]
-                gone[part.starts[hit]] += 1
-                np.subtract.at(gone, part.starts[hit] + window, 1)
+                rep = low[has] + j
+                hit = has[(least[rep] < part.ids[part.doc[has]]) & part.same(part.starts[has], places[rep], window)]
+                gone[part.starts[hit]] += 1  # starts are distinct
+                gone[part.starts[hit] + window] -= 1
         covered = np.cumsum(gone[:-1]) > 0
-        texts, spans, v = [], [], part.vocabulary
+        texts, spans, word = [], [], part.vocabulary.__getitem__
         for first, n in zip(part.first.tolist(), part.n_words.tolist()):
-            c = covered[first:first + n]
-            texts.append(b" ".join([v[w] for w in part.words[first:first + n][~c].tolist()]))
-            edge = np.flatnonzero(np.diff(np.r_[False, c, False].astype(np.int8)))
-            spans.append([{"start": a, "end": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())])
-        ids = [None if null else i for i, null in zip(part.ids.tolist(), part.null)]
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(part.n_words, pa.int64()),
+            c, words = covered[first:first + n], part.words[first:first + n]
+            if c.any():
+                edge = np.flatnonzero(np.diff(np.r_[False, c, False].astype(np.int8)))
+                spans.append([{"start": a, "end": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())])
+                words = words[~c]
+            else:
+                spans.append([])
+            texts.append(b" ".join(map(word, words.tolist())))
+        return pa.table({"doc_id": pa.array(part.given, pa.int64()), "n_words": pa.array(part.n_words, pa.int64()),
                          "kept": pa.array(texts, pa.binary()).cast(pa.string()), "removed": pa.array(spans, span)})
 
     return run
@@ -345,6 +338,6 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
         .filter(F.col("least") < F.col("most")).select("part", "anchor")
     passages = dealt.groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(passages_of(window, anchor, heavy), PASSAGES)
     walked = passages.repartition(n, "tree").mapInArrow(spelled(window), SUFFIXES).sortWithinPartitions("suffix", "low") \
-        .mapInArrow(deep_nodes(window), "part int, at bigint, low bigint")
+        .mapInArrow(deep_nodes(), "part int, at bigint, low bigint")
     return dealt.groupBy("part").cogroup(walked.groupBy("part")).applyInArrow(
         removal(window), "doc_id bigint, n_words bigint, kept string, removed array<struct<start:bigint,end:bigint>>")

@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 from panelspark.llm import op11_repeats, op12_infill, op13_prefix_trie, queries
 
@@ -61,10 +62,15 @@ def test_repeats_defined_cases(spark):
     assert op11_repeats.remove_repeats(df.limit(0)).count() == 0
 
 
-def test_path_finds_nodes_in_order():
-    path = op11_repeats.Path()
-    assert [path.add(s, i) for i, s in enumerate((b"a a b", b"a a c", b"a b c", b"a b c", b"b"))] == [
-        (0, 0), (2, 0), (1, 0), (3, 2), (0, 0)]
+def test_deep_nodes_go_on_over_batches():
+    """The least id of a node is that of its first leaf, also where the node goes on in later batches."""
+    leaves = [(b"a", 0, 1, 5, 5), (b"a", 1, 2, 7, 9), (b"a", 1, 3, 8, 8), (b"b", 0, 4, 3, 3), (b"c", 0, 5, 4, 6), (b"c", 2, 6, 4, 4)]
+    want = [(1, 2, 5), (1, 3, 5), (0, 5, 4)]
+    names = ["suffix", "part", "at", "low", "high"]
+    for size in (1, 2, 4, 6):
+        parts = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*leaves[k:k + size])], names=names) for k in range(0, 6, size)]
+        got = [tuple(r.values()) for b in op11_repeats.deep_nodes()(iter(parts)) for r in b.to_pylist()]
+        assert got == want
 
 
 def test_heavy_prefixes_are_all_above_the_bound(spark):
