@@ -50,11 +50,13 @@ from pyspark.sql import Window as W
 WINDOW = 13
 ANCHOR = 5
 PART_BYTES = 8 << 20
-GROUP = 1_000_000
+GROUP = 8_000_000  # places; fewer than one in five begins a passage
 MAX_GROUPS = 65_536
+CHUNK = 1 << 19
 HELD = 1_000_000  # prefixes that a task counts before it hands them on
 LAST = np.iinfo(np.int64).max  # stands for a null doc_id
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))  # fixed values of splitmix64
+INVERSE = np.uint64(pow(int(MIX[1]), -1, 1 << 64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -74,32 +76,58 @@ def run_hash(values: np.ndarray, length: int) -> np.ndarray:
     return mix(out)
 
 
-class Numbers(dict):
-    """Numbers words in the order in which they are first asked for."""
+class Powers:
+    """Powers of an odd number and of its inverse modulo 2^64."""
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
+    def __init__(self):
+        self.up = self.down = np.ones(0, np.uint64)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, CHUNK)
+            self.up, self.down = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(size, c, np.uint64)]) for c in (MIX[1], INVERSE))
+        return self.up[:n], self.down[:n]
+
+
+POWERS = Powers()
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word of `data` begins and ends, and its 64-bit hash: the bytes as digits of a number modulo 2^64, cut
+    out of the running sum of the whole. Each word is followed by one blank or newline."""
+    b = np.frombuffer(data, np.uint8)
+    up, down = POWERS(len(b) + 1)
+    sums = np.r_[np.uint64(0), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[:-1])]
+    end = np.flatnonzero((b == 32) | (b == 10))
+    begin = np.r_[0, end[:-1] + 1] if len(end) else end
+    return begin, end, mix((sums[end] - sums[begin]) * down[begin])
 
 
 class Part:
-    """The documents of a part, by id and in an order that depends on them alone, as one line of word numbers."""
+    """The documents of a part, by id and in an order that depends on them alone, as one line of words."""
 
     def __init__(self, table: pa.Table, window: int):
         given = table.column("doc_id").to_pylist()
         ids = [LAST if i is None else i for i in given]
         texts = [b"" if t is None else t for t in table.column("text").cast(pa.binary()).to_pylist()]
         order = sorted(range(len(ids)), key=lambda k: (ids[k], texts[k]))
-        self.ids = np.array([ids[k] for k in order], np.int64)
-        self.given = [given[k] for k in order]
-        number, runs = Numbers(), []
+        self.ids, self.given = np.array([ids[k] for k in order], np.int64), [given[k] for k in order]
+        n_words, held, size, base, found, data = [], [], 0, 0, [], []
         for k in order:
             words = texts[k].split()  # bytes split at ASCII white space
-            runs.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
             texts[k] = b""
-        self.n_words = np.array([len(r) for r in runs], np.int64)
-        self.words = np.concatenate([np.zeros(0, np.int32), *runs])
-        self.vocabulary = list(number)
+            n_words.append(len(words))
+            if words:
+                held.append(b" ".join(words))
+                size += len(held[-1]) + 1
+            if size >= CHUNK or k == order[-1] and held:
+                data.append(b"\n".join(held) + b"\n")
+                begin, end, h = word_hashes(data[-1])
+                found.append((begin + base, end + base, h))
+                base, held, size = base + len(data[-1]), [], 0
+        self.data, self.n_words = b"".join(data), np.array(n_words, np.int64)
+        self.begin, self.end, self.hashes = (np.concatenate(x) for x in zip(*found)) if found else (
+            np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
         self.first = np.cumsum(self.n_words) - self.n_words
         # The starts of all windows, and the document of each.
         per = np.maximum(0, self.n_words - window + 1)
@@ -108,11 +136,10 @@ class Part:
 
     def anchors(self, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
         """The anchor of each window: the least hash of its runs of `anchor` words, and the place of the first such run."""
-        of = np.array([xxhash.xxh3_64_intdigest(w) for w in self.vocabulary], np.uint64)
         if not len(self.starts):
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        runs = run_hash(of[self.words], anchor)
-        n = len(self.words) - window + 1
+        runs = run_hash(self.hashes, anchor)
+        n = len(self.hashes) - window + 1
         least, offset = runs[:n].copy(), np.zeros(n, np.int64)
         for j in range(1, window - anchor + 1):
             less = runs[j:j + n] < least
@@ -127,12 +154,10 @@ class Part:
         cut = np.flatnonzero((np.diff(places) != 0) | (np.diff(self.doc) != 0)) + 1
         return np.r_[0, cut], np.r_[cut, len(places)] - 1
 
-    def same(self, a: np.ndarray, b: np.ndarray, window: int) -> np.ndarray:
-        """Whether the windows at places a and b have the same words."""
-        out = np.ones(len(a), bool)
-        for j in range(window):
-            out &= self.words[a + j] == self.words[b + j]
-        return out
+    def texts(self, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """The words from each of `first` to that of `last`, joined by one space."""
+        data = self.data
+        return [data[a:b] for a, b in zip(self.begin[first].tolist(), self.end[last].tolist())]
 
 
 def anchors_of(window: int, anchor: int):
@@ -175,18 +200,18 @@ def passages_of(window: int, anchor: int, heavy):
         keep = np.isin(hashes[first], wanted)
         first, last = first[keep], last[keep]
         starts, found = part.starts[first], {}
-        for at, end, offset, i in zip(starts.tolist(), (part.starts[last] + window).tolist(), (places[first] - starts).tolist(), part.ids[part.doc[first]].tolist()):
-            k = (part.words[at:end].tobytes(), offset)
-            row = found.get(k)
+        for at, text, offset, i in zip(starts.tolist(), part.texts(starts, part.starts[last] + window - 1), (places[first] - starts).tolist(),
+                                       part.ids[part.doc[first]].tolist()):
+            row = found.get((text, offset))
             if row is None:
-                found[k] = [at, i, i]
+                found[text, offset] = [at, i, i]
             else:
                 row[2] = i
-        rows, number, word = [], key[0].as_py(), part.vocabulary.__getitem__
-        for (words, offset), (at, low, high) in found.items():
-            text = list(map(word, np.frombuffer(words, np.int32).tolist()))
-            prefix = text[offset] if text[offset] not in known else prefix_of(text[offset:offset + anchor], known)
-            rows.append((number, at, b" ".join(text), offset, xxhash.xxh3_64_intdigest(prefix) - (1 << 63), low, high))
+        rows, number = [], key[0].as_py()
+        for (text, offset), (at, low, high) in found.items():
+            words = text.split(b" ", offset + anchor)
+            prefix = words[offset] if words[offset] not in known else prefix_of(words[offset:offset + anchor], known)
+            rows.append((number, at, text, offset, xxhash.xxh3_64_intdigest(prefix) - (1 << 63), low, high))
         types = (pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, types)], names=[x.split()[0] for x in PASSAGES.split(", ")])
 
@@ -246,34 +271,31 @@ def removal(window: int):
 
     def run(key, table, repeats):
         part = Part(table, window)
-        gone = np.zeros(len(part.words) + 1, np.int64)
+        gone = np.zeros(len(part.hashes) + 1, np.int64)
         if repeats.num_rows:
             places, least = repeats.column("at").to_numpy(), repeats.column("low").to_numpy()
-            h = run_hash(mix(part.words.astype(np.uint64)), window)
-            by = np.argsort(h[places], kind="stable")
-            places, least, number = places[by], least[by], h[places[by]]
-            # One row a window is enough; where numbers are equal by chance, all rows are tried.
-            again = np.r_[False, (number[1:] == number[:-1]) & part.same(places[1:], places[:-1], window)]
-            places, least, number = places[~again], least[~again], number[~again]
-            mine = h[part.starts]
-            low, high = np.searchsorted(number, mine, "left"), np.searchsorted(number, mine, "right")
-            for j in range(int((high - low).max(initial=0))):
-                has = np.flatnonzero(low + j < high)
-                rep = low[has] + j
-                hit = has[(least[rep] < part.ids[part.doc[has]]) & part.same(part.starts[has], places[rep], window)]
-                gone[part.starts[hit]] += 1  # starts are distinct
-                gone[part.starts[hit] + window] -= 1
+            h = run_hash(part.hashes, window)
+            # Hashes only choose what to compare. `known` has the words of each repeat with its least id.
+            known = dict(zip(part.texts(places, places + window - 1), least.tolist()))
+            low_bits = np.zeros(1 << 22, bool)
+            low_bits[h[places] & np.uint64(len(low_bits) - 1)] = True
+            maybe = np.flatnonzero(low_bits[h[part.starts] & np.uint64(len(low_bits) - 1)])
+            starts = part.starts[maybe]
+            of = np.fromiter((known.get(t, LAST) for t in part.texts(starts, starts + window - 1)), np.int64, len(starts))
+            hit = starts[of < part.ids[part.doc[maybe]]]
+            gone[hit] += 1  # starts are distinct
+            gone[hit + window] -= 1
         covered = np.cumsum(gone[:-1]) > 0
-        texts, spans, word = [], [], part.vocabulary.__getitem__
+        some = np.r_[0, np.cumsum(covered)]
+        texts, spans, begin, end = [], [], part.begin, part.end
         for first, n in zip(part.first.tolist(), part.n_words.tolist()):
-            c, words = covered[first:first + n], part.words[first:first + n]
-            if c.any():
-                edge = np.flatnonzero(np.diff(np.r_[False, c, False].astype(np.int8)))
-                spans.append([{"start": a, "end": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())])
-                words = words[~c]
-            else:
+            if some[first + n] == some[first]:
+                texts.append(part.data[begin[first]:end[first + n - 1]] if n else b"")
                 spans.append([])
-            texts.append(b" ".join(map(word, words.tolist())))
+                continue
+            edge = [first, *(np.flatnonzero(np.diff(np.r_[False, covered[first:first + n], False].astype(np.int8))) + first).tolist(), first + n]
+            spans.append([{"start": a - first, "end": b - first} for a, b in zip(edge[1:-1:2], edge[2:-1:2])])
+            texts.append(b" ".join([part.data[begin[a]:end[b - 1]] for a, b in zip(edge[::2], edge[1::2]) if a < b]))
         return pa.table({"doc_id": pa.array(part.given, pa.int64()), "n_words": pa.array(part.n_words, pa.int64()),
                          "kept": pa.array(texts, pa.binary()).cast(pa.string()), "removed": pa.array(spans, span)})
 
