@@ -28,21 +28,25 @@ FEATURE_SETS = {
     "F: full history": list(panel.FEATURES),
 }
 
+def predict_one(train: DataFrame, target: DataFrame, name: str, count_models: pm.CountModels | None = None) -> DataFrame:
+    """`target` with a column `name`: the predictions of that model alone, fitted on `train`."""
+    if name == "lag_12_baseline":
+        return target.withColumn(name, F.col("lag_12"))
+    if name in STATISTICAL:
+        count_models = count_models or pm.fit_count_models(train, with_nb=name == "negative_binomial")
+        return pm.predict_count(count_models, target, name, out=name)
+    return pm.predict_tree(pm.fit_tree(train, name), target, out=name)
+
+
 def predict_all(train: DataFrame, target: DataFrame, names=MODEL_NAMES) -> tuple[DataFrame, float]:
     """Fit every model on `train`, add one prediction column per model to
     `target` (entity, month, actual, features...)."""
-    out = target.withColumn("lag_12_baseline", F.col("lag_12"))
-    alpha = None
-    if set(names) & set(STATISTICAL):
-        cm = pm.fit_count_models(train, with_nb="negative_binomial" in names)
-        alpha = cm.alpha
-        for n in STATISTICAL:
-            if n in names:
-                out = pm.predict_count(cm, out, n, out=n)
-    for n in ML:
-        if n in names:
-            out = pm.predict_tree(pm.fit_tree(train, n), out, out=n)
-    return out, alpha
+    cm = pm.fit_count_models(train, with_nb="negative_binomial" in names) if set(names) & set(STATISTICAL) else None
+    out = target
+    for n in MODEL_NAMES:
+        if n in names or n == "lag_12_baseline":
+            out = predict_one(train, out, n, cm)
+    return out, cm.alpha if cm else None
 
 
 def splits_of(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,17 +57,48 @@ def splits_of(spark: SparkSession, sf: str) -> DataFrame:
     return _memo(spark, sf, "splits", build)
 
 
+PERIODS = {"validation": ("train", "validation"), "historical_final": ("development", "test")}  # fitted on, scored on
+
+
+def _period(spark: SparkSession, sf: str, period: str) -> tuple[DataFrame, DataFrame]:
+    s = splits_of(spark, sf)
+    fitted_on, scored_on = PERIODS[period]
+    return s.where(F.col("development") if fitted_on == "development" else F.col("split") == fitted_on), s.where(F.col("split") == scored_on)
+
+
+def count_models_of(spark: SparkSession, sf: str, period: str, with_nb: bool) -> pm.CountModels:
+    """The count models of one period, fitted side by side with the other's; the negative binomial only where asked for."""
+    def build():
+        train = None
+        for k, p in enumerate(PERIODS):
+            rows = _period(spark, sf, p)[0].withColumn("_fit", F.lit(k))
+            train = rows if train is None else train.unionByName(rows)
+        return pm.fit_count_models_by(train, "_fit", len(PERIODS), with_nb=with_nb)
+    return _memo(spark, sf, f"count_models:{with_nb}", build)[list(PERIODS).index(period)]
+
+
+def predictions_of(spark: SparkSession, sf: str, period: str, name: str) -> DataFrame:
+    """(entity, month, actual, <name>) of one model in one period: nothing else is fitted for it."""
+    def build():
+        train, target = _period(spark, sf, period)
+        cm = count_models_of(spark, sf, period, name == "negative_binomial") if name in STATISTICAL else None
+        return cut_lineage(predict_one(train, target, name, cm).select("entity", "month", "actual", name))
+    return _memo(spark, sf, f"predictions:{period}:{name}", build)
+
+
+def _wide(spark: SparkSession, sf: str, period: str) -> DataFrame:
+    count_models_of(spark, sf, period, True)  # one fit serves both count models
+    out = predictions_of(spark, sf, period, MODEL_NAMES[0])
+    for name in MODEL_NAMES[1:]:
+        out = out.join(predictions_of(spark, sf, period, name).drop("actual"), ["entity", "month"])
+    return out
+
+
 def panel_evaluation(spark: SparkSession, sf: str) -> dict:
     """Fit on train, score on validation, select; refit on development,
     score on test. Prediction tables are checkpointed once per session."""
     def build():
-        s = splits_of(spark, sf)
-        train, val = s.where(F.col("split") == "train"), s.where(F.col("split") == "validation")
-        dev, test = s.where(F.col("development")), s.where(F.col("split") == "test")
-        vp, a_train = predict_all(train, val)
-        vp = cut_lineage(vp.select("entity", "month", "actual", *MODEL_NAMES))
-        tp, a_dev = predict_all(dev, test)
-        tp = cut_lineage(tp.select("entity", "month", "actual", *MODEL_NAMES))
+        vp, tp = (cut_lineage(_wide(spark, sf, period)) for period in PERIODS)
         vs = metrics.score_models(vp, "actual", MODEL_NAMES).withColumn("period", F.lit("validation"))
         ts = metrics.score_models(tp, "actual", MODEL_NAMES).withColumn("period", F.lit("historical_final"))
         scores = cut_lineage(vs.unionByName(ts))
@@ -73,12 +108,12 @@ def panel_evaluation(spark: SparkSession, sf: str) -> dict:
             pick("validation", STATISTICAL).select("best_model").scalar().alias("selected_statistical"),
             pick("validation", ML).select("best_model").scalar().alias("selected_ml"),
             pick("historical_final", MODEL_NAMES).select("best_model").scalar().alias("best_on_test"),
-            F.round(F.lit(a_train), 5).alias("negative_binomial_alpha_train"),
-            F.round(F.lit(a_dev), 5).alias("negative_binomial_alpha_development"))
+            F.round(F.lit(count_models_of(spark, sf, "validation", True).alpha), 5).alias("negative_binomial_alpha_train"),
+            F.round(F.lit(count_models_of(spark, sf, "historical_final", True).alpha), 5).alias("negative_binomial_alpha_development"))
         sel = cut_lineage(sel)
         chosen = sel.first()["selected_on_validation"]  # one name: a score-table scalar
         tp = tp.withColumn("selected", F.col(chosen))
-        return {"scores": scores, "selection": sel, "test": tp, "validation": vp, "splits": s}
+        return {"scores": scores, "selection": sel, "test": tp, "validation": vp, "splits": splits_of(spark, sf)}
     return _memo(spark, sf, "panel_evaluation", build)
 
 
@@ -107,7 +142,7 @@ def m15_state_monthly_score(spark, sf):
 
 
 def _model_rows(spark, sf, name):
-    return panel_evaluation(spark, sf)["test"].select("entity", "month", "actual", F.col(name).alias("prediction"))
+    return predictions_of(spark, sf, "historical_final", name).withColumnRenamed(name, "prediction")
 
 
 @register("m05_random_forest")
@@ -132,8 +167,10 @@ def m09_negative_binomial(spark, sf):
 
 @register("m08_nb_alpha")
 def m08_nb_alpha(spark, sf):
-    return panel_evaluation(spark, sf)["selection"].select("negative_binomial_alpha_train",
-                                                           "negative_binomial_alpha_development")
+    """The moment estimates alone: they need the Poisson fits of the two periods, no other model."""
+    train, dev = (count_models_of(spark, sf, period, False).alpha for period in PERIODS)
+    return spark.range(1).select(F.round(F.lit(train), 5).alias("negative_binomial_alpha_train"),
+                                 F.round(F.lit(dev), 5).alias("negative_binomial_alpha_development"))
 
 
 @register("m16_ablation")
@@ -188,11 +225,15 @@ def m18_temporal_robustness(spark, sf):
     def build():
         w = cut_lineage(panel.annual_windows(features_of(spark, sf), min_train_months=MIN_TRAIN_MONTHS))
         starts = [r[0] for r in w.select("window_start").distinct().orderBy("window_start").collect()]  # <= #years
+        number = F.array_position(F.array(*[F.lit(s) for s in starts]), F.col("window_start")) - 1
+        poisson = pm.fit_count_models_by(w.where(F.col("role") == "train").withColumn("_fit", number), "_fit", len(starts), with_nb=False)
         parts = []
-        for start in starts:
+        for start, cm in zip(starts, poisson):
             rows = w.where(F.col("window_start") == start)
             train, period = rows.where(F.col("role") == "train"), rows.where(F.col("role") == "evaluation")
-            pred, _ = predict_all(train, period.withColumn("actual", F.col("ev_transactions")), ROBUST)
+            pred = period.withColumn("actual", F.col("ev_transactions"))
+            for name in ROBUST:
+                pred = predict_one(train, pred, name, cm)
             pred = cut_lineage(pred)
             sc = metrics.score_models(pred, "actual", ROBUST)
             def scalar(c):

@@ -162,3 +162,23 @@ def test_count_models_have_no_cap_on_the_fitted_mean(spark):
     assert cm.nb is None and cm.poisson.converged
     got = panel_models.predict_count(cm, feats, "poisson_glm").agg(F.sum("prediction").alias("p"), F.sum("ev_transactions").alias("y")).first()
     assert abs(got.p / got.y - 1) < 1e-6  # the score equation of the intercepts
+
+
+def test_fits_side_by_side_equal_separate_fits(spark):
+    # yearly windows share one loop: same slopes, effects and alpha as one fit at a time, in as many jobs as the slowest
+    from panelspark.operators import panel
+    feats = panel.panel_features(overdispersed_panel(spark, zero_entity=True))
+    months = sorted(r[0] for r in feats.select("month").distinct().collect())
+    ends = [months[24], months[-1]]
+    rows = None
+    for k, end in enumerate(ends):
+        part = feats.where(F.col("month") <= F.lit(end)).withColumn("w", F.lit(k))
+        rows = part if rows is None else rows.unionByName(part)
+    together = panel_models.fit_count_models_by(rows, "w", 2, with_nb=False)
+    for k, end in enumerate(ends):
+        alone = panel_models.fit_count_models(feats.where(F.col("month") <= F.lit(end)), with_nb=False)
+        assert abs(together[k].alpha - alone.alpha) < 1e-6
+        a, b = together[k].poisson, alone.poisson
+        assert a.converged and b.converged and np.allclose(a.beta, b.beta, rtol=1e-6, atol=1e-8)
+        ea, eb = ({r.entity: r._effect for r in m.effects.collect()} for m in (a, b))
+        assert ea.keys() == eb.keys() and all(abs(ea[e] - eb[e]) < 1e-6 for e in ea)
