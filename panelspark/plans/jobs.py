@@ -4,15 +4,18 @@ registry / summary rows."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.operators import clean, evaluate, panel, score
+from panelspark.operators import clean, evaluate, models, panel, quality, score
 from panelspark.session import cut_lineage
-from panelspark.sources import files
+from panelspark.sources import files, warehouse
+from panelspark.sources.store import Store
 
 
 def _registry(spark: SparkSession, root: str) -> DataFrame | None:
@@ -96,3 +99,60 @@ def build_products(spark: SparkSession, out_dir: str, population: DataFrame, reg
         "audit_stock": clean.stock_audit(population, vehicles), "audit_flow": clean.flow_audit(registrations, flow),
     }
     return files.write_products(products, out_dir)
+
+
+FORECASTERS = ("seasonal_naive", "linear", "polynomial_2")
+
+
+def wide_forecasts(series: DataFrame) -> DataFrame:
+    """(entity, month, a column a model): the next twelve months of every series, half-even rounded."""
+    rows = models.future_rows(series, ["series"])
+    out = None
+    for m in FORECASTERS:
+        p = models.SERIES_FITTERS[m](rows, ["series"]).select(
+            F.col("series").alias("entity"), "month", F.bround("prediction", 0).cast("double").alias(m))
+        out = p if out is None else out.join(p, ["entity", "month"])
+    return out
+
+
+def warehouse_rows(flow: DataFrame, features: DataFrame, forecasts: DataFrame, source_hash: str, run_id: str) -> dict[str, DataFrame]:
+    """The facts, features and forecasts of a run in the columns of the warehouse tables."""
+    now = F.current_timestamp().alias("loaded_at")
+    run = F.lit(run_id).alias("run_id")
+    return {
+        "entity_month_transactions": flow.select("entity", F.col("month").alias("transaction_month"), "all_transactions", "ev_transactions",
+                                                 F.lit(source_hash).alias("source_hash"), now),
+        "modeling_features": features.withColumnRenamed("month", "feature_month").withColumns({"run_id": run, "loaded_at": F.current_timestamp()}),
+        "forecast_results": warehouse.load_forecasts(forecasts, run_id=run_id).withColumn("loaded_at", F.current_timestamp()),
+    }
+
+
+def batch_flow(spark: SparkSession, root: str, fingerprints: DataFrame, reports: Sequence[DataFrame],
+               build: Callable[[str, str], Mapping[str, DataFrame]], force: bool = False) -> dict:
+    """The whole batch: gate by source hashes, validation, products and models, keyed load, manifest.
+
+    `build(run_id, folder)` writes the products of the run below `folder`, which is the run's own, and returns the rows of
+    the warehouse tables. Everything becomes visible by one commit, the last step: it names the version of each table, the
+    manifest rows of the sources and the folder of the products. A run that fails before leaves all of them as they were.
+    Returns status (processed or skipped), reason, version and rows a table."""
+    store = Store(spark, f"{root.rstrip('/')}/warehouse")
+    before = store.state()
+    manifest = store.read("ingestion_manifest")
+    known = None if manifest is None else manifest.where(F.col("status") == "processed").select("source_id", F.col("source_hash").alias("sha256"))
+    gate = files.incremental_gate(fingerprints, known, bool(before["note"].get("products")), force).first()
+    if not gate["run"]:
+        return {"status": "skipped", "reason": gate["reason"], "version": before["version"], "rows": {}}
+    quality.require_valid(*reports)
+    run_id = uuid.uuid4().hex
+    products = f"{root.rstrip('/')}/products/{run_id}"
+    rows = dict(build(run_id, products))
+    rows["ingestion_manifest"] = fingerprints.select("source_id", F.col("sha256").alias("source_hash"), "size_bytes", "ingested_at",
+                                                     F.lit("processed").alias("status"))
+    updates = {}
+    for name, df in rows.items():
+        u = warehouse.conform(name, df)
+        u.rows = cut_lineage(u.rows)
+        updates[name] = u
+    counts = {name: u.rows.count() for name, u in updates.items()}
+    version = store.write(updates, note={"run_id": run_id, "products": products})
+    return {"status": "processed", "reason": gate["reason"], "version": version, "rows": counts}

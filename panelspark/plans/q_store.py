@@ -5,28 +5,25 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelspark.operators import clean, models
+from panelspark.operators import clean, panel, quality
 from panelspark.operators.order_stats import sample_rows
+from panelspark.plans import jobs
 from panelspark.plans.catalog import ORACLE, register
-from panelspark.plans.oracle_sql import FLOW, flow_sql
+from panelspark.plans.oracle_sql import DENSE, FEATURES, FLOW, flow_sql
 from panelspark.plans.q_flow import flow_of
 from panelspark.plans.q_score import LIVE_SQL, live_monthly, live_population, attached_stations, metrics_of
 from panelspark.plans.q_series import FUTURE_SQL, SERIES_SQL, fit_sql, series_of
 from panelspark.sources import bindings as B
+from panelspark.session import cut_lineage
 from panelspark.sources import files, warehouse
+from panelspark.sources.store import Store
 from panelspark.streaming.incremental import incremental_ingest
 
 MODELS3 = ("seasonal_naive", "linear", "polynomial_2")
 
 
 def _wide_forecasts(spark, sf):
-    rows = models.future_rows(series_of(spark, sf), ["series"])
-    out = None
-    for m in MODELS3:
-        p = models.SERIES_FITTERS[m](rows, ["series"]).select(
-            F.col("series").alias("entity"), "month", F.bround("prediction", 0).cast("double").alias(m))
-        out = p if out is None else out.join(p, ["entity", "month"])
-    return out
+    return jobs.wide_forecasts(series_of(spark, sf))
 
 
 WIDE_SQL = "wide AS (SELECT a.series AS entity, a.month, " + ", ".join(
@@ -309,3 +306,62 @@ def c18_build_products(spark, sf):
     out = files.shared_dir(spark, "build")
     return build_products(spark, out, B.population(spark, sf), B.registrations(spark, sf), B.entities(spark, sf),
                           B.ELECTRIC_FUEL, 20.0).select("product", "rows")
+
+
+def _batch(spark, sf, root, force=False):
+    """One run of the batch flow over the bound tables: their files are the sources."""
+    from panelspark.plans.q_quality import clean_population, clean_registrations
+    fp = files.fingerprint_sources(spark, [f"{sf.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders", "part")])
+    reports = [quality.validate_population(clean_population(spark, sf)), quality.validate_registrations(clean_registrations(spark, sf))]
+
+    def build(run_id, folder):
+        flow = flow_of(spark, sf)
+        features, forecasts = cut_lineage(panel.panel_features(flow)), cut_lineage(jobs.wide_forecasts(series_of(spark, sf)))
+        files.write_products({"monthly_transactions": flow, "modeling_features": features, "forecasts": forecasts}, folder)
+        # the hash of the registrations' files, as one
+        source = fp.select(F.sha2(F.concat_ws(",", F.sort_array(F.collect_list("sha256"))), 256)).first()[0]  # a row a file
+        return jobs.warehouse_rows(flow, features, forecasts, source, run_id)
+
+    return jobs.batch_flow(spark, root, fp, reports, build, force)
+
+
+TABLE_ROWS_SQL = """counts AS (SELECT 'entity_month_transactions' AS "table", count(*) AS rows FROM flow
+    UNION ALL SELECT 'modeling_features', count(*) FROM features
+    UNION ALL SELECT 'forecast_results', count(*) FROM long
+    UNION ALL SELECT 'ingestion_manifest', 3)"""
+BATCH_SQL = (DENSE, FEATURES, SERIES_SQL, FUTURE_SQL, WIDE_SQL, LONG_SQL, TABLE_ROWS_SQL)
+
+
+@register("e2_batch_flow", flow_sql("""
+    SELECT run, status, reason, version, "table", CASE WHEN status = 'processed' THEN rows END AS rows
+    FROM (VALUES (1, 'processed', 'source_changed', 1), (2, 'skipped', 'source_hashes_unchanged', 1), (3, 'processed', 'forced', 2))
+        r(run, status, reason, version), counts""", *BATCH_SQL))
+def e2_batch_flow(spark, sf):
+    """The batch three times: first run, unchanged sources, forced. A version is published by the runs that load."""
+    root = files.shared_dir(spark, "batch")
+    rows = []
+    for run, force in ((1, False), (2, False), (3, True)):
+        got = _batch(spark, sf, root, force)
+        rows += [(run, got["status"], got["reason"], got["version"], t, got["rows"].get(t)) for t in warehouse.SCHEMAS]
+    return spark.createDataFrame(rows, "run int, status string, reason string, version int, table string, rows bigint")
+
+
+@register("s11_warehouse_tables", flow_sql("""
+    SELECT "table", rows, rows AS keys, total FROM counts JOIN (
+        SELECT 'entity_month_transactions' AS "table", round(sum(ev_transactions), 4) AS total FROM flow
+        UNION ALL SELECT 'modeling_features', round(sum(ev_transactions), 4) FROM features
+        UNION ALL SELECT 'forecast_results', round(sum(predicted_transactions), 4) FROM long
+        UNION ALL SELECT 'ingestion_manifest', NULL) USING ("table")""", *BATCH_SQL))
+def s11_warehouse_tables(spark, sf):
+    """The four keyed tables as loaded by a batch run: rows, distinct keys and a total of each."""
+    root = files.shared_dir(spark, "batch")
+    _batch(spark, sf, root)
+    store = Store(spark, f"{root}/warehouse")
+    value = {"entity_month_transactions": "ev_transactions", "modeling_features": "ev_transactions", "forecast_results": "predicted_transactions"}
+    out = None
+    for name, (_, keys) in warehouse.SCHEMAS.items():
+        total = F.round(F.sum(value[name]), 4) if name in value else F.lit(None).cast("double")
+        one = store.read(name).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(*keys).alias("keys"), total.alias("total")) \
+            .select(F.lit(name).alias("table"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out

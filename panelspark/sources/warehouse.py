@@ -1,23 +1,20 @@
 """Keyed analytical tables and key-based upserts.
 
-The upsert is a DataFrame operation: rows of the target whose key is not in
-the updates, plus the updates (one row per key: the last by an ordinal).
-`upsert_table` writes the merged result to a NEW version folder and then
-swaps a small pointer, so readers never see a half-written table and a
-failed job leaves the previous version current. With a catalog that
-supports it, `MERGE INTO` is the same operation.
+Tables live in a `Store`: an upsert rewrites only the partitions that hold
+its keys and publishes a new version, which readers see whole or not at all.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelspark.session import cut_lineage
+from panelspark.sources.store import Store, Update, merge_upsert  # noqa: F401 (merge_upsert is part of this module's interface)
+
 # The four keyed warehouse tables.
 SCHEMAS = {
     "ingestion_manifest": (T.StructType([
@@ -51,72 +48,27 @@ def create_table_sql(name: str, location: str) -> str:
     return f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet LOCATION '{location}'"
 
 
-def merge_upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
-    """Matched keys take the update's non-key columns, unmatched updates are
-    inserted, other target rows stay (S12). Duplicate keys inside `updates`:
-    the last by `order` wins (an arg-max aggregate, combined map-side); without
-    an order they are an error, raised when the result is computed."""
-    keys = list(keys)
-    rest = [c for c in updates.columns if c not in keys]
-    upd = updates
-    if order is None and rest:
-        once = updates.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_r"), F.count(F.lit(1)).alias("_times"))
-        checked = F.when(F.col("_times") == 1, F.col("_r")).otherwise(F.raise_error(F.lit("updates repeat a key; name an order column")))
-        upd = once.select(*keys, checked.alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
-    elif order is not None:
-        best = updates.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_r"))
-        upd = best.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
-    if target is None:
-        return upd.select(*updates.columns)
-    kept = target.join(upd.select(*keys), keys, "left_anti")
-    return kept.unionByName(upd.select(*target.columns))
-
-
-def _pointer(spark: SparkSession, root: str):
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_current")
-    return path, path.getFileSystem(conf)
-
-
-def current_version(spark: SparkSession, root: str) -> str | None:
-    path, fs = _pointer(spark, root)
-    if not fs.exists(path):
-        return None
-    stream = fs.open(path)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-        return json.loads(reader.readLine())["version"]
-    finally:
-        stream.close()
+def conform(name: str, rows: DataFrame) -> Update:
+    """Rows in the columns and types of a warehouse table (S11), as an upsert by its keys. A null where the table allows
+    none is an error, raised when the rows are written."""
+    schema, keys = SCHEMAS[name]
+    cols = []
+    for f in schema.fields:
+        c = F.col(f.name).cast(f.dataType)
+        cols.append((c if f.nullable else F.coalesce(c, F.raise_error(F.lit(f"{name}.{f.name} is null")).cast(f.dataType))).alias(f.name))
+    return Update(rows.select(*cols), keys)
 
 
 def read_table(spark: SparkSession, root: str) -> DataFrame | None:
-    v = current_version(spark, root)
-    return None if v is None else spark.read.parquet(f"{root.rstrip('/')}/{v}")
-
-
-def upsert_table(spark: SparkSession, root: str, updates: DataFrame, keys: Sequence[str], order: str | None = None) -> int:
-    """S12 on a stored table: merge into a new version folder, then swap the
-    `_current` pointer (write-then-rename). Returns the rows loaded."""
-    target = read_table(spark, root)
-    merged = merge_upsert(target, updates, keys, order)
-    version = f"v_{uuid.uuid4().hex[:12]}"
-    merged.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{version}")
-    path, fs = _pointer(spark, root)
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_current.{version}.tmp")
-    out = fs.create(tmp, True)
-    out.write(json.dumps({"version": version}).encode() + b"\n")
-    out.close()
-    # One rename that replaces the old pointer: there is no moment without one.
-    sc = spark.sparkContext
-    replace = getattr(sc._jvm.org.apache.hadoop.fs, "Options$Rename")
-    options = sc._gateway.new_array(replace, 1)
-    options[0] = replace.OVERWRITE
-    conf = sc._jsc.hadoopConfiguration()
-    sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(
-        fs.makeQualified(tmp), fs.makeQualified(path), options)
-    return updates.select(*keys).distinct().count()
+    return Store(spark, root).read("table")
+
+
+def upsert_table(spark: SparkSession, root: str, updates: DataFrame, keys: Sequence[str], order: str | None = None, by: str | None = None) -> int:
+    """S12 on a stored table: merges the partitions that hold the updates' keys and publishes the next version. Partitions
+    are the values of `by`, or hash buckets of the keys. Returns the rows loaded."""
+    rows = cut_lineage(updates)  # read for its partitions, the merge and the count
+    Store(spark, root).write({"table": Update(rows, keys, order, by)})
+    return rows.select(*keys).distinct().count()
 
 
 def load_forecasts(wide: DataFrame, id_cols: Sequence[str] = ("entity", "month"), statewide_key: str = "statewide",

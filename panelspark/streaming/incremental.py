@@ -9,8 +9,8 @@ has landed, then stop) with `foreachBatch`:
 2. the (entity, month) keys the batch touches are recomputed from ALL raw
    rows of those months (partition-pruned), so a restated month replaces
    the loaded value -- as a key upsert does -- rather than adding to it;
-3. the recomputed keys are upserted into the flow table (write a new
-   version, swap the pointer).
+3. the recomputed keys are upserted into the flow table, whose partitions are
+   months: those that the batch does not touch are carried over as they are.
 
 Streaming progress lives in the query's checkpoint folder in the shared
 checkpoint root, so a restarted job resumes after the last committed batch.
@@ -54,7 +54,7 @@ def incremental_ingest(spark: SparkSession, landing_dir: str, schema, store_root
         raw = spark.read.parquet(raw_root).where(F.col("_month").isin(months)).drop("_month", "_batch")
         touched = load_flow(batch, entities, electric=electric).select(*KEYS)
         fresh = load_flow(raw, entities, electric=electric).join(touched, list(KEYS), "left_semi")
-        upsert_table(spark, flow_root, fresh, KEYS)
+        upsert_table(spark, flow_root, fresh, KEYS, by="month")
 
     q = stream.writeStream.foreachBatch(process).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
