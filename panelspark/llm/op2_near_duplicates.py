@@ -20,8 +20,8 @@ and none is gathered in one task; a task emits fewer links than it has nodes.
 What stays quadratic is the comparison of *different* texts that really are
 alike, spread over the block pairs.
 
-Similarity is the Jaccard similarity of the sets of shingles (each weight 1),
-or with `weighted=True` of the multisets (weight: number of occurrences).
+Similarity is the Jaccard similarity of the multisets of shingles (weight:
+number of occurrences), or with `weighted=False` of the sets (each weight 1).
 
 Defined cases: a null text has no likeness and is a class of its own id; texts
 without words are equal to each other; a text under five words is one shingle;
@@ -33,11 +33,11 @@ id and text columns are read by the operator.
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,10 +66,10 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Words as 64-bit numbers, remembered up to a bound."""
+    """Words as 64-bit numbers under a seed, remembered up to a bound."""
 
-    def __init__(self, bound: int = 400_000):
-        self.known, self.bound = {}, bound
+    def __init__(self, seed: int, bound: int = 400_000):
+        self.known, self.seed, self.bound = {}, seed, bound
 
     def __call__(self, words: list[str]) -> np.ndarray:
         known = self.known
@@ -79,18 +79,18 @@ class Words:
         for w in words:
             h = known.get(w)
             if h is None:
-                b = w.encode()
-                h = known[w] = zlib.crc32(b) << 32 | zlib.crc32(b, 0x5BD1E995)
+                h = known[w] = xxhash.xxh3_64_intdigest(w.encode(), self.seed)
             out.append(h)
         return np.array(out, dtype=np.uint64)
 
 
-WORDS = Words()
+#: Signatures and the exact comparison number words apart, so that words which one of them takes for equal the other tells apart.
+WORDS, EXACT = Words(0), Words(1)
 
 
-def shingles(text: str) -> np.ndarray:
+def shingles(text: str, words: Words = WORDS) -> np.ndarray:
     """A number for each run of five words, in order; one for a shorter text."""
-    h = WORDS(text.lower().split())
+    h = words(text.lower().split())
     n = max(1, len(h) - SHINGLE + 1)
     out = np.zeros(n, np.uint64)
     for j in range(min(SHINGLE, len(h))):
@@ -98,8 +98,8 @@ def shingles(text: str) -> np.ndarray:
     return out
 
 
-def weighted_set(text: str, weighted: bool) -> tuple[np.ndarray, np.ndarray]:
-    items, counts = np.unique(shingles(text), return_counts=True)
+def weighted_set(text: str, weighted: bool, words: Words = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    items, counts = np.unique(shingles(text, words), return_counts=True)
     return items, counts.astype(float) if weighted else np.ones(len(items))
 
 
@@ -168,8 +168,8 @@ SLICE_WORDS = 300_000
 
 
 def sign(docs: DataFrame, weighted: bool) -> DataFrame:
-    """(doc_id, node, signature, bands) of every row with a text."""
-    schema = "doc_id bigint, node binary, signature binary, bands array<bigint>"
+    """(doc_id, row_key, node, signature, bands) of every row with a text."""
+    schema = "doc_id bigint, row_key bigint, node binary, signature binary, bands array<bigint>"
 
     def run(batches):
         for batch in batches:
@@ -185,8 +185,9 @@ def sign(docs: DataFrame, weighted: bool) -> DataFrame:
                 s = signatures(sets)
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(0, len(s) * BANDS + 1, BANDS), pa.int32()),
                                                  pa.array(bands_of(s).view(np.int64).ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[first:at], pa.int64()), pa.array(keys, pa.binary()),
-                                                  pa.array([r.tobytes() for r in s], pa.binary()), bands], names=["doc_id", "node", "signature", "bands"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[first:at], pa.int64()), batch.column("row_key").slice(first, at - first),
+                                                  pa.array(keys, pa.binary()), pa.array([r.tobytes() for r in s], pa.binary()), bands],
+                                                 names=["doc_id", "row_key", "node", "signature", "bands"])
 
     return docs.mapInArrow(run, schema)
 
@@ -225,7 +226,7 @@ def alike_texts(texts: list[str], weighted: bool) -> np.ndarray:
     multiset case numbers the occurrences of a shingle, so that it is a set case, too."""
     sets = []
     for t in texts:
-        items, counts = weighted_set(t, weighted)
+        items, counts = weighted_set(t, weighted, EXACT)
         if weighted:
             n = counts.astype(np.int64)
             items = mix(np.repeat(items, n) ^ (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)).astype(np.uint64))
@@ -304,30 +305,40 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, weighted: bool = False) -> DataFrame:
-    """(doc_id, node, class_id) of every row."""
+def row_key(doc_id: Column, text: Column) -> Column:
+    """Names a row by its id and text: also null and repeated ids name the right text. Equal rows share a key."""
+    return F.xxhash64(doc_id, text)
+
+
+def classified(df: DataFrame, doc_id: str, text: str, threshold: float, weighted: bool) -> DataFrame:
+    """(doc_id, row_key, node, root) of every row with a text; rows of one class have one root."""
     docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    with_text = docs.filter(F.col("text").isNotNull())
+    with_text = docs.filter(F.col("text").isNotNull()).withColumn("row_key", row_key(F.col("doc_id"), F.col("text")))
     rows = materialise(sign(with_text, weighted))
-    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
+    nodes = rows.groupBy("node").agg(F.min("row_key").alias("row_key"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
     banded = nodes.select("node", F.explode("bands").alias("band"))
     met = banded.join(banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band"), "band")
     met = met.join(nodes.select("node", "signature"), "node")
     floor = FLOOR * threshold / THRESHOLD
     near = compare_blocks(met, "band", "signature", lambda v: forest(alike_signatures(v), floor))
     groups = materialise(components(near).withColumnRenamed("root", "grp"))
-    # Only grouped texts travel: each node's smallest doc_id names a row that holds its text.
-    wanted = groups.join(nodes.select("node", "doc_id"), "node")
-    texts = with_text.join(wanted, "doc_id")
+    # Only grouped texts travel: the key of one row of each node names a text of it.
+    wanted = groups.join(nodes.select("node", "row_key"), "node")
+    texts = with_text.select("row_key", "text").join(wanted, "row_key")
     texts = texts.groupBy("grp", "node").agg(F.min(F.when(node_of(F.col("text")) == F.col("node"), F.col("text"))).alias("text"))
-    links = compare_blocks(texts, "grp", "text", lambda v: forest(alike_texts(v, weighted), threshold))
-    roots = components(links)
-    named = rows.groupBy("node").agg(F.min("doc_id").alias("first")).join(roots, "node", "left") \
-        .select("node", "first", F.coalesce("root", "node").alias("root"))
-    named = named.join(named.groupBy("root").agg(F.min("first").alias("class_id")), "root").select("node", "class_id")
-    out = rows.select("doc_id", "node").join(named, "node").select("doc_id", "node", "class_id")
-    alone = docs.filter(F.col("text").isNull()).select("doc_id", F.lit(None).cast("binary").alias("node"), F.col("doc_id").alias("class_id"))
-    return out.unionAll(alone)
+    links = compare_blocks(texts.filter(F.col("text").isNotNull()), "grp", "text", lambda v: forest(alike_texts(v, weighted), threshold))
+    return rows.select("doc_id", "row_key", "node").join(components(links), "node", "left") \
+        .select("doc_id", "row_key", "node", F.coalesce("root", "node").alias("root"))
+
+
+def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, weighted: bool = True) -> DataFrame:
+    """(doc_id, node, class_id) of every row."""
+    rows = classified(df, doc_id, text, threshold, weighted)
+    names = rows.groupBy("node", "root").agg(F.min("doc_id").alias("first"))
+    names = names.join(names.groupBy("root").agg(F.min("first").alias("class_id")), "root").select("node", "class_id")
+    out = rows.select("doc_id", "node").join(names, "node").select("doc_id", "node", "class_id")
+    alone = df.filter(F.col(text).isNull()).select(F.col(doc_id).cast("bigint").alias("doc_id"))
+    return out.unionAll(alone.select("doc_id", F.lit(None).cast("binary").alias("node"), F.col("doc_id").alias("class_id")))
 
 
 @F.pandas_udf(T.BinaryType())
@@ -335,17 +346,16 @@ def node_of(texts):
     return texts.map(node_key, na_action="ignore")
 
 
-def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows with one document of each class left, that with the smallest doc_id; same columns. Rows with null
-    text stay."""
-    found = materialise(classes(df, doc_id, text))
-    drop, node = free_name(df, "near_keep"), free_name(df, "near_node")
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(F.col("doc_id").alias(drop), F.col("node").alias(node)) \
-        .agg(F.count("*").alias("near_times"))
-    # Of several rows with the smallest doc_id but different texts one node stays.
-    keep = keep.groupBy(drop).agg(F.min(F.struct(node, "near_times")).alias("near_best"))
-    rows = df.join(keep, F.col(doc_id).cast("bigint").eqNullSafe(F.col(drop)))
-    once = rows.filter(F.col("near_best.near_times") == 1).select(*df.columns)
-    more = rows.filter(F.col("near_best.near_times") > 1)
-    more = more.filter(F.col(text).isNull() | (node_of(F.col(text)) == F.col(f"near_best.{node}")))
-    return once.unionByName(more.select(*df.columns).dropDuplicates([doc_id]))
+def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, weighted: bool = True) -> DataFrame:
+    """The rows with one row of each class left, that with the smallest doc_id (null last); same columns. Of several
+    such rows with different texts that with the smallest key stays, of equal rows one. Rows with null text stay."""
+    key, number = free_name(df, "near_key"), free_name(df, "near_times")
+    rows = classified(df, doc_id, text, threshold, weighted)
+    times = rows.groupBy("root", "doc_id", "row_key").agg(F.count("*").alias("n"))
+    best = times.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row_key", "n")).alias("best"))
+    best = best.select(F.col("best.row_key").alias(key), F.col("best.n").alias(number))
+    keyed = df.filter(F.col(text).isNotNull()).withColumn(key, row_key(F.col(doc_id).cast("bigint"), F.col(text)))
+    kept = keyed.join(best, key)
+    once = kept.filter(F.col(number) == 1).select(*df.columns)
+    more = kept.filter(F.col(number) > 1).dropDuplicates([key]).select(*df.columns)
+    return once.unionByName(more).unionByName(df.filter(F.col(text).isNull()))

@@ -92,8 +92,14 @@ def test_licence_windows_within_longer_text(spark):
     assert [(u, name) for u, name, _ in got[6]] == [(1, "MIT")] and got[6][0][2] == pytest.approx(best) and best < 1
 
 
+def word_runs(text):
+    """Multiset of runs of five words, as strings; a shorter text is one run."""
+    w = text.lower().split()
+    return Counter(" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4)))
+
+
 def test_near_duplicate_classes_equal_brute_force(docs, texts):
-    sets = {i: set(op2_near_duplicates.shingles(t).tolist()) for i, t in texts.items()}
+    sets = {i: word_runs(t) for i, t in texts.items()}
     up = {i: i for i in sets}
 
     def root(i):
@@ -102,13 +108,36 @@ def test_near_duplicate_classes_equal_brute_force(docs, texts):
         return i
 
     for a, b in itertools.combinations(sorted(sets), 2):
-        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+        if (sets[a] & sets[b]).total() >= 0.8 * (sets[a] | sets[b]).total():
             x, y = sorted((root(a), root(b)))
             up[y] = x
     got = {r.doc_id: r.class_id for r in op2_near_duplicates.classes(docs).collect()}
     assert got == {i: root(i) for i in sets}
 
 
+def test_near_duplicate_weights_words_and_ids(spark):
+    """Repeats count; words whose CRC-32 is equal are told apart; null and repeated ids keep their own texts."""
+    line = "these are the five words and some more of one line "
+    other = "quite another closing sentence stands here for once "
+    word = ["one", "two", "three", "four", "five", "six", "seven"]
+    long = [f"w{i}" for i in range(120)]
+    rows = [(1, line * 10 + other), (2, line + other), (3, line * 10 + other),
+            (4, " ".join([*word, "plumless"])), (5, " ".join([*word, "buckeroo"])),
+            (None, " ".join(long)), (None, " ".join([*long, "end"])),
+            (7, "first text under seven"), (7, "first text under seven"), (7, "second text under seven"), (None, None), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    group = {}
+    for r in op2_near_duplicates.classified(df, "doc_id", "text", 0.8, True).collect():
+        group.setdefault(bytes(r.root), []).append(r.doc_id)
+    assert sorted(sorted(g, key=str) for g in group.values() if None not in g) == [[1, 3], [2], [4], [5], [7], [7, 7]]
+    assert [g for g in group.values() if None in g] == [[None, None]]
+    kept = Counter(tuple(r) for r in op2_near_duplicates.keep_one(df).collect())
+    assert kept[None, None] == 2 and kept[7, "first text under seven"] == kept[7, "second text under seven"] == 1
+    assert kept.total() == 9 and sum(n for (i, t), n in kept.items() if t and t.startswith("w0")) == 1
+    sets = {r.doc_id: r.class_id for r in op2_near_duplicates.classes(df.limit(3), weighted=False).collect()}
+    assert sets[1] == sets[3] == 1
+
+
 def test_darts_estimate_weighted_similarity():
     rng = np.random.default_rng(5)
     items = rng.integers(0, 2 ** 63, 800).astype(np.uint64)
