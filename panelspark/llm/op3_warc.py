@@ -13,8 +13,9 @@ reached through pyarrow's file systems, so the folder may be any store that
 they know by URI.
 
 Defined cases: a null page has an empty payload; a null URL has the empty key;
-captures of one URL are told apart by page_id; payloads of any length are one
-record; repeated page rows give equal records; an empty table gives an empty
+captures of one URL are told apart by page_id and payload; payloads of any length
+are one record; equal page rows give equal records; a null page_id revisits a
+payload that a page with an id has, and is never the one revisited by it; an empty table gives an empty
 archive. Only the three named columns are read.
 """
 
@@ -35,7 +36,7 @@ from panelspark.llm.common import materialise, shared_folder
 
 DATE = "1970-01-01T00:00:00Z"  # the table has no capture time
 BLOCK_LINES = 3000
-CAPTURES = "key string, page_id bigint, file string, at bigint, length bigint, record_type string, refers_to bigint"
+CAPTURES = "key string, page_id bigint, digest string, file string, at bigint, length bigint, record_type string, refers_to bigint"
 RECORDS = "page_id bigint, payload binary, payload_digest string, record_type string, refers_to bigint"
 
 
@@ -95,8 +96,8 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     same = pages.select(F.sha1(html.cast("binary")).alias("sha1"), F.col(page_id).cast("bigint").alias("page_id"),
                         F.octet_length(html).alias("n")).groupBy("sha1", "n").agg(F.max("page_id").alias("first"), F.count("*").alias("times"))
     same = same.filter((F.col("times") > 1) & (F.col("n") >= least_bytes)).select("sha1", "first")
-    rows = rows.join(same, "sha1", "left").select("key", "page_id", "url", "html", F.when(
-        F.col("first") != F.col("page_id"), F.col("first")).alias("refers_to"))
+    rows = rows.join(same, "sha1", "left").select("key", "page_id", F.col("sha1").alias("digest"), "url", "html", F.when(
+        ~F.col("first").eqNullSafe(F.col("page_id")), F.col("first")).alias("refers_to"))
 
     def run(batches):
         system, base = place(folder)
@@ -104,13 +105,13 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
         name, at, stream = f"pages-{uuid.uuid4().hex}.warc.gz", 0, None
         for batch in batches:
             out = []
-            for key, page, u, text, ref in zip(*(batch.column(c).to_pylist() for c in ("key", "page_id", "url", "html", "refers_to"))):
+            for key, page, digest, u, text, ref in zip(*(batch.column(c).to_pylist() for c in ("key", "page_id", "digest", "url", "html", "refers_to"))):
                 stream = stream or system.open_output_stream(f"{base}/{name}", compression=None)
                 member = gzip.compress(record(page, u, text.encode(), ref), 6, mtime=0)
                 stream.write(member)
-                out.append((key, page, name, at, len(member), "response" if ref is None else "revisit", ref))
+                out.append((key, page, digest, name, at, len(member), "response" if ref is None else "revisit", ref))
                 at += len(member)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 7, CAPTURE_TYPES)],
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 8, CAPTURE_TYPES)],
                                              names=[x.split()[0] for x in CAPTURES.split(", ")])
         if stream:
             stream.close()
@@ -118,24 +119,25 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     return materialise(rows.mapInArrow(run, CAPTURES))
 
 
-CAPTURE_TYPES = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+CAPTURE_TYPES = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64())
 
 
-def _line(key, page, file, at, length) -> str:
-    return "\t".join((key, "%d" % page if page is not None else "-", file, str(at), str(length)))
+def _line(key, page, digest, file, at, length) -> str:
+    return "\t".join((key, "%d" % page if page is not None else "-", digest, file, str(at), str(length)))
 
 
-def _sort_key(key: str, page) -> tuple[bytes, bool, int]:
+def _sort_key(key: str, page, digest: str) -> tuple[bytes, bool, int, str]:
     """Order of Spark's sort: null before every number."""
-    return key.encode(), page is not None, page or 0
+    return key.encode(), page is not None, page or 0, digest
 
 
 def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> DataFrame:
     """Level one: sorted gzip blocks of capture lines, below `folder`. Returns level two, the directory: first and
     last key and place of each block."""
     n = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # The key as UTF-8 bytes, then page_id: many captures of one URL are spread over ranges, too.
-    rows = captures.select("key", "page_id", "file", "at", "length").repartitionByRange(n, "key", "page_id").sortWithinPartitions("key", "page_id")
+    # The key as UTF-8 bytes, then page_id and digest: many captures of one URL are spread over ranges, too.
+    by = ("key", "page_id", "digest")
+    rows = captures.select(*by, "file", "at", "length").repartitionByRange(n, *by).sortWithinPartitions(*by)
 
     def run(batches):
         system, base = place(folder)
@@ -147,13 +149,13 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
             stream = stream or system.open_output_stream(f"{base}/{name}", compression=None)
             data = gzip.compress("\n".join(_line(*r) for r in held).encode(), 6, mtime=0)
             stream.write(data)
-            found = (held[0][0], held[0][1], name, at, len(data), len(held))
+            found = (*held[0][:3], name, at, len(data), len(held))
             at += len(data)
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(found, (
-                pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()))], names=["key", "page_id", "file", "at", "length", "n"])
+                pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()))], names=[*by, "file", "at", "length", "n"])
 
         for batch in batches:
-            for r in zip(*(batch.column(c).to_pylist() for c in ("key", "page_id", "file", "at", "length"))):
+            for r in zip(*(batch.column(c).to_pylist() for c in (*by, "file", "at", "length"))):
                 held.append(r)
                 if len(held) >= block_lines:
                     yield block()
@@ -163,12 +165,12 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
         if stream:
             stream.close()
 
-    return materialise(rows.mapInArrow(run, "key string, page_id bigint, file string, at bigint, length bigint, n bigint"))
+    return materialise(rows.mapInArrow(run, "key string, page_id bigint, digest string, file string, at bigint, length bigint, n bigint"))
 
 
 def write_directory(blocks: DataFrame, path: str) -> None:
     """The sparse directory as one small sorted table (a row a block), read by every task that looks up."""
-    blocks.orderBy("key", "page_id").write.parquet(path)
+    blocks.orderBy("key", "page_id", "digest").write.parquet(path)
 
 
 def _read_range(system, path: str, at: int, length: int) -> bytes:
@@ -184,7 +186,7 @@ class Index:
 
         system, path = place(directory)
         rows = ds.dataset(path, filesystem=system, format="parquet").to_table().to_pylist()
-        self.blocks = sorted((_sort_key(r["key"], r["page_id"]), r["file"], r["at"], r["length"]) for r in rows)
+        self.blocks = sorted((_sort_key(r["key"], r["page_id"], r["digest"]), r["file"], r["at"], r["length"]) for r in rows)
         self.firsts = [b[0] for b in self.blocks]
         self.system, self.folder = place(folder)
         self.held: tuple[int, list, list] = (-1, [], [])
@@ -193,26 +195,27 @@ class Index:
         if self.held[0] != k:
             _, file, at, length = self.blocks[k]
             lines = [x.split("\t") for x in gzip.decompress(_read_range(self.system, f"{self.folder}/{file}", at, length)).decode().split("\n")]
-            keys = [_sort_key(x[0], None if x[1] == "-" else int(x[1])) for x in lines]
+            keys = [_sort_key(x[0], None if x[1] == "-" else int(x[1]), x[2]) for x in lines]
             self.held = k, keys, lines
         return self.held[1:]
 
-    def find(self, key: str, page) -> tuple[str, int, int] | None:
-        """(file, offset, length) of the record of this capture."""
-        want = _sort_key(key, page)
+    def find(self, key: str, page, digest: str) -> tuple[str, int, int] | None:
+        """(file, offset, length) of the record of this capture, or of one equal to it."""
+        want = _sort_key(key, page, digest)
         k = bisect_right(self.firsts, want) - 1
         if k < 0:
             return None
         keys, lines = self.block(k)
         i = bisect_left(keys, want)
-        return (lines[i][2], int(lines[i][3]), int(lines[i][4])) if i < len(keys) and keys[i] == want else None
+        return (lines[i][3], int(lines[i][4]), int(lines[i][5])) if i < len(keys) and keys[i] == want else None
 
 
 def look_up(wanted: DataFrame, directory: str, index: str, archives: str) -> DataFrame:
-    """wanted: (key, page_id). Returns their records: header fields and the payload that the record carries. A
+    """wanted: (key, page_id, digest). Returns their records: header fields and the payload that the record carries. A
     capture that the index does not have is an error. Keys are sorted first, so that a task reads each block once."""
     n = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = wanted.select("key", "page_id").repartitionByRange(n, "key", "page_id").sortWithinPartitions("key", "page_id")
+    by = ("key", "page_id", "digest")
+    rows = wanted.select(*by).repartitionByRange(n, *by).sortWithinPartitions(*by)
 
     def run(batches):
         found = None
@@ -222,8 +225,8 @@ def look_up(wanted: DataFrame, directory: str, index: str, archives: str) -> Dat
                 found = Index(directory, index)
             for at in range(0, batch.num_rows, 256):
                 part, out = batch.slice(at, 256), []
-                for key, page in zip(part.column("key").to_pylist(), part.column("page_id").to_pylist()):
-                    if (where := found.find(key, page)) is None:
+                for key, page, digest in zip(*(part.column(c).to_pylist() for c in by)):
+                    if (where := found.find(key, page, digest)) is None:
                         raise LookupError(f"no capture of page {page} under the key {key!r}")
                     head, body = parse(gzip.decompress(_read_range(system, f"{base}/{where[0]}", where[1], where[2])))
                     ref = head.get("WARC-Refers-To")
@@ -245,6 +248,6 @@ def archive_round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         "page_id", F.octet_length("payload").cast("bigint").alias("own_bytes"), "payload_digest", "record_type", "refers_to")
     got = materialise(got)
     # A revisit's payload is the one it refers to; only narrow rows meet here.
-    named = got.filter("record_type = 'response'").groupBy(F.col("page_id").alias("to")).agg(F.max("own_bytes").alias("bytes"))
-    return got.join(named, F.col("refers_to") == F.col("to"), "left").select(
+    named = got.filter("record_type = 'response'").groupBy(F.col("payload_digest").alias("to")).agg(F.max("own_bytes").alias("bytes"))
+    return got.join(named, F.col("refers_to").isNotNull() & (F.col("payload_digest") == F.col("to")), "left").select(
         "page_id", F.coalesce("bytes", "own_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")

@@ -195,7 +195,7 @@ def test_warc_finds_keys_with_tabs_and_newlines(spark, tmp_path):
     captures = op3_warc.write_archives(pages, f"{tmp_path}/archives")
     op3_warc.write_directory(op3_warc.write_index(captures, f"{tmp_path}/index"), f"{tmp_path}/directory")
     with pytest.raises(Exception, match="no capture of page 99"):
-        op3_warc.look_up(spark.createDataFrame([("a)/x", 99)], "key string, page_id bigint"), *(f"{tmp_path}/{x}" for x in ("directory", "index", "archives"))).collect()
+        op3_warc.look_up(spark.createDataFrame([("a)/x", 99, "00")], "key string, page_id bigint, digest string"), *(f"{tmp_path}/{x}" for x in ("directory", "index", "archives"))).collect()
 
 
 def test_bpe_equals_library():
@@ -419,3 +419,15 @@ def test_pipeline_keeps_columns_and_drops_rejects(spark, docs):
     good = {r.doc_id for r in op8_quality.keep_good(docs).collect()}
     classes = {r.doc_id: r.class_id for r in op2_near_duplicates.classes(docs.filter(F.col("doc_id").isin(list(good)))).collect()}
     assert packed <= good and packed == {i for i, c in classes.items() if i == c}
+
+
+def test_warc_repeated_and_null_page_ids(spark):
+    """Each row comes back with its own payload, whatever its id."""
+    rows = [(5, "http://a.org/", "AAAA"), (5, "http://a.org/", "BBBBBBBB"), (5, "http://b.org/", "CC"), (4, "http://c.org/", "AAAA"),
+            (None, "http://a.org/", "x"), (None, "http://a.org/", "yy"), (None, None, "AAAA"), (None, "http://a.org/", "x")]
+    got = op3_warc.archive_round_trip(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    digest = lambda t: base64.b32encode(hashlib.sha1(t.encode()).digest()).decode()
+    first = {"AAAA": 5}
+    want = Counter((i, len(t), digest(t), "response" if first.get(t) in (None, i) else "revisit", None if first.get(t) in (None, i) else first[t])
+                   for i, _, t in rows)
+    assert Counter(map(tuple, got.collect())) == want
