@@ -4,13 +4,15 @@ Known kinds (email, ip, card, phone) are found by fixed patterns. The method
 then looks for identifiers that no pattern describes. Every token with a digit
 (or '@') that lies outside the found spans is a candidate instance; its lexical
 patterns are the words before, the word after, and both sides, each with its
-shape. Seeds are the matches of the known kinds and the candidates that a name
-of a secret (NAMED, as in `token = `) is assigned. Evidence starts there alone:
-Spark scores, in a fixed number of rounds, each pattern by the share of its
-distinct instances that are seeds or already found (damped by the number of
-instances, so rare patterns earn nothing) and each instance by its patterns on
-the two sides. Instances whose score passes the threshold are found and become
-spans of kind `context`; base spans always stay. A pattern that no seed reaches
+shape. Seed entities are the matches of the known kinds, the candidates whose
+value looks drawn at random (`random_looking`; no name beside it is consulted)
+and those of a given table of known values (`seeds`). Evidence starts there
+alone: Spark scores each pattern by the share of its distinct instances that
+are seeds or already found (damped by the number of instances, so rare patterns
+earn nothing) and each instance by its patterns on the two sides, in rounds
+until no instance is added. Instances whose score passes the threshold are
+found and become spans of kind `context`, so a seed needs a pattern that other
+instances support, too; base spans always stay. A pattern that no seed reaches
 scores 0, so a corpus without seeds has no such span.
 
 The graph holds one row per distinct (pattern, instance), aggregated map-side
@@ -24,7 +26,9 @@ an empty table gives none; only the id and text columns are read.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -46,13 +50,11 @@ TOKEN = re.compile(r"[^\s]*[0-9@][^\s]*")
 EDGE = "\"'()[]{}<>,;:!?*$%&#|."
 WORD = re.compile(r"[^\W\d_]+|=")
 
-# Names whose assigned value is a seed; matched right before a candidate.
-NAMED = re.compile(r"(?<![^\W_])(?:token|secret|password|passwd|passphrase|pwd|(?:api|access|secret|private)[\s_-]?key)[\"']?\s*=\s*[\"']?$")
+# What a value drawn at random is made of.
+CODED = re.compile(r"[A-Za-z0-9+/_-]{20,}")
 
-ROUNDS = 3
 MIN_INSTANCES = 5
 THRESHOLD = 0.5
-CONTEXT_REACH = 48
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -106,17 +108,36 @@ def shape(token: str) -> str:
     return f"{kind}{min(len(token), 64) // 4}"
 
 
-def context(text: str, start: int, end: int) -> tuple[str, str]:
-    before = WORD.findall(text[max(0, start - CONTEXT_REACH):start].lower())[-2:]
-    after = WORD.findall(text[end:end + CONTEXT_REACH].lower())[:1]
-    return " ".join(before), " ".join(after)
+def random_looking(token: str) -> bool:
+    """At least 20 coded characters with a letter and a digit, and a Shannon entropy of 3 bits a character (hexadecimal)
+    or 4 (others)."""
+    if not CODED.fullmatch(token) or token.isdigit() or not ANY_DIGIT.search(token):
+        return False
+    n, hexadecimal = len(token), not set(token) - set("0123456789abcdef")
+    return sum(k / n * math.log2(n / k) for k in Counter(token).values()) >= (3 if hexadecimal else 4)
+
+
+def contexts(text: str, spans: list[tuple[int, int]]) -> list[tuple[str, str]]:
+    """(the last two words before, the first word after) of each span: whole words, whatever lies between, in lower
+    case. One pass over the words; only what the spans need is kept."""
+    starts, ends = sorted({a for a, _ in spans}), sorted({b for _, b in spans})
+    before, after, last, i, j = {}, {}, (), 0, 0
+    for m in WORD.finditer(text):
+        while i < len(starts) and starts[i] < m.end():
+            before[starts[i]] = last
+            i += 1
+        while j < len(ends) and ends[j] <= m.start():
+            after[ends[j]] = m[0].lower()
+            j += 1
+        if i == len(starts) and j == len(ends):
+            break
+        last = (*last[-1:], m[0].lower())
+    return [(" ".join(before.get(a, last)), after.get(b, "")) for a, b in spans]
 
 
 def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, str, bool, bool]]:
     """(start, end, instance, words before, word after, base, seed): tokens with a digit or '@', and the base matches."""
-    out, k = [], 0
-    for start, kind, end in spans:
-        out.append((start, end, text[start:end], *context(text, start, end), True, True))
+    out, k = [(start, end, True, True) for start, _, end in spans], 0
     for m in TOKEN.finditer(text):
         token = m[0]
         a = m.start() + len(token) - len(token.lstrip(EDGE))
@@ -125,14 +146,14 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
             k += 1
         if b <= a or any(s < b and a < e for s, _, e in spans[max(0, k - 3):k + 4]):
             continue
-        named = NAMED.search(text[max(0, a - CONTEXT_REACH):a].lower()) is not None
-        out.append((a, b, text[a:b], *context(text, a, b), False, named))
-    return out
+        out.append((a, b, False, random_looking(text[a:b])))
+    around = contexts(text, [(a, b) for a, b, _, _ in out])
+    return [(a, b, text[a:b], before, after, base, seed) for (a, b, base, seed), (before, after) in zip(out, around)]
 
 
 def spans_of(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, base, cands) of every row: base spans, and candidates with their pattern."""
-    schema = ("doc_id bigint, base array<struct<start:int,kind:int,end:int>>, "
+    schema = (f"doc_id {dict(df.dtypes)[doc_id]}, base array<struct<start:int,kind:int,end:int>>, "
               "cands array<struct<start:int,end:int,instance:string,shape:string,before:string,after:string,base:boolean,seed:boolean>>")
     base_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
     cand_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("instance", pa.string()), ("shape", pa.string()),
@@ -150,7 +171,7 @@ def spans_of(df: DataFrame, doc_id: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(base, base_type), pa.array(cands, cand_type)],
                                              names=["doc_id", "base", "cands"])
 
-    return df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
 def patterns_of(c: Column) -> Column:
@@ -163,18 +184,22 @@ def patterns_of(c: Column) -> Column:
                                    F.when(after != "", made(1, none, after)), F.when((last != "") & (after != ""), made(2, last, after))))
 
 
-def score_graph(found: DataFrame, rounds: int = ROUNDS, min_instances: int = MIN_INSTANCES, threshold: float = THRESHOLD) -> DataFrame:
-    """(instance, score) of the candidates that are no base matches and that evidence reaches.
+def score_graph(found: DataFrame, seeds: DataFrame | None = None, random_seeds: bool = True, min_instances: int = MIN_INSTANCES, threshold: float = THRESHOLD) -> DataFrame:
+    """(instance, score) of the candidates that are no base matches and that evidence reaches. `seeds` has a column
+    `instance` of values known beforehand; without `random_seeds` no other candidate is a seed.
 
     In turns, pattern = its instances that are seeds or have passed the threshold / (n + min_instances), n being the
     number of its distinct instances; instance = 1 - (1 - before) * (1 - after), or the both-side pattern if that is
     larger, by the best pattern of each side. Below the threshold nothing is passed on, so weak evidence does not
-    grow from round to round."""
+    grow from round to round. What is found only grows, so the rounds end when one adds nothing."""
     rows = found.select(F.explode("cands").alias("c")).select("c.instance", "c.base", "c.seed", F.explode(patterns_of(F.col("c"))).alias("p"))
-    edges = materialise(rows.groupBy("p.side", "p.pattern", "instance").agg(F.max("base").alias("base"), F.max("seed").alias("seed")))
-    sure = edges.filter("seed").select("instance").distinct()
-    scores = None
-    for _ in range(rounds):
+    edges = rows.groupBy("p.side", "p.pattern", "instance").agg(F.max("base").alias("base"), F.max("seed" if random_seeds else "base").alias("seed"))
+    if seeds is not None:
+        known = seeds.select("instance").distinct().withColumn("known", F.lit(True))
+        edges = edges.join(known, "instance", "left").withColumn("seed", F.col("seed") | F.coalesce("known", F.lit(False))).drop("known")
+    edges = materialise(edges)
+    sure, n_sure = edges.filter("seed").select("instance").distinct(), -1
+    while True:
         pattern = edges.join(sure.withColumn("sure", F.lit(1)), "instance", "left").groupBy("side", "pattern").agg(
             (F.count("sure") / (F.count("*") + min_instances)).alias("score")).filter("score > 0")
         side = lambda k: F.coalesce(F.max(F.when(F.col("side") == k, F.col("score"))), F.lit(0.0))
@@ -182,15 +207,16 @@ def score_graph(found: DataFrame, rounds: int = ROUNDS, min_instances: int = MIN
             F.max("base").alias("base"), F.max("seed").alias("seed"),
             F.greatest(1 - (1 - side(0)) * (1 - side(1)), side(2)).alias("score")))
         sure = scores.filter(F.col("seed") | (F.col("score") >= threshold)).select("instance")
-    if scores is None:
-        return edges.select("instance", F.lit(0.0).alias("score")).limit(0)
-    return scores.filter(~F.col("base")).select("instance", "score")
+        n_before, n_sure = n_sure, sure.count()
+        if n_sure == n_before:
+            return scores.filter(~F.col("base")).select("instance", "score")
 
 
-def find(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def find(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, seeds: DataFrame | None = None,
+         random_seeds: bool = True) -> DataFrame:
     """(doc_id, base, spans) of every row: base spans, and all spans, as arrays of (start, kind, end) by start, kind."""
     found = materialise(spans_of(df, doc_id, text).withColumn("row", F.monotonically_increasing_id()))
-    sure = score_graph(found, threshold=threshold).filter(F.col("score") >= threshold).select("instance")
+    sure = score_graph(found, seeds, random_seeds, threshold=threshold).filter(F.col("score") >= threshold).select("instance")
     new = found.select("row", F.explode("cands").alias("c")).filter(~F.col("c.base")).select("row", "c.start", "c.end", "c.instance") \
         .join(sure, "instance").groupBy("row").agg(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")).alias("added"))
     return found.join(new, "row", "left").select("doc_id", "base", F.array_sort(F.concat("base", F.coalesce(
@@ -202,18 +228,18 @@ def as_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def report(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def report(df: DataFrame, doc_id: str = "doc_id", text: str = "text", seeds: DataFrame | None = None, random_seeds: bool = True) -> DataFrame:
     n = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{KINDS[k]}")
-    return find(df, doc_id, text).select("doc_id", *(n(k) for k in range(len(KINDS))), F.sha2(as_text(F.col("base")), 256).alias("base_sha256"),
+    return find(df, doc_id, text, seeds=seeds, random_seeds=random_seeds).select(F.col("doc_id").cast("bigint").alias("doc_id"), *(n(k) for k in range(len(KINDS))), F.sha2(as_text(F.col("base")), 256).alias("base_sha256"),
                                          as_text(F.col("spans")).alias("spans"))
 
 
 def redact(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = None) -> DataFrame:
     """The rows with every span of their text replaced by its kind in brackets, overlapping spans by the first one;
-    same columns. Spans are joined by doc_id; rows that share one are told apart by a digest of their text."""
+    same columns. Spans are joined by the SHA-256 of id and text: rows that share it are equal in both."""
     names = (*KINDS, CONTEXT)
     spans_col, key = free_name(df, "pii_spans"), free_name(df, "pii_key")
-    keyed = df.withColumn(key, F.xxhash64(F.col(doc_id), F.col(text)))
+    keyed = df.withColumn(key, F.sha2(F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))), 256))
     spans = find(keyed, key, text).groupBy(F.col("doc_id").alias(key)).agg(F.first("spans").alias(spans_col)).filter(F.size(spans_col) > 0)
     both = keyed.join(spans, key, "left")
     schema = df.schema

@@ -369,9 +369,58 @@ def test_context_evidence_starts_from_seeds(spark):
 
 
 def test_context_finds_short_identifiers(spark):
+    """A third of the values is given; the others are found by the patterns these induce."""
     rows = [(i, f"set token = \"AB{12345 + i}\" here") for i in range(30)] + [(100 + i, f"pwd = x{i} and {i} apples") for i in range(30)]
-    got = {r.doc_id: r.spans for r in op9_pii.report(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    known = spark.createDataFrame([(f"AB{12345 + i}",) for i in range(20)] + [(f"x{i}",) for i in range(20)], "instance string")
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r.doc_id: r.spans for r in op9_pii.report(df, seeds=known).collect()}
     assert all(got[i] == "context:13:20" and got[100 + i] == f"context:6:{7 + len(str(i))}" for i in range(30))
+    assert {r.spans for r in op9_pii.report(df).collect()} == {""}
+
+
+def test_held_out_secrets_are_found_by_induced_patterns(spark):
+    """Of the table's secrets, two thirds are given and no other is a seed; the rest is found, and nothing else."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    planted = {m[1] for t in text.values() for m in re.finditer(r'token = "([0-9a-f]{40})"', t)}
+    given = sorted(planted)[:len(planted) * 2 // 3]
+    seeds = spark.createDataFrame([(x,) for x in given], "instance string")
+    got = set()
+    for r in op9_pii.report(docs, seeds=seeds, random_seeds=False).collect():
+        got |= {text[r.doc_id][int(a):int(b)] for k, a, b in (x.split(":") for x in r.spans.split(",") if x) if k == "context"}
+    assert len(planted) > len(given) and got == planted
+
+
+def test_context_spreads_to_a_fixed_point(spark):
+    """A chain of six contexts, each reached through the one before."""
+    rng = random.Random(10)
+    codes = [[f"{rng.choice('ghkm')}{rng.randrange(10**6, 10**7)}q" for _ in range(12)] for _ in range(6)]
+    rows = [f"start {c} end" for c in codes[0]]
+    for k in range(5):
+        rows += [f"link{'abcdef'[k]} {c} tail{'abcdef'[k]}" for c in [*codes[k], *codes[k + 1]]]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    seeds = spark.createDataFrame([(c,) for c in codes[0]], "instance string")
+    assert all("context" in r.spans for r in op9_pii.report(df, seeds=seeds).collect())
+
+
+def test_contexts_are_whole_words():
+    rng = random.Random(11)
+    for _ in range(200):
+        text = "".join(rng.choice(["a", "Bé", " ", "=", "9", "-", "w" * 60, ". "]) for _ in range(40))
+        spans = [tuple(sorted(rng.sample(range(len(text)), 2))) for _ in range(4)]
+        words = [m for m in re.finditer(r"[^\W\d_]+|=", text)]
+        want = [(" ".join([m[0].lower() for m in words if m.end() <= a][-2:]), next((m[0].lower() for m in words if m.start() >= b), "")) for a, b in spans]
+        assert op9_pii.contexts(text, spans) == want
+
+
+def test_cards_and_phones_equal_brute_force():
+    rng = random.Random(13)
+    for _ in range(400):
+        t = "".join(rng.choice(["4", "1", "0", "79927398713", " ", "-", "+", "(", ")", ".", "x", "4111 1111 1111 1111", "+49 30 1234567"]) for _ in range(rng.randint(1, 25)))
+        found = op9_pii.base_spans(t)
+        good = lambda d: 12 <= len(d) <= 19 and sum(int(c) if i % 2 == 0 else sum(map(int, str(2 * int(c)))) for i, c in enumerate(d[::-1])) % 10 == 0
+        assert [(a, b) for a, k, b in found if k == 2] == [m.span() for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t) if good(re.sub(r"[^0-9]", "", m[0]))], t
+        assert [(a, b) for a, k, b in found if k == 3] == [m.span() for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 9 <= len(re.sub(r"[^0-9]", "", m[0])) <= 15], t
 
 
 def test_language_held_out_accuracy_and_edges(docs, clashing, edges, spark):
