@@ -379,11 +379,12 @@ def test_context_finds_short_identifiers(spark):
 
 
 def test_held_out_secrets_are_found_by_induced_patterns(spark):
-    """Of the table's secrets, two thirds are given and no other is a seed; the rest is found, and nothing else."""
+    """Of the table's secrets, three quarters are given and no other is a seed: the pattern is trusted, since over half of its
+    instances and five more are known. The rest is found, and nothing else."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     text = {r.doc_id: r.text or "" for r in docs.collect()}
     planted = {m[1] for t in text.values() for m in re.finditer(r'token = "([0-9a-f]{40})"', t)}
-    given = sorted(planted)[:len(planted) * 2 // 3]
+    given = sorted(planted)[:len(planted) * 3 // 4]
     seeds = spark.createDataFrame([(x,) for x in given], "instance string")
     got = set()
     for r in op9_pii.report(docs, seeds=seeds, random_seeds=False).collect():
