@@ -74,36 +74,71 @@ def flow_audit(registrations: DataFrame, flow: DataFrame) -> DataFrame:
 DEFAULT_TIERS: tuple[tuple[str, ...], ...] = (("make", "model", "model_year"), ("make", "model"), ("ev_type",), ())
 
 
-def impute_hierarchical(df: DataFrame, value: str, observed: str, out: str,
-                        tiers: Sequence[Sequence[str]] = DEFAULT_TIERS) -> DataFrame:
-    """First non-null of the observed value and the medians of observed
-    values along `tiers` (C03 / A03 / J09). `()` is the overall median.
+#: A tuple dictionary of at most so many rows is broadcast; a larger one is joined by shuffle, heavy tuples salted.
+BROADCAST_TUPLES = 100_000
+#: Rows of one tuple that a task of the shuffled join takes, about.
+ROWS_PER_SALT = 1_000_000
 
-    Medians are exact and distributed (`order_stats.quantiles`); each tier
-    table has one row per key and is joined back on that key."""
+
+def tier_dictionary(df: DataFrame, value: str, observed: str, tiers: Sequence[Sequence[str]]) -> DataFrame:
+    """One row per distinct tuple of all tier keys (nulls kept): `_rows`, its number of rows, and `_fill`, the first
+    non-null median along `tiers` (J09). `df` is aggregated once, map-side first; the tiers' medians come from the
+    (tuple, value) counts, and only dictionary rows are exchanged by a tier's key."""
     tiers = [list(t) for t in tiers]
     keys = sorted({k for t in tiers for k in t}, key=lambda k: [k in t for t in tiers].index(True))
-    obs = df.where(F.col(observed) & F.col(value).isNotNull())
-    # one aggregate counts every tier's (key, value) pairs; partial
-    # aggregation before the shuffle, whatever the skew of a key
-    counts = obs.groupingSets([[*t, value] for t in tiers], *keys, value).agg(
-        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_tier"))
-    med = quantiles(counts, value, {"_med": 0.5}, by=["_tier", *keys], counted=True)
-    gid = {}
-    for t in tiers:  # grouping_id bit i (from the left) is 1 when keys[i] is aggregated away
-        bits = [0 if k in t else 1 for k in keys] + [0]
-        gid[tuple(t)] = int("".join(map(str, bits)), 2)
-    result = df
-    fills: list[Column] = [F.when(F.col(observed), F.col(value))]
+    seen = F.when(F.col(observed) & F.col(value).isNotNull(), F.col(value))
+    pairs = cut_lineage(df.groupBy(*keys, seen.alias(value)).agg(F.count(F.lit(1)).alias("_n")))
+    counts = pairs.where(F.col(value).isNotNull()).groupingSets([[*t, value] for t in tiers], *keys, value).agg(
+        F.sum("_n").alias("_n"), F.grouping_id().alias("_tier"))
+    med = cut_lineage(quantiles(counts, value, {"_med": 0.5}, by=["_tier", *keys], counted=True))
+    result = pairs.groupBy(*keys).agg(F.sum("_n").alias("_rows"))
+    fills: list[Column] = []
     for i, t in enumerate(tiers):
-        m = med.where(F.col("_tier") == gid[tuple(t)])
+        # grouping_id bit i (from the left) is 1 when keys[i] is aggregated away; the last bit is the value's
+        gid = int("".join("0" if k in t else "1" for k in keys) + "0", 2)
+        m = med.where(F.col("_tier") == gid)
         if t:
             result = result.join(m.select(*t, F.col("_med").alias(f"_tier{i}")), t, "left")
             fills.append(F.col(f"_tier{i}"))
         else:
             fills.append(m.select("_med").scalar())  # overall median: scalar subquery
-    drop = [f"_tier{i}" for i, t in enumerate(tiers) if t]
-    return result.withColumn(out, F.coalesce(*fills)).drop(*drop)
+    return result.select(*keys, "_rows", F.coalesce(*fills).alias("_fill"))
+
+
+def impute_hierarchical(df: DataFrame, value: str, observed: str, out: str,
+                        tiers: Sequence[Sequence[str]] = DEFAULT_TIERS, *,
+                        broadcast_tuples: int = BROADCAST_TUPLES, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """First non-null of the observed value and the medians of observed
+    values along `tiers` (C03 / A03 / J09). `()` is the overall median.
+
+    Raw rows are never exchanged by a tier's key: each finds its fill in the
+    `tier_dictionary` by one join on the whole tuple. The dictionary is
+    counted; a small one is broadcast. A larger one is joined by shuffle:
+    tuples of more than `rows_per_salt` rows are spread over several salts
+    on the raw side and repeated for each on the other. The salts' table is
+    broadcast: `rows_per_salt` is raised until it has at most
+    `broadcast_tuples` rows."""
+    found = cut_lineage(tier_dictionary(df, value, observed, tiers))
+    keys = [c for c in found.columns if c not in ("_rows", "_fill")]
+    own = F.when(F.col(observed), F.col(value))
+    if not keys:
+        return df.withColumn(out, F.coalesce(own, found.select("_fill").scalar()))
+    found = found.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    n_tuples, n_rows = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
+    if n_tuples <= broadcast_tuples:
+        result = df.join(F.broadcast(found), same, "left")
+    else:
+        rows_per_salt = max(rows_per_salt, n_rows // max(broadcast_tuples, 1))
+        salts = F.ceil(F.col("_rows") / rows_per_salt).cast("int")
+        heavy = found.where(F.col("_rows") > rows_per_salt).select(*[f"_k_{k}" for k in keys], salts.alias("_salts"))
+        # any salt finds the same fill, so rows may be told apart by whatever columns can be hashed
+        digest = F.xxhash64(*[F.col(c) for c, t in df.dtypes if "map<" not in t and "variant" not in t])
+        salted = df.join(F.broadcast(heavy), same, "left").drop(*[f"_k_{k}" for k in keys]).withColumn(
+            "_salt", F.coalesce(F.pmod(digest, F.col("_salts")), F.lit(0)).cast("int"))
+        each = found.withColumn("_s", F.explode(F.sequence(F.lit(0), salts - 1)))
+        result = salted.join(each, [*same, F.col("_salt") == F.col("_s")], "left")
+    return result.withColumn(out, F.coalesce(own, "_fill")).select(*[F.col(c) for c in df.columns if c != out], out)
 
 
 def load_vehicles(population: DataFrame, entities: DataFrame | Sequence[str] | None = None, *,
