@@ -131,7 +131,7 @@ def pack_rows(df: DataFrame, rank_file: str, pattern: str, doc_id: str = "doc_id
             for doc, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = np.array([*enc.encode_ordinary(t or ""), end], "<i4")
                 block.append((doc, ids))
-                name.update(b"%s:%d:" % (str(doc).encode(), len(ids)) + ids[:8].tobytes())
+                name.update(b"%s:%d:" % (str(doc).encode(), len(ids)) + ids.tobytes())
                 held += len(ids)
                 if held >= block_tokens:
                     yield flush()
