@@ -1,12 +1,12 @@
 """Order MinHash fingerprints of documents (DataFrame functions only).
 
-Every run of five words is a k-mer (a shorter text is one k-mer); in a text
-whose words are longer than sixteen characters on average, as in scripts
-without blanks, pieces of eight characters stand for words. The j-th occurrence of a
-k-mer counts as an element of its own, so repeats matter. A hash deals the
-elements into 64 slots; each slot selects its two minimal elements, keeps them
-in text order and hashes that tuple. Moving or changing passages changes the
-tuples, so the share of equal slots follows edit distance, not just overlap.
+Every run of five words is a k-mer (a shorter text is one k-mer). A character of
+a script written without blanks is a word of its own, in every text alike. The
+j-th occurrence of a k-mer counts as an element of its own, so repeats matter.
+A hash deals the elements into 64 slots; each slot selects its two minimal
+elements, keeps them in text order and hashes that tuple. Moving or changing
+passages changes the tuples, so the share of equal slots follows edit distance,
+not just overlap.
 
 Defined cases: null text is empty; an empty text has no tuple and the empty
 fingerprint, and is wholly like another empty text and wholly unlike any other;
@@ -25,37 +25,28 @@ from pyspark.sql import Window as W
 from panelspark.llm.common import materialise, split_words
 
 K = 5
-PIECE, LONG = r"\S{1,8}", 16
+# The scripts that write no blanks between words.
+BLANKLESS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
+UNIT = rf"[{BLANKLESS}]|[^{BLANKLESS}\x20\x09-\x0D]+"
 SLOT_BITS = 6
 PER_SLOT = 2
-POSITION_BITS = 24
 
 
 def _slot(v: Column) -> Column:
     return F.shiftrightunsigned(v, 64 - SLOT_BITS)
 
 
-def _hash_part(v: Column) -> Column:
-    return F.shiftrightunsigned(v, POSITION_BITS)
-
-
-def _position(v: Column) -> Column:
-    return v.bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
-
-
-def _pack(element: Column, position: Column) -> Column:
-    """Slot and hash in the upper bits, position in the lower: one sort then selects and still knows text order."""
-    upper = F.shiftleft(F.shiftrightunsigned(element, POSITION_BITS), POSITION_BITS)
-    return upper.bitwiseOR(_position(position.cast("bigint")))
+def units(text: Column) -> Column:
+    """Words in order, characters of blankless scripts one by one; null text has none."""
+    whole = F.coalesce(text, F.lit(""))
+    return F.when(whole.rlike(f"[{BLANKLESS}]"), F.regexp_extract_all(whole, F.lit(UNIT), F.lit(0))).otherwise(split_words(whole))
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds `out`: one long a filled slot (slot number, tuple hash), by slot. Row-wise, no shuffle."""
-    a, b, c, d, e = (f"{out}_{x}" for x in "abcde")
+    a, b, c, d, e, f = (f"{out}_{x}" for x in "abcdef")
     col = F.col
-    df = df.withColumn(a, split_words(col(text)))
-    pieces = F.regexp_extract_all(F.coalesce(col(text), F.lit("")), F.lit(PIECE), F.lit(0))
-    df = df.withColumn(a, F.transform(F.when(F.length(text) > LONG * F.size(a), pieces).otherwise(col(a)), lambda p: F.xxhash64(p)))
+    df = df.withColumn(a, F.transform(units(col(text)), lambda p: F.xxhash64(p)))
     n = F.size(a) - (K - 1)
     kmers = F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1),
                         lambda i: F.xxhash64(*(F.get(col(a), i + j) for j in range(K))))
@@ -68,24 +59,24 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
                                    lambda i: (i == 0) | (F.get(col(c), i)["x"] != F.get(col(c), i - 1)["x"])))
     numbers = F.flatten(F.transform(col(d), lambda s, j: F.sequence(
         F.lit(0), F.coalesce(F.get(col(d), j + 1), F.size(c)) - s - 1)))
-    df = df.withColumn(d, F.when(col(c).isNotNull(), numbers))
-    once = F.transform(col(b), lambda x, i: _pack(x, i))
-    several = F.zip_with(c, d, lambda p, j: _pack(F.when(j == 0, p["x"]).otherwise(F.xxhash64(p["x"], j)), p["i"]))
-    df = df.withColumn(e, F.sort_array(F.when(col(c).isNull(), once).otherwise(several)))
-    chosen = F.filter(col(e), lambda v, i: (i < PER_SLOT) | (_slot(v) != _slot(F.get(col(e), i - PER_SLOT))))
-    df = df.withColumn(e, chosen)
+    several = F.zip_with(c, numbers, lambda p, j: F.when(j == 0, p["x"]).otherwise(F.xxhash64(p["x"], j)))
+    df = df.withColumn(b, F.coalesce(several, col(b)))
+    df = df.withColumn(e, F.sort_array(b))
+    df = df.withColumn(e, F.filter(col(e), lambda v, i: (i < PER_SLOT) | (_slot(v) != _slot(F.get(col(e), i - PER_SLOT)))))
+    # Only the selected elements, at most PER_SLOT a slot, are looked up in the text.
+    at = F.transform(col(e), lambda v: (F.array_position(col(b), v) - 1).cast("int"))
+    df = df.withColumn(f, at).withColumn(f, F.when(col(c).isNull(), col(f)).otherwise(F.transform(col(f), lambda i: F.get(col(c), i)["i"])))
 
     def tuple_hash(v, i):
         before = F.get(col(e), i - 1)
         pair = F.coalesce(_slot(before) == _slot(v), F.lit(False))
-        ordered = F.when(_position(before) < _position(v), F.xxhash64(_hash_part(before), _hash_part(v))) \
-            .otherwise(F.xxhash64(_hash_part(v), _hash_part(before)))
-        h = F.when(pair, ordered).otherwise(F.xxhash64(_hash_part(v)))
+        ordered = F.when(F.get(col(f), i - 1) < F.get(col(f), i), F.xxhash64(before, v)).otherwise(F.xxhash64(v, before))
+        h = F.when(pair, ordered).otherwise(F.xxhash64(v))
         last = F.coalesce(_slot(F.get(col(e), i + 1)) != _slot(v), F.lit(True))
         return F.when(last, F.shiftleft(_slot(v), 32).bitwiseOR(F.shiftrightunsigned(h, 32)))
 
     df = df.withColumn(out, F.filter(F.transform(col(e), tuple_hash), lambda x: x.isNotNull()))
-    return df.drop(a, b, c, d, e)
+    return df.drop(a, b, c, d, e, f)
 
 
 def as_text(fingerprint: Column) -> Column:

@@ -6,11 +6,14 @@ import itertools
 import os
 import random
 import re
+import struct
 import sys
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
@@ -234,15 +237,75 @@ def test_fingerprints(docs, texts, clashing):
     assert len(rows) == len(EDGES) and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
 
 
-def test_fingerprint_equals_brute_force(spark):
+def xx(*values: bytes) -> int:
+    h = 42
+    for v in values:
+        h = xxhash.xxh64_intdigest(v, h)
+    return h
+
+
+def long(v: int) -> bytes:
+    return struct.pack("<Q", v & (1 << 64) - 1)
+
+
+def brute_fingerprint(text: str) -> list[int]:
+    """One slot after the other, over all elements: the two smallest, in text order."""
+    blankless = f"[{regex_scripts}]"
+    words = [xx(w.encode()) for w in regex.findall(rf"{blankless}|(?:(?!{blankless})[^ \t-\r])+", text)]
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    if len(words) >= 5:
+        kmers = [xx(*map(long, words[i:i + 5])) for i in range(len(words) - 4)]
+    else:
+        kmers = [xx(" ".join(str(signed(w)) for w in words).encode())] if words else []
+    seen, elements = Counter(), []
+    for at, k in enumerate(kmers):
+        elements.append((k if not seen[k] else xx(long(k), struct.pack("<I", seen[k])), at))
+        seen[k] += 1
+    out = {}
+    for slot in range(64):
+        least = sorted((signed(v), at, v) for v, at in elements if v >> 58 == slot)[:2]
+        if least:
+            out[slot] = slot << 32 | xx(*(long(v) for _, at, v in sorted(least, key=lambda x: x[1]))) >> 32
+    return sorted(out.values())
+
+
+# The scripts that write no blanks between words.
+regex_scripts = "".join(rf"\p{{Script={s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
+
+
+def test_fingerprint_equals_brute_force(spark, docs, texts):
     """Order and occurrences count: the reordered text has the same k-mers in another order."""
     halves = ["a b c d e f g h i j", "k l m n o p q r s t"]
-    rows = [(1, " ".join(halves * 40)), (2, " ".join(halves[::-1] * 40)), (3, " ".join(halves * 20)), (4, " ".join(halves * 40))]
+    rows = [(1, " ".join(halves * 40)), (2, " ".join(halves[::-1] * 40)), (3, " ".join(halves * 20)), (4, " ".join(halves * 40)),
+            (5, "日本語のテキストは空白なしで書かれています。mixed with blanks"), (6, ""), (7, "one two"), (8, LONG)]
     df = op5_fingerprint.with_fingerprint(spark.createDataFrame(rows, "i int, text string"), "text", "fp")
     fp = {r.i: r.fp for r in df.collect()}
     assert fp[1] == fp[4] and fp[1] != fp[2] and fp[1] != fp[3]
-    slots = [x >> 32 for x in fp[1]]
-    assert slots == sorted(set(slots), key=slots.index) and len(set(slots)) == len(slots) <= 64
+    assert {i: sorted(f) for i, f in fp.items()} == {i: brute_fingerprint(t) for i, t in rows}
+    got = op5_fingerprint.with_fingerprint(docs.select("doc_id", "text"), "text", "fp").collect()
+    assert all(sorted(r.fp) == brute_fingerprint(texts[r.doc_id]) for r in got)
+
+
+@pytest.mark.parametrize("width", [3, 15, 16, 17, 40])
+def test_one_changed_word_keeps_the_fingerprint_alike(spark, width):
+    """400 words of any length, one of them longer by four characters; and 400 characters without blanks."""
+    rng = random.Random(width)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=width)) for _ in range(400)]
+    signs = [chr(rng.randrange(0x4E00, 0x9000)) for _ in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:200], words[200] + "wxyz", *words[201:]])),
+            (3, "".join(signs)), (4, "".join([*signs[:200], "語", *signs[200:]]))]
+    df = op5_fingerprint.with_fingerprint(spark.createDataFrame(rows, "i int, text string"), "text", "fp")
+    one = df.filter("i % 2 = 1").select((F.col("i") + 1).alias("i"), F.col("fp").alias("other"))
+    got = df.join(one, "i").select(op5_fingerprint.likeness(F.col("fp"), F.col("other"))).collect()
+    assert len(got) == 2 and all(r[0] > 0.8 for r in got)
+
+
+def test_blocks_that_differ_late_have_names_of_their_own(spark):
+    file, pattern = queries.rank_file()
+    same = "one two three four five six seven eight nine ten "
+    names = {r.block for t in ("eleven", "twelve") for r in op6_token_rows.pack_rows(
+        spark.createDataFrame([(1, same + t)], "doc_id bigint, text string"), file, pattern).collect()}
+    assert len(names) == 2
 
 
 def test_token_rows_round_trip(spark, docs, clashing):
