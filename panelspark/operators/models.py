@@ -7,19 +7,15 @@ first train month, and the first 12 train months are excluded from the fit
 (they have no lag-12 value in the reference's feature set). Predictions are
 clipped at 0.
 
-Closed forms stay in SQL aggregates: linear trend = regr_slope /
+All are closed forms in SQL aggregates: linear trend = regr_slope /
 regr_intercept; quadratic = 3x3 normal equations on a centred index solved
-by Cramer's rule. Only the 13-parameter ridge needs numpy, per series via
-`applyInPandas` (a series has one row per month, so a group is bounded by
-the number of months, whatever the raw data volume).
+by Cramer's rule; the 13-parameter ridge by elimination of its month effects.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,35 +79,32 @@ def polynomial_2(df: DataFrame, keys: Sequence[str], value: str = "value") -> Da
     return target.withColumn("prediction", F.greatest(F.lit(0.0), pred)).drop("_c", "_b0", "_b1", "_b2", "t")
 
 
-def _ridge_group(pdf: pd.DataFrame, value: str, keys: Sequence[str], alpha: float) -> pd.DataFrame:
-    """Ridge on [t, month dummies 1..12] with an unpenalised intercept."""
-    train = pdf[(pdf["role"] == "train") & (pdf["t"] >= 12)]
-    target = pdf[pdf["role"] != "train"]
-    out = target[[*keys, "month", "role", value]].copy()
-    if train.empty or target.empty:
-        out["prediction"] = np.nan
-        return out
-
-    def design(frame):
-        months = pd.to_datetime(frame["month"]).dt.month.to_numpy()
-        dummies = (months[:, None] == np.arange(1, 13)[None, :]).astype(float)
-        return np.column_stack([frame["t"].to_numpy(dtype=float), dummies])
-    x, y = design(train), train[value].to_numpy(dtype=float)
-    xm, ym = x.mean(axis=0), y.mean()
-    xc = x - xm
-    beta = np.linalg.solve(xc.T @ xc + alpha * np.eye(x.shape[1]), xc.T @ (y - ym))
-    intercept = ym - xm @ beta
-    out["prediction"] = np.maximum(0.0, design(target) @ beta + intercept)
-    return out
-
-
 def seasonal_ridge(df: DataFrame, keys: Sequence[str], value: str = "value", alpha: float = RIDGE_ALPHA) -> DataFrame:
-    """Ridge (alpha=100) on t + 12 month dummies per series (M04), solved in
-    closed form per series by `applyInPandas`."""
-    d = _with_index(df, keys).select(*keys, "month", "role", F.col(value).cast("double").alias(value), "t")
-    schema = d.drop("t").schema.add("prediction", "double")
-    keys = list(keys)
-    return d.groupBy(*keys).applyInPandas(lambda pdf: _ridge_group(pdf, value, keys, alpha), schema)
+    """Ridge (alpha=100, intercept unpenalised) on t + 12 month dummies per series.
+
+    The dummies' block of the normal equations is diagonal, so each month's effect is (its sum of y - n * intercept -
+    its sum of t * slope) / (n + alpha). Put into the equations of intercept and slope that leaves a 2 x 2 system of
+    sums over a series' months, solved by Cramer's rule. A month of the year without train rows has no effect; a
+    series without train rows gets null; null values are not fitted."""
+    d = _with_index(df, keys).withColumn("_m", F.month("month"))
+    y, t = F.col(value).cast("double"), F.col("t")
+    months = d.where((F.col("role") == "train") & (t >= 12) & y.isNotNull()).groupBy(*keys, "_m").agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.sum(t).alias("st"), F.sum(y).alias("sy"),
+        F.sum(t * t).alias("stt"), F.sum(t * y).alias("sty"))
+    n, st, sy = (F.col(c) for c in ("n", "st", "sy"))
+    left = n + alpha
+    sums = months.groupBy(*keys).agg(
+        F.sum(n - n * n / left).alias("a11"), F.sum(st - n * st / left).alias("a12"),
+        (F.sum(F.col("stt") - st * st / left) + alpha).alias("a22"),
+        F.sum(sy - n * sy / left).alias("b1"), F.sum(F.col("sty") - st * sy / left).alias("b2"),
+        F.map_from_entries(F.collect_list(F.struct("_m", F.struct("n", "st", "sy")))).alias("_months"))  # 12 at most
+    a11, a12, a22, b1, b2 = (F.col(c) for c in ("a11", "a12", "a22", "b1", "b2"))
+    det = a11 * a22 - a12 * a12
+    coef = sums.select(*keys, "_months", ((b1 * a22 - b2 * a12) / det).alias("_a"), ((a11 * b2 - a12 * b1) / det).alias("_b"))
+    target = d.where(F.col("role") != "train").join(coef, list(keys), "left").withColumn("_s", F.col("_months")[F.col("_m")])
+    effect = (F.col("_s.sy") - F.col("_s.n") * F.col("_a") - F.col("_s.st") * F.col("_b")) / (F.col("_s.n") + alpha)
+    pred = F.col("_a") + F.col("_b") * t + F.coalesce(effect, F.lit(0.0))
+    return target.select(*keys, "month", "role", y.alias(value), F.when(F.col("_a").isNotNull(), F.greatest(F.lit(0.0), pred)).alias("prediction"))
 
 
 SERIES_FITTERS = {"seasonal_naive": seasonal_naive, "linear": linear_trend, "polynomial_2": polynomial_2,

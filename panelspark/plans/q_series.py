@@ -128,10 +128,29 @@ for _id, _m in (("m01", "seasonal_naive"), ("m02", "linear"), ("m03", "polynomia
         FUTURE_SQL))(_mk(_m))
 
 
-@register("m04_seasonal_ridge")
+#: The ridge by rounds: month effects from intercept and slope, then these from the effects, on a centred index.
+RIDGE_SQL = """fr AS (SELECT series, month(month) AS m, value, avg(t) OVER (PARTITION BY series) AS c,
+                     t - avg(t) OVER (PARTITION BY series) AS u FROM fut WHERE role = 'train' AND t >= 12),
+mon AS (SELECT series, m, CAST(count(*) AS DOUBLE) AS n, sum(u) AS su, sum(value) AS sy FROM fr GROUP BY series, m),
+tot AS (SELECT series, any_value(c) AS c, CAST(count(*) AS DOUBLE) AS n, sum(u * u) AS suu, sum(u * value) AS suy, sum(value) AS sy
+        FROM fr GROUP BY series),
+packed AS (SELECT tot.*, l FROM tot JOIN (SELECT series, list({'n': n, 'su': su, 'sy': sy}) AS l FROM mon GROUP BY series) USING (series)),
+rounds(series, k, a, b) AS (
+    SELECT series, 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM packed
+    UNION ALL
+    SELECT r.series, k + 1,
+           (sy - list_sum(list_transform(l, lambda x: x.n * (x.sy - x.n * a - x.su * b) / (x.n + 100)))) / n,
+           (suy - list_sum(list_transform(l, lambda x: x.su * (x.sy - x.n * a - x.su * b) / (x.n + 100)))) / (suu + 100)
+    FROM rounds r JOIN packed p ON p.series = r.series WHERE k < 60),
+ridge AS (SELECT f.series, f.month, greatest(0.0, a + b * (f.t - c) + (mon.sy - mon.n * a - mon.su * b) / (mon.n + 100)) AS prediction
+          FROM fut f JOIN rounds r ON r.series = f.series AND r.k = 60 JOIN tot ON tot.series = f.series
+               JOIN mon ON mon.series = f.series AND mon.m = month(f.month) WHERE f.role <> 'train')"""
+
+
+@register("m04_seasonal_ridge", series_sql("SELECT series, month, CAST(round_even(prediction, 0) AS BIGINT) AS prediction FROM ridge",
+                                           FUTURE_SQL, RIDGE_SQL).replace("WITH ", "WITH RECURSIVE ", 1))
 def m04_seasonal_ridge(spark, sf):
-    """Ridge on t + month dummies per series (closed form per series in
-    numpy); checked against a direct solve in tests."""
+    """Ridge on t + month dummies per series, in closed form; the SQL finds the same fit by rounds."""
     return forecast(spark, sf, "seasonal_ridge")
 
 

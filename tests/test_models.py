@@ -53,6 +53,22 @@ def test_ridge_matches_direct_solve(spark):
     assert np.allclose(got, want)
 
 
+def test_ridge_without_some_months_and_without_history(spark):
+    """Months of the year never trained have no effect, null values are left out, a series without train rows gets null."""
+    rows = [("a", dt.date(2020 + i // 12, i % 12 + 1, 1), None if i == 20 else float(i * i % 37), "train") for i in range(60) if i % 12 not in (3, 7)]
+    rows += [("a", dt.date(2025, m, 1), None, "future") for m in range(1, 13)] + [("b", dt.date(2025, 1, 1), None, "future")]
+    df = spark.createDataFrame(rows, "series string, month date, value double, role string")
+    got = {(r.series, r.month): r.prediction for r in models.seasonal_ridge(df, ["series"]).collect()}
+    assert len(got) == 13 and got["b", dt.date(2025, 1, 1)] is None
+    fit = [r for r in rows if r[3] == "train" and r[2] is not None and (r[1].year - 2020) * 12 + r[1].month - 1 >= 12]
+    x = np.array([[(m.year - 2020) * 12 + m.month - 1, *(m.month == np.arange(1, 13))] for _, m, _, _ in fit], float)
+    y = np.array([r[2] for r in fit])
+    xm, ym = x.mean(0), y.mean()
+    beta = np.linalg.solve((x - xm).T @ (x - xm) + 100.0 * np.eye(13), (x - xm).T @ (y - ym))
+    want = [max(0.0, (np.array([60 + m - 1, *(m == np.arange(1, 13))]) - xm) @ beta + ym) for m in range(1, 13)]
+    assert np.allclose([got["a", dt.date(2025, m, 1)] for m in range(1, 13)], want)
+
+
 def overdispersed_panel(spark, zero_entity=False):
     # 6 entities x 60 months, variance >> mean
     rng = np.random.default_rng(3)
