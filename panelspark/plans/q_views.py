@@ -77,7 +77,7 @@ def q07_map_frame(spark, sf):
            round(sum(CAST(range_observed AS INT)) * 100.0 / count(*), 2) AS coverage_pct
     FROM vehicles GROUP BY model_year HAVING count(*) >= 1000 AND model_year >= 1995"""))
 def q08_coverage_by_model_year(spark, sf):
-    cov = clean.range_coverage(vehicles_of(spark, sf))
+    cov = clean.range_coverage(vehicles_of(spark, sf, columns=["model_year", "ev_type", "make", "entity", "range_observed"]))
     return cov.where((F.col("group") == "model_year") & (F.col("records") >= 1000) & (F.col("value").cast("int") >= 1995)) \
         .select("value", "records", "coverage_pct")
 
@@ -87,7 +87,7 @@ def q08_coverage_by_model_year(spark, sf):
            round(sum(CAST(range_observed AS INT)) * 100.0 / count(*), 2) AS coverage_pct
     FROM vehicles GROUP BY 1"""))
 def q08_coverage_by_type_code(spark, sf):
-    v = vehicles_of(spark, sf).withColumn("type_code", F.regexp_extract("ev_type", r"\((BEV|PHEV)\)", 1))
+    v = vehicles_of(spark, sf, columns=["ev_type", "range_observed"]).withColumn("type_code", F.regexp_extract("ev_type", r"\((BEV|PHEV)\)", 1))
     return v.groupBy("type_code").agg(F.count(F.lit(1)).alias("records"),
                                       F.round(F.sum(F.col("range_observed").cast("int")) * 100.0 / F.count(F.lit(1)), 2).alias("coverage_pct"))
 
@@ -106,7 +106,7 @@ def p03_to_number(spark, sf):
 @register("p04_strict_number", vehicles_sql("SELECT vehicle_id, CAST(CAST(model_year AS VARCHAR) AS DOUBLE) AS model_year FROM dedup"))
 def p04_strict_number(spark, sf):
     """ANSI cast that raises on a bad value (the bound values are clean)."""
-    pop = clean.dedupe_first(clean.filter_in(B.population(spark, sf), "entity", B.entities(spark, sf)), "vehicle_id")
+    pop = clean.dedupe_first(clean.filter_in(B.population(spark, sf), "entity", B.entities(spark, sf)), "vehicle_id", keep=["model_year"])
     return pop.select("vehicle_id", strict_number(F.col("model_year").cast("string")).alias("model_year"))
 
 
@@ -133,7 +133,7 @@ def p06_drop_null(spark, sf):
 @register("p07_is_positive", vehicles_sql("""
     SELECT range_observed, count(*) AS vehicles FROM vehicles GROUP BY 1"""))
 def p07_is_positive(spark, sf):
-    return vehicles_of(spark, sf).groupBy("range_observed").agg(F.count(F.lit(1)).alias("vehicles"))
+    return vehicles_of(spark, sf, columns=["range_observed"]).groupBy("range_observed").agg(F.count(F.lit(1)).alias("vehicles"))
 
 
 @register("p08_fill", features_sql("""
