@@ -13,9 +13,10 @@ from panelspark.sources import bindings as B
 
 
 def live_population(spark: SparkSession, sf: str) -> DataFrame:
-    """EV count per entity over landed rows (state filter is a no-op in the binding)."""
-    return B.population(spark, sf).where(F.col("entity").isNotNull()).groupBy("entity") \
-        .agg(F.count(F.lit(1)).alias("ev_stock"))
+    """EV count per entity over landed rows (state filter is a no-op in the binding). Written once: scores, totals
+    and snapshots read it, and it is one row per entity."""
+    return cut_lineage(B.population(spark, sf).where(F.col("entity").isNotNull()).groupBy("entity")
+                       .agg(F.count(F.lit(1)).alias("ev_stock")))
 
 
 def live_monthly(spark: SparkSession, sf: str) -> DataFrame:
@@ -33,11 +34,13 @@ def stations_of(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def attached_stations(spark: SparkSession, sf: str) -> DataFrame:
-    return score.attach_entities(stations_of(spark, sf), score.zip_majority(B.zip_rows(spark, sf)))
+    """The stations with their entities, written once for all their readers: one row per station."""
+    return cut_lineage(score.attach_entities(stations_of(spark, sf), score.zip_majority(B.zip_rows(spark, sf))))
 
 
-def metrics_of(spark: SparkSession, sf: str) -> DataFrame:
-    return score.opportunity_score(live_population(spark, sf), live_monthly(spark, sf), attached_stations(spark, sf))
+def metrics_of(spark: SparkSession, sf: str, stations: DataFrame | None = None) -> DataFrame:
+    stations = attached_stations(spark, sf) if stations is None else stations
+    return score.opportunity_score(live_population(spark, sf), live_monthly(spark, sf), stations)
 
 
 TITLE = "upper(substr(trim({0}), 1, 1)) || lower(substr(trim({0}), 2))"

@@ -201,7 +201,8 @@ def s07_write_snapshot(spark, sf):
     """Two writes of the same version and one of another: the registry lists
     three writes, the product holds two snapshots."""
     root = files.shared_dir(spark, "live")
-    prods = {"entity_live_metrics": metrics_of(spark, sf), "charging_stations": attached_stations(spark, sf)}
+    stations = attached_stations(spark, sf)
+    prods = {"entity_live_metrics": cut_lineage(metrics_of(spark, sf, stations)), "charging_stations": stations}
     files.write_snapshot(prods, root, "v1")
     files.write_snapshot(prods, root, "v1")
     files.write_snapshot(prods, root, "v2")

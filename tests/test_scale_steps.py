@@ -4,8 +4,8 @@ import datetime as dt
 
 import pytest
 
-from panelspark.operators import clean, order_stats
-from panelspark.plans import catalog
+from panelspark.operators import clean, order_stats, score
+from panelspark.plans import catalog, q_score
 
 catalog.load_all()
 
@@ -83,3 +83,15 @@ def test_vehicles_are_written_by_columns_and_only_those_asked_for(spark, sf):
     assert some.columns == ["vehicle_id", "estimated_range", "is_bev", "latitude"]
     assert sorted(map(str, some.collect())) == sorted(map(str, whole.select(*some.columns).collect()))
     assert "l_tax" not in plan(q_clean.vehicles_of(spark, sf)) and "l_tax" in whole.columns
+
+
+def test_stations_are_rolled_up_once_for_all_snapshots(spark, sf, monkeypatch):
+    calls, rolled = [], score.station_rollup
+    monkeypatch.setattr(score, "station_rollup", lambda *a, **k: calls.append(1) or rolled(*a, **k))
+    snaps = catalog.QUERIES["s07_write_snapshot"](spark, sf).collect()
+    assert sorted(map(tuple, snaps)) == [("v1", 4), ("v2", 4)] and len(calls) == 1
+
+
+def test_totals_read_the_stations_and_the_stock_as_written(spark, sf):
+    for df in (q_score.attached_stations(spark, sf), q_score.live_population(spark, sf)):
+        assert "l_orderkey" not in plan(df) and "l_suppkey" not in plan(df)
