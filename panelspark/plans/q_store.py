@@ -317,7 +317,7 @@ def _batch(spark, sf, root, force=False):
 
     def build(run_id, folder):
         flow = flow_of(spark, sf)
-        features, forecasts = cut_lineage(panel.panel_features(flow)), cut_lineage(jobs.wide_forecasts(series_of(spark, sf)))
+        features, forecasts = cut_lineage(panel.panel_features(flow)), cut_lineage(jobs.wide_forecasts(series_of(spark, sf, flow=flow)))
         files.write_products({"monthly_transactions": flow, "modeling_features": features, "forecasts": forecasts}, folder)
         # the hash of the registrations' files, as one
         source = fp.select(F.sha2(F.concat_ws(",", F.sort_array(F.collect_list("sha256"))), 256)).first()[0]  # a row a file
