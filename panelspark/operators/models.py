@@ -15,12 +15,13 @@ by Cramer's rule; the 13-parameter ridge by elimination of its month effects.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions import month_index
-from panelspark.session import cut_lineage
+from panelspark.session import cut_lineage, side_by_side
 
 SERIES_MODELS = ("seasonal_naive", "linear", "polynomial_2", "seasonal_ridge")
 RIDGE_ALPHA = 100.0
@@ -156,21 +157,22 @@ def pooled_trees(df: DataFrame, keys: Sequence[str], kind: str, value: str = "va
     tree = tree.setFeaturesCol("_x").setLabelCol("_y").setPredictionCol("_p")
     folds = [None] if fold is None else [r[0] for r in d.select(fold).distinct().orderBy(fold).collect()]  # <= n_folds
     groups = [None] if apart is None else [F.col(series) != apart, F.col(series) == apart]
+    def predicted(f, group):
+        part = d if f is None else d.where(F.col(fold) == f)
+        part = part if group is None else part.where(group)
+        train = part.where((F.col("role") == "train") & (F.col("t") >= 12) & F.col("_lag12").isNotNull() & F.col("_y").isNotNull())
+        target = part.where(F.col("role") != "train")
+        if train.isEmpty():
+            pred = target.withColumn("_p", F.lit(None).cast("double"))
+        else:
+            pred = tree.copy().fit(train).transform(target)
+        pred = pred.withColumn("prediction", F.when(F.col("_mean") <= 0, 0.0).otherwise(
+            F.greatest(F.lit(0.0), F.col("_p") * F.col("_scale"))))
+        return pred.drop("_p", "_x", "_y", "_mean", "_scale", "_lag12", "_sin", "_cos", "t")
+
     out = None
-    for f in folds:
-        for group in groups:
-            part = d if f is None else d.where(F.col(fold) == f)
-            part = part if group is None else part.where(group)
-            train = part.where((F.col("role") == "train") & (F.col("t") >= 12) & F.col("_lag12").isNotNull() & F.col("_y").isNotNull())
-            target = part.where(F.col("role") != "train")
-            if train.isEmpty():
-                pred = target.withColumn("_p", F.lit(None).cast("double"))
-            else:
-                pred = tree.fit(train).transform(target)
-            pred = pred.withColumn("prediction", F.when(F.col("_mean") <= 0, 0.0).otherwise(
-                F.greatest(F.lit(0.0), F.col("_p") * F.col("_scale"))))
-            pred = pred.drop("_p", "_x", "_y", "_mean", "_scale", "_lag12", "_sin", "_cos", "t")
-            out = pred if out is None else out.unionByName(pred)
+    for pred in side_by_side(df.sparkSession, [partial(predicted, f, group) for f in folds for group in groups]):
+        out = pred if out is None else out.unionByName(pred)
     return out
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,16 +12,16 @@ from panelspark.plans.catalog import register
 from panelspark.plans.memo import remember
 from panelspark.plans.oracle_sql import flow_sql
 from panelspark.plans.q_flow import flow_of
-from panelspark.session import cut_lineage
+from panelspark.session import cut_lineage, side_by_side
 
 MIN_HISTORY = 72  # the binding's series span 80 months; the library default is 84
 CLOSED_FORM = ("seasonal_naive", "linear", "polynomial_2")
 
 
-def series_of(spark: SparkSession, sf: str, min_history: int = MIN_HISTORY) -> DataFrame:
+def series_of(spark: SparkSession, sf: str, min_history: int = MIN_HISTORY, flow: DataFrame | None = None) -> DataFrame:
     """Entity series (each over its own first..last month, gaps = 0) plus the
     statewide total series; series shorter than `min_history` are left out."""
-    flow = flow_of(spark, sf)
+    flow = flow_of(spark, sf) if flow is None else flow
     ent = panel.densify_panel(flow, per_entity_bounds=True).select(
         F.col("entity").alias("series"), "month", F.col("ev_transactions").alias("value"))
     state = flow.groupBy("month").agg(F.sum("ev_transactions").alias("ev_transactions")).withColumn("entity", F.lit("statewide"))
@@ -184,9 +186,10 @@ def m13_model_selection(spark, sf):
 
 def _all_models(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Predictions of the six models, one below the other."""
+    fits = side_by_side(rows.sparkSession, [partial(models.fit_any, rows, keys, m) for m in models.SERIES_ALL])
     out = None
-    for m in models.SERIES_ALL:
-        p = models.fit_any(rows, keys, m).withColumn("model", F.lit(m))
+    for m, p in zip(models.SERIES_ALL, fits):
+        p = p.withColumn("model", F.lit(m))
         out = p if out is None else out.unionByName(p)
     return cut_lineage(out)
 
@@ -239,7 +242,10 @@ def m13_holdout_scores(spark, sf):
 def m14_forecast_all_series(spark, sf):
     """12-month forecasts of the six models and the CV-selected one for the
     statewide series and every entity series with enough history."""
-    future = _all_models(cut_lineage(models.future_rows(series_of(spark, sf), ["series"])), ["series"])
+    def ahead():
+        return _all_models(cut_lineage(models.future_rows(series_of(spark, sf), ["series"])), ["series"])
+
+    future, winners = side_by_side(spark, [ahead, partial(winners_all, spark, sf)])
     long = future.select("series", "month", "model", F.bround("prediction", 0).cast("bigint").alias("prediction"))
-    selected = long.join(winners_all(spark, sf), "series").where(F.col("model") == F.col("best_model"))
+    selected = long.join(winners, "series").where(F.col("model") == F.col("best_model"))
     return long.unionByName(selected.select("series", "month", F.lit("selected").alias("model"), "prediction"))
