@@ -85,10 +85,12 @@ def build_products(spark: SparkSession, out_dir: str, population: DataFrame, reg
     """The batch build of the served products that need no model fit
     (stock, flow, features, range histogram, segment features, baseline
     evaluation and intervals); model products come from the M-family jobs."""
-    vehicles = clean.load_vehicles(population, entities)
-    flow = clean.load_flow(registrations, entities, electric=electric)
-    stock = clean.entity_stock(vehicles)
-    feats = panel.panel_features(flow)
+    vehicles = clean.load_vehicles(population, entities, columns=[
+        "entity", "make", "model_year", "ev_type", "rng", "range_observed", "estimated_range", "is_bev", "longitude", "latitude"])
+    # one row per entity and month or per entity: each is written once for the products that read it
+    flow = cut_lineage(clean.load_flow(registrations, entities, electric=electric))
+    stock = cut_lineage(clean.entity_stock(vehicles))
+    feats = cut_lineage(panel.panel_features(flow))
     from panelspark.operators import segments
     seg = segments.segment_features(stock, clean.low_range_share(vehicles, threshold), flow, threshold)
     intervals, coverage = evaluate.conformal_intervals(feats, "lag_12")
