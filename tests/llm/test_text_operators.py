@@ -150,6 +150,26 @@ def test_darts_estimate_weighted_similarity():
     assert abs((s[0] == s[1]).mean() - true) < 0.16 and (s[0] == s[2]).all()
 
 
+def test_shingles_of_a_slice_equal_those_of_each_text():
+    """Words are told apart by length and every byte; a slice gives each text the shingles it has alone."""
+    rng = random.Random(8)
+    long = ["y" * n for n in (7, 8, 9, 16, 17, 63, 64, 65, 200)]
+    words = ["a", "a\x00", "é", "日本語" * 9, *long, *(w[:-1] + "z" for w in long), *("z" + w[1:] for w in long)]
+    texts = ["", " \n", "One", *(" ".join(rng.choices(words, k=rng.randint(1, 40))) for _ in range(200))]
+    lists = [t.lower().split() for t in texts]
+    for seed in (op2_near_duplicates.WORDS, op2_near_duplicates.EXACT):
+        numbers, sizes = op2_near_duplicates.shingles([op2_near_duplicates.normal(t) for t in texts], seed)
+        alone = [op2_near_duplicates.shingles([op2_near_duplicates.normal(t)], seed)[0].tolist() for t in texts]
+        assert numbers.tolist() == sum(alone, []) and sizes.tolist() == [max(1, len(w) - 4) for w in lists]
+        runs = [tuple(w[i:i + 5]) for w in lists for i in range(max(1, len(w) - 4))]
+        assert len(set(zip(runs, numbers.tolist()))) == len(set(runs)) == len(set(numbers.tolist()))
+    items, weights, sizes = op2_near_duplicates.weighted_sets([op2_near_duplicates.normal(t) for t in texts], True)
+    s, ends = op2_near_duplicates.signed(items, weights, sizes), np.cumsum(sizes)
+    for i in range(len(texts)):  # whatever else is in the slice
+        a, b = ends[i] - sizes[i], ends[i]
+        assert (s[i] == op2_near_duplicates.signatures([(items[a:b], weights[a:b])])[0]).all()
+
+
 def test_near_duplicate_blocks_lose_no_link(spark, monkeypatch):
     rng = random.Random(2)
     base = [f"w{i}" for i in range(150)]
@@ -377,6 +397,22 @@ def test_packing_parts_near_copies_of_different_sources(spark, tmp_path):
     assert len(got) == len(rows) and len(set(groups)) == len(groups) and len({b for b, _ in groups}) < len(groups)
 
 
+def test_packing_reads_texts_once_for_words_and_classes(spark, monkeypatch):
+    """Words are counted as the texts are signed, just as `words_in` does; rows keep their own class and count."""
+    rng = random.Random(9)
+    odd = ["".join(rng.choices(" \t\n\x0b\x0c\r\x1c\x85\xa0\u3000ab\x00é", k=rng.randint(0, 30))) for _ in range(300)]
+    rows = [(None, "no id", "a"), (None, "nor this", "b"), (7, "one two", "c"), (7, "ONE  two", "d"), (7, "three", "e"), (7, "three", "e"),
+            (8, None, "f"), (9, " ", "g"), (10, "", None), *((100 + i, t, f"s{i}") for i, t in enumerate(odd))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    want = Counter((r.doc_id, r.source, r.words) for r in df.select("doc_id", "source", op7_packing.words_in("text").alias("words")).collect())
+    monkeypatch.setattr(op7_packing, "words_in", None)
+    got = op7_packing.with_clusters(df).collect()
+    assert Counter((r.doc_id, r.source, r.words) for r in got) == want
+    assert all((r.cluster is None) == (r.words == 0) for r in got)
+    of = {r.source: r.cluster for r in got}
+    assert of["c"] == of["d"] and len({of[x] for x in "abce"}) == 4
+
+
 def test_quality_edges_policies_and_ablation(clashing, edges, docs):
     got = op8_quality.ledger(clashing, out="ledger")
     assert got.count() == len(EDGES) and "ledger_1" in got.columns
