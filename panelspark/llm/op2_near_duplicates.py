@@ -27,7 +27,7 @@ Defined cases: a null text has no likeness and is a class of its own id; texts
 without words are equal to each other; a text under five words is one shingle;
 texts of any length are compared whole; a class is named by its smallest
 doc_id; repeated rows fall into one class; an empty table gives none. Only the
-id and text columns are read by the operator.
+id and text columns, and those named in `also`, are read by the operator.
 """
 
 from __future__ import annotations
